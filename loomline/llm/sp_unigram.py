@@ -9,7 +9,7 @@ pieces, bytes and spaces and drops the space that encoding put first.
 
 If no piece goes on with a space after anything else, the best path of a text
 is made of the best paths of its chunks (spaces, then other characters), so
-each distinct chunk is solved once per batch and remembered in bounded memory.
+each distinct chunk of a batch is solved once.
 Otherwise the whole text is one chunk.
 
 A Unigram file's scores are log probabilities and are used as they are.  The
@@ -42,6 +42,8 @@ from loomline.llm import shared, sp_model
 MODEL = "piece_bpe_32k.model"
 #: How far below the lowest piece an unknown character scores.
 UNKNOWN_PENALTY = 10.0
+#: Chunks of up to so many bytes are solved together, so many at once.
+TOGETHER_BYTES, TOGETHER_ROWS = 40, 20_000
 
 
 class DoubleArray:
@@ -127,6 +129,9 @@ class Unigram:
             elif kind == sp_model.UNKNOWN:
                 self.unknown = i
                 self.texts[i] = " ⁇ ".encode()
+        self.arrays = [np.array(x, dtype=np.int64) for x in (self.trie.base, self.trie.check, self.trie.value)]
+        self.score_array = np.array(self.scores)
+        self.byte_ids = np.array([self.bytes.get(b, self.unknown) for b in range(256)])
         self.piece_starts = shared.runs(np.array([len(t) for t in self.texts]))
         self.piece_bytes = np.frombuffer(b"".join(self.texts), dtype=np.uint8)
 
@@ -175,6 +180,98 @@ class Unigram:
         return out[::-1], best[n]
 
 
+    def solve(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best paths of many chunks: all ids in order, starts (n + 1), scores.
+
+        Short chunks go through the same Viterbi step by step together; long ones,
+        and those with an unknown character of several bytes, one by one.
+        """
+        data, offsets = shared.raw_bytes(chunks)
+        sizes = np.diff(offsets)
+        n = len(sizes)
+        counts, scores, parts, rows = np.zeros(n, np.int64), np.zeros(n), [], []
+        alone = np.flatnonzero(sizes > TOGETHER_BYTES)
+        short = np.flatnonzero(sizes <= TOGETHER_BYTES)
+        short = short[np.argsort(-sizes[short], kind="stable")]
+        for at in range(0, len(short), TOGETHER_ROWS):
+            block = short[at : at + TOGETHER_ROWS]
+            flat, number, score, odd = self._together(data, offsets[block], sizes[block])
+            fine = ~odd
+            counts[block[fine]], scores[block[fine]] = number[fine], score[fine]
+            parts.append(flat)
+            rows.append(block[fine])
+            alone = np.concatenate([alone, block[odd]])
+        for k in alone.tolist():
+            ids, scores[k] = self.viterbi(data[offsets[k] : offsets[k + 1]].tobytes())
+            counts[k] = len(ids)
+            parts.append(np.array(ids, np.int32))
+        rows.append(alone)
+        order = np.concatenate(rows)
+        if not len(order):
+            return np.zeros(0, np.int32), np.zeros(1, np.int64), scores
+        where = np.empty(n, np.int64)
+        where[order] = np.arange(n)
+        flat, starts = gather_runs(np.concatenate(parts), shared.runs(counts[order]), where)
+        return flat, starts, scores
+
+    def _together(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For chunks from long to short: ids of all in order, their numbers, scores, and which ones are left out."""
+        base, check, value = self.arrays
+        n, longest = len(sizes), int(sizes[0])
+        text = data[np.minimum(begins[:, None] + np.arange(longest), len(data) - 1)].astype(np.int64)
+        reach = np.searchsorted(-sizes, -np.arange(longest), side="left")  # chunks longer than i come first
+        best = np.full((longest + 1, n), -np.inf)
+        came, by = np.zeros((longest + 1, n), np.int64), np.zeros((longest + 1, n), np.int64)
+        best[0] = 0.0
+        odd = np.zeros(n, dtype=bool)
+        for i in range(longest):
+            first = np.flatnonzero(best[i, : reach[i]] > -np.inf)
+            if not len(first):
+                continue
+            lead = text[first, i]
+            width = i + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+            single = np.zeros(n, dtype=bool)
+            ends = np.zeros(n, np.int64)
+            ends[first] = width
+            rows, node = first, np.zeros(len(first), np.int64)
+            for j in range(i, longest):
+                k = np.searchsorted(rows, reach[j])
+                rows, node = rows[:k], node[:k]
+                step = base[node] + text[rows, j] + 1
+                fits = check[step] == node
+                rows, node = rows[fits], step[fits]
+                if not len(rows):
+                    break
+                hit = value[node] >= 0
+                at, piece = rows[hit], value[node[hit]]
+                score = best[i, at] + self.score_array[piece]
+                single[at[ends[at] == j + 1]] = True
+                better = score > best[j + 1, at]
+                at = at[better]
+                best[j + 1, at], came[j + 1, at], by[j + 1, at] = score[better], i, piece[better]
+            lone = first[~single[first]]
+            if len(lone):
+                odd[lone[ends[lone] > i + 1]] = True
+                one = lone[ends[lone] == i + 1]
+                score = best[i, one] + self.unknown_score
+                better = score > best[i + 1, one]
+                one = one[better]
+                best[i + 1, one], came[i + 1, one], by[i + 1, one] = score[better], i, self.byte_ids[text[one, i]]
+                if not self.bytes:
+                    odd[one] = True
+        counts, at = np.zeros(n, np.int64), np.where(odd, 0, sizes)
+        back = np.zeros((n, longest), np.int32)
+        rows = np.flatnonzero(at)
+        while len(rows):
+            back[rows, counts[rows]] = by[at[rows], rows]
+            counts[rows] += 1
+            at[rows] = came[at[rows], rows]
+            rows = rows[at[rows] > 0]
+        starts = shared.runs(counts)
+        row = np.repeat(np.arange(n), counts)
+        return back[row, starts[row + 1] - 1 - np.arange(starts[-1])], counts, best[sizes, np.arange(n)], odd
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> Unigram:
     return Unigram(path)
@@ -185,11 +282,6 @@ class Coder:
 
     def __init__(self, model: Unigram):
         self.model = model
-        self.memo = shared.WordMemo(lambda chunks: [self._solve(c) for c in chunks], 100_000)
-
-    def _solve(self, chunk: bytes) -> tuple[np.ndarray, float]:
-        ids, score = self.model.viterbi(chunk)
-        return np.array(ids, dtype=np.int32), score
 
     def _chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         pc = pa.compute
@@ -210,12 +302,11 @@ class Coder:
         if not len(chunks):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64), np.zeros(len(texts))
         coded = chunks.dictionary_encode()
-        solved = self.memo(coded.dictionary.to_pylist())
+        flat, starts, solved = self.model.solve(coded.dictionary)
         which = np.asarray(coded.indices)
-        starts = shared.runs(np.array([len(ids) for ids, _ in solved]))
-        ids, bounds = gather_runs(np.concatenate([ids for ids, _ in solved]), starts, which)
+        ids, bounds = gather_runs(flat, starts, which)
         by_text = shared.runs(counts)
-        scores = np.array([s for _, s in solved])[which]
+        scores = solved[which]
         sums = np.add.reduceat(np.append(scores, 0.0), np.minimum(by_text[:-1], len(scores)))
         return ids, bounds[by_text], np.where(counts > 0, sums, 0.0)
 
