@@ -8,8 +8,8 @@ numpy, on a bounded sample of labelled documents (``SAMPLE_ROWS`` in all, dealt
 evenly over the languages by a hash of the ids).
 
 A share of the sample is held back to calibrate: a temperature for the softmax,
-and the score below which a text is rejected (``REJECT_SHARE`` of the held-back
-texts score lower).
+and the score below which a text is rejected: the one that ``REJECT_SHARE`` of the held-back
+texts lie below, and never over one half, from where on a prediction is likelier right than wrong.
 
 As the mean comes before the linear layer, the trained tables fold into one table
 of hash slots by languages; its size is fixed.  A batch's distinct words are
@@ -150,7 +150,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, reject_
 
     temperature = min(np.exp(np.linspace(-2.5, 2.5, 101)), key=loss)
     top = np.sort(softmax(logits / temperature).max(axis=1))
-    return Model(languages, table, bias, float(temperature), float(top[int(reject_share * len(top))]) * 0.999)
+    return Model(languages, table, bias, float(temperature), min(0.5, float(top[int(reject_share * len(top))])))
 
 
 def features(df: DataFrame) -> DataFrame:

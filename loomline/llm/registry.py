@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import lang_id, mixing, quality, sp_unigram, token_counts
+from loomline.llm import lang_id, mixing, neardup, quality, sp_unigram, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sp_unigram.op1_sentencepiece,
     "op2_mixing": mixing.op2_mixing,
     "op3_language_id": lang_id.op3_language_id,
     "op5_quality": quality.op5_quality,
+    "op8_near_dedup": neardup.op8_near_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
 }
 ORACLES: dict[str, str] = {
