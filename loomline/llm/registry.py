@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import lang_id, mixing, neardup, pii, quality, sp_unigram, token_counts
+from loomline.llm import ctw, lang_id, mixing, neardup, pii, quality, sp_unigram, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sp_unigram.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": quality.op5_quality,
     "op8_near_dedup": neardup.op8_near_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op9_lm_scoring": ctw.op9_lm_scoring,
     "op10_pii": pii.op10_pii,
 }
 ORACLES: dict[str, str] = {
