@@ -6,8 +6,9 @@ number of leading zeros (6 bits) and the 10 bits after the leading one.  An empt
 bucket borrows the register of another by a fixed random probe.
 
 1. Documents with equal sets make one class.  Classes, not documents, go on.
-2. Bands of 5 registers put classes into buckets; 25 bands miss a pair at the
-   threshold with a probability below one in a million.
+2. Bands of registers put classes into buckets: 25 bands of 5 from a similarity of
+   0.85 on, 32 bands of 4 below.  They miss a pair at the threshold with a probability
+   below one in a million (at 0.85, and at 0.8).
 3. In each bucket, every class is paired with the one smallest class (a star, so a
    bucket of n classes has n - 1 pairs).  The collision-corrected Jaccard estimate
    drops pairs more than five standard errors below the threshold; the rest is
@@ -45,7 +46,6 @@ SHINGLE = 5
 BUCKET_BITS = 7
 REGISTERS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
-BANDS, BAND_REGISTERS = 25, 5
 PERCENT = 85
 STANDARD_ERRORS = 5.0
 #: Classes of a bucket that one task compares with as many others.
@@ -314,8 +314,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = shared.cut(linkable.groupBy("cid", "n_shingles", "regs").agg(F.min("doc_id").alias("rep")).withColumnRenamed("n_shingles", "n"), "classes")
 
     # buckets with several classes
-    width = 2 * BAND_REGISTERS
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("regs", k * width + 1, width)) for k in range(BANDS)])
+    size = 5 if percent >= 85 else 4
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("regs", 2 * size * k + 1, 2 * size)) for k in range(REGISTERS // size)])
     banded = classes.select("cid", F.explode(keys).alias("key"))
     centers = banded.groupBy("key").agg(F.min("cid").alias("center"), F.count(F.lit(1)).alias("m")).where("m > 1")
     members = shared.cut(banded.join(centers, "key"), "buckets")

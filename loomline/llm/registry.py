@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import ctw, lang_id, mixing, neardup, pii, quality, sp_unigram, token_counts
+from loomline.llm import ann, ctw, html_extract, lang_id, mixing, neardup, pii, quality, sp_unigram, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sp_unigram.op1_sentencepiece,
     "op2_mixing": mixing.op2_mixing,
     "op3_language_id": lang_id.op3_language_id,
+    "op4_ann": ann.op4_ann,
     "op5_quality": quality.op5_quality,
     "op8_near_dedup": neardup.op8_near_dedup,
+    "op6_html": html_extract.op6_html,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_lm_scoring": ctw.op9_lm_scoring,
     "op10_pii": pii.op10_pii,
