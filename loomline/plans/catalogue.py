@@ -1,10 +1,468 @@
-"""The registered queries of the crawl, summary and upload operators."""
+"""The registered queries of the crawl, summary and upload operators, with DuckDB equivalents.
+
+The test tables stand in for a crawl: ``pages`` is the fetched corpus and link graph,
+``documents`` page content and files, ``events`` failures, arrivals and progress.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomline.config import CrawlConfig
+from loomline.functions import markdown as M
+from loomline.functions import text as X
+from loomline.functions import url as U
+from loomline.operators import frontier, pacing, pages, rules, stats, summary, upload
+
+CONFIG = CrawlConfig()
+PATTERNS = ["spam-farm", "cheap-pills", "utm_source", "ads?-"]
+LINK_PATTERNS = ["a$", "/th"]
+NOW = "2024-02-01 00:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# -- SQL that several oracles share ----------------------------------------
+
+SQL_PATH = r"""regexp_replace(regexp_extract(regexp_replace({u}, '#.*$', ''), '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?]*)?([^?]*)', 1), ';[^/]*$', '')"""
+SQL_QUERY = r"""regexp_extract(regexp_replace({u}, '#.*$', ''), '^[^?]*\?(.*)$', 1)"""
+
+
+def sql_clean(u: str) -> str:
+    base = rf"rtrim(regexp_replace({u}, '^\s+|\s+$', '', 'g'), ').,;!?]>')"
+    path, query = SQL_PATH.format(u=base), SQL_QUERY.format(u=base)
+    return f"'https://wiki.test' || CASE WHEN {path} <> '' AND {path}[1] <> '/' THEN '/' ELSE '' END || {path} || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END"
+
+
+def sql_key(u: str) -> str:
+    return f"coalesce(nullif(url_decode(split_part(regexp_replace({SQL_PATH.format(u=u)}, '/+$', ''), '/', -1)), ''), '/')"
+
+
+def sql_candidate(u: str) -> str:
+    hints = " ".join(f"AND NOT contains({u}, '{h}')" for h in CONFIG.url_hints)
+    names = " ".join(f"AND NOT contains(url_decode({u}), '{h}')" for h in CONFIG.path_hints)
+    return f"starts_with({u}, 'https://wiki.test/') {hints} {names}"
+
+
+def sql_deny(u: str, patterns: list[str] = PATTERNS) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({u}, '{p}') THEN '{p}'" for p in patterns) + " END"
+
+
+SQL_LINKS = rf"""
+h AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">[^<]+</a>', 1)) AS href FROM pages),
+j AS (SELECT page_id, 'https://wiki.test' || href AS u FROM h WHERE NOT starts_with(href, '#')),
+c AS (SELECT page_id, {sql_clean("u")} AS url FROM j),
+links AS (SELECT DISTINCT page_id, url FROM c WHERE {sql_candidate("url")})"""
+
+SQL_EXCERPT = r"trim(regexp_replace(translate(regexp_replace(text, '^---[\s\S]*?---\s*', ' '), '#*', '  '), '\s+', ' ', 'g'))"
+SQL_SAFE = r"""left(coalesce(nullif(trim(regexp_replace(regexp_replace({t}, '[\\/:*?"<>|]+', '_', 'g'), '\s+', ' ', 'g'), ' .'), ''), {fallback}), 80)"""
+SQL_TITLE = r"trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g'), ' ""''')".replace('""', '"')
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = table(spark, sf_dir, "pages").select("page_id", M.anchors_to_markdown(F.col("html")).alias("md"))
+    return md.select("page_id", M.extract_links(F.col("md"), CONFIG).alias("links"))
+
+
+def title_of(html) -> object:
+    return F.regexp_extract(html, "<title>([^<]*)</title>", 1)
+
+
+# -- URL functions ----------------------------------------------------------
+
+
+@query(f"SELECT page_id, {sql_clean('url')} AS cleaned FROM pages")
+def clean_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.clean_url(F.col("url"), CONFIG).alias("cleaned"))
+
+
+@query(f"SELECT {sql_key('url')} AS visit_key, CAST(count(*) AS BIGINT) AS n FROM pages GROUP BY 1")
+def visit_key_groups(spark, sf_dir):
+    return frontier.with_keys(table(spark, sf_dir, "pages")).groupBy("visit_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH u AS (SELECT page_id, {sql_clean('url')} AS cleaned FROM pages) SELECT page_id, cleaned, {sql_candidate('cleaned')} AS candidate FROM u")
+def candidate_urls(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", U.clean_url(F.col("url"), CONFIG).alias("cleaned"))
+    return rows.withColumn("candidate", U.is_candidate(F.col("cleaned"), CONFIG))
+
+
+@query(f"SELECT page_id, {SQL_SAFE.format(t="url_decode(split_part(regexp_replace(" + SQL_PATH.format(u='url') + ", '/+$', ''), '/', -1))", fallback="'page'")} AS slug FROM pages")
+def page_slugs(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.page_slug(F.col("url")).alias("slug"))
+
+
+# -- text, naming and hashes --------------------------------------------------
+
+
+@query(f"SELECT page_id, coalesce(nullif(CASE WHEN contains({SQL_TITLE}, ' - ') THEN trim(split_part({SQL_TITLE}, ' - ', 1)) ELSE {SQL_TITLE} END, ''), 'untitled') AS title FROM pages")
+def page_titles(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.normalize_title(title_of(F.col("html")), F.lit("untitled")).alias("title"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {SQL_EXCERPT} AS e FROM documents) SELECT doc_id, CASE WHEN length(e) > 65536 THEN left(e, 65536) || '...' ELSE e END AS excerpt FROM t")
+def compact_excerpt(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.compact_excerpt(F.col("text"), CONFIG.excerpt_chars, CONFIG).alias("excerpt"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {SQL_EXCERPT} AS e FROM documents) SELECT doc_id, CASE WHEN length(e) > 220 THEN left(e, 220) || '...' ELSE e END AS summary FROM t")
+def short_summary(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.short_summary(F.col("text"), CONFIG).alias("summary"))
+
+
+SQL_CACHE_KEY = r"sha1(regexp_replace(source, '^\s+|\s+$', '', 'g') || chr(10) || regexp_replace(text, '^\s+|\s+$', '', 'g'))"
+
+
+@query(f"SELECT {SQL_CACHE_KEY} AS cache_key, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def summary_cache_key_dups(spark, sf_dir):
+    keys = table(spark, sf_dir, "documents").select(X.summary_cache_key(F.col("source"), F.col("text")).alias("cache_key"))
+    return keys.groupBy("cache_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+SQL_FILE = SQL_SAFE.format(t=SQL_TITLE, fallback=SQL_SAFE.format(t="url_decode(split_part(regexp_replace(" + SQL_PATH.format(u="url") + ", '/+$', ''), '/', -1))", fallback="'page'"))
+
+
+@query(f"SELECT page_id, {SQL_FILE} || '-' || left(sha1(url), 10) || '.md' AS file_name FROM pages")
+def page_filenames(spark, sf_dir):
+    title = F.btrim(X.collapse(title_of(F.col("html"))), F.lit(" \"'"))
+    return table(spark, sf_dir, "pages").select("page_id", X.page_filename(title, F.col("url")).alias("file_name"))
+
+
+@query(
+    rf"""SELECT doc_id, sha256(concat_ws(chr(10), '---', 'title: ' || source, 'source_url: doc/' || doc_id, 'fetched_at: {NOW}', 'summary: ' || lang, '---', '',
+       '# ' || source, '', '- source: doc/' || doc_id, '- fetched_at: {NOW}', '', '## Summary', '', lang, '', '## Content', '', regexp_replace(text, '^\s+|\s+$', '', 'g'), '')) AS body_sha256 FROM documents"""
+)
+def render_markdown(spark, sf_dir):
+    body = pages.page_markdown(F.col("source"), F.concat(F.lit("doc/"), F.col("doc_id").cast("string")), F.lit(NOW), F.col("lang"), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(body.cast("binary"), 256).alias("body_sha256"))
+
+
+@query("SELECT n, CASE WHEN n <= 0 THEN 0.0::DOUBLE ELSE least(3600.0::DOUBLE, 30.0::DOUBLE * power(2, n - 1)) END AS seconds FROM (SELECT CAST(range AS BIGINT) AS n FROM range(0, 30))")
+def retry_backoff(spark, sf_dir):
+    return spark.range(30).select(F.col("id").alias("n"), X.retry_delay_seconds(F.col("id"), CONFIG).alias("seconds"))
+
+
+@query("SELECT event_id, least(greatest(value / (CASE WHEN user_id % 7 = 0 THEN 100.0 ELSE CAST(user_id AS DOUBLE) END) * 100, 0), 100) AS percent FROM events")
+def progress_percent(spark, sf_dir):
+    total = F.when(F.col("user_id") % 7 == 0, F.lit(0.0)).otherwise(F.col("user_id").cast("double"))
+    return table(spark, sf_dir, "events").select("event_id", X.percent_progress(F.col("value"), total).alias("percent"))
+
+
+# -- links and rules ------------------------------------------------------------
+
+
+@query(f"WITH {SQL_LINKS} SELECT page_id, url FROM links")
+def extract_links(spark, sf_dir):
+    return page_links(spark, sf_dir).select("page_id", F.explode("links").alias("url"))
+
+
+@query(f"WITH {SQL_LINKS} SELECT url, CAST(count(*) AS BIGINT) AS pages FROM links GROUP BY 1")
+def link_degree(spark, sf_dir):
+    return page_links(spark, sf_dir).select(F.explode("links").alias("url")).groupBy("url").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query(f"SELECT page_id, {sql_deny('url')} AS pattern FROM pages")
+def deny_first_match(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", rules.first_match(F.col("url"), PATTERNS).alias("pattern"))
+
+
+@query(f"SELECT page_id, {sql_deny('url')} AS pattern FROM pages")
+def deny_rule_join(spark, sf_dir):
+    found = rules.first_match_join(table(spark, sf_dir, "pages").select("page_id", "url"), rules.from_patterns(spark, PATTERNS))
+    return found.select("page_id", "pattern")
+
+
+# -- frontier --------------------------------------------------------------------
+
+
+@query(
+    rf"""WITH {SQL_LINKS},
+p AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY url) - 1 AS place, {sql_key("url")} AS visit_key FROM links),
+ok AS (SELECT * FROM p WHERE {sql_deny("url")} IS NULL),
+f AS (SELECT *, row_number() OVER (PARTITION BY visit_key ORDER BY page_id, place) AS nth FROM ok),
+v AS (SELECT DISTINCT {sql_key("url")} AS visit_key FROM pages),
+n AS (SELECT * FROM f WHERE nth = 1 AND visit_key NOT IN (SELECT visit_key FROM v) ORDER BY page_id, place LIMIT 100)
+SELECT page_id, url, visit_key FROM n"""
+)
+def frontier_next(spark, sf_dir):
+    """The 100 URLs to fetch next: new links in order of their pages."""
+    visited = frontier.with_keys(table(spark, sf_dir, "pages").select("url"))
+    empty = visited.where("false")
+    fresh, _ = frontier.new_links(page_links(spark, sf_dir).select(F.col("page_id").alias("position"), "links"), visited, empty, PATTERNS)
+    return fresh.orderBy("position", "place").limit(CONFIG.per_run).select(F.col("position").alias("page_id"), "url", "visit_key")
+
+
+@query(f"WITH {SQL_LINKS} SELECT page_id, url, {sql_key('url')} AS visit_key FROM links WHERE {sql_deny('url', LINK_PATTERNS)} IS NOT NULL")
+def denied_links(spark, sf_dir):
+    visited = frontier.with_keys(table(spark, sf_dir, "pages").select("url"))
+    _, denied = frontier.new_links(page_links(spark, sf_dir).select(F.col("page_id").alias("position"), "links"), visited, visited.where("false"), LINK_PATTERNS)
+    return denied.select(F.col("position").alias("page_id"), "url", "visit_key")
+
+
+def event_failures(spark, sf_dir) -> DataFrame:
+    """Failure records from events: errors of a user since the last view, as if users were URLs."""
+    events = table(spark, sf_dir, "events").where("event_type IN ('error', 'view')")
+    ok = events.where("event_type = 'view'").groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("ok"))
+    since = events.where("event_type = 'error'").join(ok, "user_id", "left").where("ok IS NULL OR struct(ts, event_id) > ok")
+    found = since.groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("count"), F.max("ts").alias("last"), F.max_by("props", F.struct("ts", "event_id")).alias("last_error"))
+    retry = X.next_retry_at(F.col("count"), F.col("last"), CONFIG)
+    return found.select(F.concat(F.lit(f"{CONFIG.origin}/u"), F.col("user_id").cast("string")).alias("url"), "count", retry.alias("next_retry_at"), F.date_format(retry, "yyyy-MM-dd'T'HH:mm:ss").alias("next_retry_raw"), "last_error")
+
+
+SQL_FAILURES = """
+ok AS (SELECT user_id, max((ts, event_id)) AS ok FROM events WHERE event_type = 'view' GROUP BY 1),
+bad AS (SELECT e.* FROM events e LEFT JOIN ok USING (user_id) WHERE event_type = 'error' AND (ok IS NULL OR (ts, event_id) > ok)),
+g AS (SELECT user_id, CAST(count(*) AS INTEGER) AS "count", max(ts) AS last, arg_max(props, (ts, event_id)) AS last_error FROM bad GROUP BY 1),
+failures AS (SELECT 'https://wiki.test/u' || user_id AS url, "count",
+  last + to_seconds(least(3600, 30 * power(2, "count" - 1))::BIGINT) AS next_retry_at, last_error FROM g)"""
+
+
+@query(f"WITH {SQL_FAILURES} SELECT url, \"count\", next_retry_at, last_error FROM failures")
+def failure_meta(spark, sf_dir):
+    return event_failures(spark, sf_dir).select("url", "count", "next_retry_at", "last_error")
+
+
+@query(f"WITH {SQL_FAILURES} SELECT url, CASE WHEN TIMESTAMP '2024-01-31 12:00:00' < next_retry_at THEN 'defer' ELSE 'pick' END AS fate FROM failures")
+def backoff_split(spark, sf_dir):
+    failures = event_failures(spark, sf_dir)
+    queue = frontier.with_keys(failures.select("url")).withColumn("seq", F.xxhash64("url"))
+    empty = queue.where("false").select("url", "visit_key")
+    return frontier.classify(queue, empty, failures, PATTERNS, F.to_timestamp_ntz(F.lit("2024-01-31 12:00:00"))).select("url", "fate")
+
+
+@query(f"WITH {SQL_FAILURES} SELECT url, \"count\", strftime(next_retry_at, '%Y-%m-%dT%H:%M:%S') AS next_retry_raw FROM failures ORDER BY \"count\" DESC, next_retry_raw, url LIMIT 20")
+def retry_priority(spark, sf_dir):
+    failures = event_failures(spark, sf_dir)
+    empty = frontier.with_keys(failures.select("url")).where("false")
+    return frontier.retry_first(failures, empty, empty, PATTERNS, 20).select("url", "count", "next_retry_raw")
+
+
+@query(
+    rf"""WITH q AS (SELECT page_id AS seq, {sql_clean("url")} AS url FROM pages UNION ALL SELECT 1000000 + page_id, {sql_clean("url")} FROM pages WHERE page_id % 3 = 0),
+k AS (SELECT *, {sql_key("url")} AS visit_key FROM q),
+v AS (SELECT DISTINCT {sql_key("url")} AS visit_key FROM pages WHERE page_id % 5 = 0),
+f AS (SELECT k.*, CASE WHEN v.visit_key IS NOT NULL THEN 'visited' WHEN {sql_deny("k.url")} IS NOT NULL THEN 'deny' ELSE 'pick' END AS fate FROM k LEFT JOIN v USING (visit_key))
+SELECT seq, url, CASE WHEN fate = 'pick' AND row_number() OVER (PARTITION BY url ORDER BY seq) > 1 THEN 'dup' ELSE fate END AS fate FROM f"""
+)
+def frontier_classify(spark, sf_dir):
+    source = table(spark, sf_dir, "pages")
+    urls = source.select(F.col("page_id").alias("seq"), U.clean_url(F.col("url"), CONFIG).alias("url"))
+    again = urls.where("seq % 3 = 0").select((F.col("seq") + 1000000).alias("seq"), "url")
+    queue = frontier.with_keys(urls.unionByName(again))
+    visited = frontier.with_keys(source.where("page_id % 5 = 0").select("url"))
+    failures = spark.createDataFrame([], "url string, next_retry_at timestamp_ntz")
+    return frontier.classify(queue, visited, failures, PATTERNS, F.to_timestamp_ntz(F.lit(NOW))).select("seq", "url", "fate")
+
+
+# -- summaries and the index -----------------------------------------------------
+
+
+def routed(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("title"), F.col("text").alias("content"))
+    cache = docs.where("doc_id % 2 = 0").select(X.summary_cache_key(F.col("title"), F.col("content")).alias("cache_key"), F.lit("cached").alias("summary")).distinct()
+    return summary.route(docs, cache, CONFIG)
+
+
+SQL_ROUTE = f"""
+k AS (SELECT doc_id, source, {SQL_CACHE_KEY} AS cache_key, {SQL_EXCERPT} AS e FROM documents),
+cache AS (SELECT DISTINCT cache_key FROM k WHERE doc_id % 2 = 0),
+r AS (SELECT k.*, CASE WHEN cache.cache_key IS NOT NULL THEN 'cache_hit' WHEN length(e) >= 1024 THEN 'llm' ELSE 'fallback' END AS mode FROM k LEFT JOIN cache USING (cache_key))"""
+
+
+@query(f"WITH {SQL_ROUTE} SELECT doc_id, mode, CASE mode WHEN 'cache_hit' THEN 'cached' WHEN 'fallback' THEN CASE WHEN length(e) > 220 THEN left(e, 220) || '...' ELSE e END END AS summary FROM r")
+def summary_route(spark, sf_dir):
+    return routed(spark, sf_dir).select("doc_id", "mode", "summary")
+
+
+@query(f"WITH {SQL_ROUTE} SELECT mode, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY 1")
+def summary_modes(spark, sf_dir):
+    return summary.mode_counts(routed(spark, sf_dir))
+
+
+@query(f"WITH {SQL_ROUTE} SELECT CAST(sum(length(e)) FILTER (mode = 'llm') AS BIGINT) AS prompt_tokens, CAST(count(*) FILTER (mode = 'llm') AS BIGINT) AS calls FROM r")
+def token_usage(spark, sf_dir):
+    rows = routed(spark, sf_dir)
+    asked = F.col("mode") == "llm"
+    return rows.agg(F.sum(F.when(asked, F.least("excerpt_chars", F.lit(65539)))).cast("long").alias("prompt_tokens"), F.count_if(asked).alias("calls"))
+
+
+@query(
+    """WITH r AS (SELECT 'doc/' || (doc_id // 2) AS url, lang AS title, doc_id AS line, 0 AS new FROM documents WHERE doc_id % 3 <> 0
+UNION ALL SELECT 'doc/' || (doc_id // 2), source, doc_id, 1 FROM documents WHERE doc_id % 3 = 0)
+SELECT url, title, line FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY new DESC, line DESC) AS nth FROM r) WHERE nth = 1"""
+)
+def index_upsert(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    url = F.concat(F.lit("doc/"), F.floor(F.col("doc_id") / 2).cast("string")).alias("url")
+    old = docs.where("doc_id % 3 <> 0").select(url, F.col("lang").alias("title"), F.col("doc_id").alias("line"))
+    new = docs.where("doc_id % 3 = 0").select(url, F.col("source").alias("title"), F.col("doc_id").alias("line"))
+    return pages.upsert(old, new)
+
+
+# -- upload ----------------------------------------------------------------------
+
+
+def files_of(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/kb/"), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".md")).alias("path"),
+        F.concat(F.col("source"), F.lit(".md")).alias("name"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "doc_id",
+    )
+
+
+def waiting(spark, sf_dir) -> DataFrame:
+    files = files_of(spark, sf_dir)
+    progress = files.where("doc_id % 2 = 1").select("path", "sha256", F.when(F.col("doc_id") % 4 == 1, "success").otherwise("failed").alias("status"))
+    return upload.pending(files, progress)
+
+
+SQL_FILES = """
+files AS (SELECT '/kb/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || '.md' AS path, source || '.md' AS name, sha256(text) AS sha256, doc_id FROM documents),
+waiting AS (SELECT * FROM files WHERE NOT (doc_id % 4 = 1))"""
+
+
+@query(f"WITH {SQL_FILES} SELECT path, sha256 FROM waiting")
+def upload_pending(spark, sf_dir):
+    return waiting(spark, sf_dir).select("path", "sha256")
+
+
+SQL_BATCHES = f"{SQL_FILES}, b AS (SELECT *, CAST((row_number() OVER (ORDER BY path) - 1) // 20 AS BIGINT) AS batch FROM waiting)"
+
+
+@query(f"WITH {SQL_BATCHES} SELECT path, batch FROM b")
+def upload_batches(spark, sf_dir):
+    return upload.batches(waiting(spark, sf_dir), CONFIG.files_per_task).select("path", "batch")
+
+
+def merged(spark, sf_dir) -> DataFrame:
+    sent = upload.batches(waiting(spark, sf_dir), CONFIG.files_per_task)
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    reports = sent.join(toxic, "doc_id").select("batch", F.col("doc_id").alias("pos"), F.col("name").alias("file_name"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("error "), F.col("doc_id").cast("string"))).alias("error"))
+    return upload.merge_results(sent, reports, NOW)
+
+
+SQL_MERGED = f"""{SQL_BATCHES},
+rep AS (SELECT batch, name, doc_id AS pos, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'error ' || doc_id END AS error FROM b SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)),
+e AS (SELECT batch, name, arg_min(error, pos) FILTER (error <> '') AS error FROM rep GROUP BY 1, 2),
+m AS (SELECT b.path, b.batch, e.error, CASE WHEN e.name IS NULL THEN 'success' ELSE 'failed' END AS status FROM b LEFT JOIN e USING (batch, name))"""
+
+
+@query(f"WITH {SQL_MERGED} SELECT path, batch, status, error FROM m")
+def upload_merge(spark, sf_dir):
+    return merged(spark, sf_dir).select("path", "batch", "status", "error")
+
+
+@query(f"WITH {SQL_MERGED} SELECT CAST(count(DISTINCT batch) AS BIGINT) AS batches, CAST(count(*) FILTER (status = 'success') AS BIGINT) AS total_success, CAST(count(*) FILTER (status = 'failed') AS BIGINT) AS total_failed FROM m")
+def upload_totals(spark, sf_dir):
+    return upload.totals(0, merged(spark, sf_dir), 0).select("batches", "total_success", "total_failed")
+
+
+@query("SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '[^/]\\.html$')")
+def ext_filter(spark, sf_dir):
+    return upload.of_extensions(table(spark, sf_dir, "pages").select("page_id", "url"), [" HTML ", ".html", ""], "url")
+
+
+# -- pacing ------------------------------------------------------------------------
+
+
+@query(
+    """WITH a AS (SELECT event_id, epoch_us(ts) AS came, CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS i FROM events)
+SELECT event_id, CAST(i * 300000000 + max(came - i * 300000000) OVER (ORDER BY i) AS BIGINT) AS start FROM a"""
+)
+def rate_limit_schedule(spark, sf_dir):
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", at.alias("at"))
+    return pacing.schedule(rows, None, ["ts", "event_id"], "at", 300_000_000).select("event_id", "start")
+
+
+@query(
+    """WITH l AS (SELECT event_id, user_id, event_type AS line, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
+SELECT event_id, user_id, line FROM l WHERE before IS NULL OR before <> line"""
+)
+def progress_line_changes(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.col("event_type").alias("line"))
+    return pacing.changed_lines(rows, "user_id", ["ts", "event_id"]).select("event_id", "user_id", "line")
+
+
+# -- statistics and messages ---------------------------------------------------------
+
+SQL_STATS = f"""{SQL_ROUTE},
+s AS (SELECT CAST(count(*) AS BIGINT) AS scanned, CAST(count(*) FILTER (length(e) > 0) AS BIGINT) AS fetched, CAST(count(*) FILTER (length(e) = 0) AS BIGINT) AS failed,
+  CAST(count(*) FILTER (mode = 'llm') AS BIGINT) AS llm_success, CAST(count(*) FILTER (mode = 'fallback') AS BIGINT) AS llm_fallback, CAST(count(*) FILTER (mode = 'cache_hit') AS BIGINT) AS llm_cache_hit FROM r)"""
+
+
+def stat_row(spark, sf_dir) -> DataFrame:
+    rows, full = routed(spark, sf_dir), F.col("excerpt_chars") > 0
+    return rows.agg(
+        F.count(F.lit(1)).alias("scanned"), F.count_if(full).alias("fetched"), F.count_if(~full).alias("failed"),
+        *[F.count_if(F.col("mode") == m).alias(c) for m, c in (("llm", "llm_success"), ("fallback", "llm_fallback"), ("cache_hit", "llm_cache_hit"))],
+    )
+
+
+@query(f"WITH {SQL_STATS} SELECT * FROM s")
+def run_stats(spark, sf_dir):
+    return stat_row(spark, sf_dir)
+
+
+@query(
+    f"""WITH {SQL_STATS} SELECT concat_ws(chr(10), '状态: success', '模型: none', '扫描: ' || scanned, '抓取成功: ' || fetched, '抓取失败: ' || failed, '重试延后: 0', '已访问总量: 0', '失败总量: 0', '队列剩余: 0',
+ 'LLM成功: ' || llm_success, 'LLM回退: ' || llm_fallback, 'LLM缓存命中: ' || llm_cache_hit, '入队过滤: 0', 'LLM prompt_tokens: 0', 'LLM completion_tokens: 0', 'LLM total_tokens: 0', '时间: {NOW}') AS message FROM s"""
+)
+def run_message(spark, sf_dir):
+    row = stat_row(spark, sf_dir)
+    for c in stats.COUNTERS:
+        if c not in row.columns:
+            row = row.withColumn(c, F.lit(0))
+    row = row.withColumns({"status": F.lit("success"), "model": F.lit(CONFIG.model), "error": F.lit(""), "at": F.lit(NOW)})
+    return row.select(stats.run_message().alias("message"))
+
+
+@query(
+    f"""WITH {SQL_MERGED}, t AS (SELECT (SELECT count(*) FROM files) AS c, count(*) AS p, count(DISTINCT batch) AS n, count(*) FILTER (status = 'success') AS s, count(*) FILTER (status = 'failed') AS f FROM m)
+SELECT concat_ws(chr(10), '知识库上传完成', '候选文件: ' || c, '待上传: ' || p, '已跳过: ' || (c - p), '任务数: ' || n, '成功: ' || s, '失败: ' || f, CASE WHEN f > 0 THEN '失败条目: ' || f END) AS message FROM t"""
+)
+def upload_message(spark, sf_dir):
+    files = files_of(spark, sf_dir).agg(F.count(F.lit(1)).alias("c"))
+    row = merged(spark, sf_dir).agg(F.count(F.lit(1)).alias("pending_files"), F.count_distinct("batch").alias("batches"), F.count_if(F.col("status") == "success").alias("total_success"), F.count_if(F.col("status") == "failed").alias("total_failed"))
+    row = row.join(files).withColumns({"total_candidates": F.col("c"), "skipped_files": F.col("c") - F.col("pending_files"), "failed_items": F.col("total_failed")})
+    return row.select(stats.upload_message().alias("message"))
+
+
+@query()
+def html_to_markdown(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", "html", title_of(F.col("html")).alias("title"))
+    return rows.select("page_id", M.html_to_markdown("html", "title").alias("markdown"))
+
+
+@query()
+def crawl_loop(spark, sf_dir):
+    """Two rounds of the crawl over ``pages`` as the site; the queue that is left."""
+    import tempfile
+
+    from loomline.plans import crawl
+    from loomline.sources import fetch, state
+
+    corpus = table(spark, sf_dir, "pages")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomline-")
+    root = f"{base.rstrip('/')}/crawl-{uuid.uuid4().hex}"
+    seeds = [r["u"] for r in corpus.select(U.clean_url(F.col("url"), CONFIG).alias("u"), "page_id").orderBy("page_id").limit(10).collect()]
+    crawl.run(spark, root, seeds, lambda urls: fetch.from_corpus(urls, corpus, CONFIG), CONFIG, NOW, PATTERNS, n=20)
+    return state.Generations(spark, root).load("queue", state.QUEUE)
