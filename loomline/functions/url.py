@@ -76,7 +76,7 @@ def without_dots(path: Column) -> Column:
     empty = F.expr("array()").cast("array<string>")
 
     def step(acc: Column, part: Column) -> Column:
-        up = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
+        up = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))  # never above the root
         return F.when(part == "..", up).when(part == ".", acc).otherwise(F.concat(acc, F.array(part)))
 
     joined = F.array_join(F.aggregate(parts, empty, step), "/")

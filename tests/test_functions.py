@@ -1,0 +1,119 @@
+"""Edge rows of the scalar functions; expected values restate the rules with the standard library."""
+
+import re
+import urllib.parse
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomline.config import CrawlConfig
+from loomline.functions import markdown as M
+from loomline.functions import text as X
+from loomline.functions import url as U
+
+C = CrawlConfig()
+
+
+def values(spark, items, f):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(items)], "i int, v string")
+    return [r["o"] for r in df.select("i", f(F.col("v")).alias("o")).orderBy("i").collect()]
+
+
+def test_clean_url_and_visit_key(spark):
+    cases = [
+        ("http://other.org/zh/A%20B/?x=1#top", "https://wiki.test/zh/A%20B/?x=1", "A B"),
+        ("https://wiki.test/A).", "https://wiki.test/A", "A"),
+        ("https://wiki.test", "https://wiki.test", "/"),
+        ("https://wiki.test/", "https://wiki.test/", "/"),
+        ("https://wiki.test/A;v=1?q", "https://wiki.test/A?q", "A"),
+        ("mailto:a@b.c", "https://wiki.test/a@b.c", "a@b.c"),
+        (" https://wiki.test/a+b%zz ", "https://wiki.test/a+b%zz", "a+b%zz"),
+        ("https://wiki.test/%E6%B4%9B", "https://wiki.test/%E6%B4%9B", "洛"),
+        (None, None, None),
+    ]
+    cleaned = values(spark, [c[0] for c in cases], lambda c: U.clean_url(c, C))
+    assert cleaned == [c[1] for c in cases]
+    assert values(spark, cleaned, U.visit_key) == [c[2] for c in cases]
+
+
+def test_candidates(spark):
+    bad = ["/File%3Ax.png", "/w/index.php?title=x", "/x?action=edit", "/x?redlink=1", "/load.php", "/Wiki:About"]
+    urls = [f"https://wiki.test{b}" for b in bad] + ["https://wiki.test/ok", "https://wiki.test", "https://other.test/ok"]
+    assert values(spark, urls, lambda c: U.is_candidate(c, C)) == [False] * 6 + [True, False, False]
+
+
+def test_join_href_like_the_standard_library(spark):
+    hrefs = ["/a/./b/../c", "../x", "?q=1", "//o.com/x", "/a/b/..", "a/b", "/..", "/a/", "a/./b", "https://o.org/p", "/a?x=../y", "/x;p?q"]
+    want = [urllib.parse.urljoin("https://wiki.test/", h) for h in hrefs]
+    assert values(spark, hrefs, lambda c: U.join_href(c, C)) == want
+
+
+def test_percent_decode_like_the_standard_library(spark):
+    items = ["a+b", "%zz", "%", "%41%", "%E6%B4%9B", "%2B%20", "", "100%25"]
+    assert values(spark, items, U.percent_decode) == [urllib.parse.unquote(x) for x in items]
+
+
+def test_extract_links(spark):
+    text = '[A](/A "t") [B](/B_(x)) ![](/img.png) [![](/thumb.png)](/P) [c](#frag) https://wiki.test/Z, [e](http://o.org/E)'
+    got = values(spark, [text, "", None], lambda c: M.extract_links(c, C))
+    assert got == [[f"https://wiki.test/{p}" for p in ("A", "B_(x", "E", "Z", "thumb.png")], [], None]
+    drop = CrawlConfig(foreign_hosts="drop")
+    assert "https://wiki.test/E" not in values(spark, [text], lambda c: M.extract_links(c, drop))[0]
+
+
+def test_safe_name(spark):
+    cases = [("a/b:c", "a_b_c"), ("  ..x..  ", "x"), ("///", "_"), ("...", "none"), ("A<>:B  C", "A_B C"), ("y" * 79 + " z", "y" * 79 + " "), (None, "none")]
+    assert values(spark, [c[0] for c in cases], lambda c: X.safe_name(c, "none")) == [c[1] for c in cases]
+
+
+def test_titles(spark):
+    cases = [("A - Site", "A"), ('"Q" ', "Q"), ("A-B", "A-B"), ("", "fb"), ("x\n y - z - w", "x y"), (None, "fb")]
+    assert values(spark, [c[0] for c in cases], lambda c: X.normalize_title(c, F.lit("fb"))) == [c[1] for c in cases]
+    heads = ["a\n##  T \n# U", "#\n# #\n  ### x", "none", "#tag"]
+    assert values(spark, heads, lambda c: X.title_of_markdown(c, F.lit("slug"))) == ["T", "#", "slug", "tag"]
+
+
+def test_excerpts(spark):
+    cases = [
+        ("---\nt: x\n---\n\n# H\n* a", "H a"), ("x\n---\ny\n---\nz", "x --- y --- z"), ("a" * 220, "a" * 220), ("a" * 221, "a" * 220 + "..."),
+        ("a 　\x1cb", "a b"), ("* 若发现内容有误 x\nb", "b"), ("", ""), ("😀" * 221, "😀" * 220 + "..."),
+    ]
+    assert values(spark, [c[0] for c in cases], lambda c: X.short_summary(c, C)) == [c[1] for c in cases]
+
+
+def test_cache_key(spark):
+    got = spark.range(1).select(X.summary_cache_key(F.lit(" T "), F.lit(" body\n"))).first()[0]
+    assert got == "b283dc96246afa2b91e50eec16eb2c89372525ec"
+
+
+def test_backoff(spark):
+    df = spark.createDataFrame([(n,) for n in (0, 1, 2, 7, 8, 20, 500)], "n int")
+    assert [r[0] for r in df.select(X.retry_delay_seconds(F.col("n"), C)).collect()] == [0, 30, 60, 1920, 3600, 3600, 3600]
+
+
+def test_parse_iso(spark):
+    got = values(spark, ["", "garbage", "2024", "2026-01-01T00:00:00Z", "2026-01-01T00:00:00+00:00", "2026-01-01T00:00:00"], X.parse_iso)
+    assert got[:3] == [None] * 3 and got[3] is not None and got[3] == got[4] == got[5]
+
+
+def test_progress_extensions(spark):
+    df = spark.createDataFrame([(1.0, 4.0), (5.0, 0.0), (5.0, None), (9.0, 3.0), (-1.0, 3.0), (1.0, -2.0)], "c double, t double")
+    assert [r[0] for r in df.select(X.percent_progress(F.col("c"), F.col("t"))).collect()] == [25.0, 5.0, 5.0, 100.0, 0.0, 0.0]
+    exts = spark.range(1).select(X.normalize_extensions(F.array(*map(F.lit, [" MD ", ".md", "", "txt"])))).first()[0]
+    assert exts == [".md", ".txt"]
+    assert values(spark, ["/a/b.MD", ".md", "x", "/a.b/c", "a.tar.gz"], X.extension) == [".md", "", "", "", ".gz"]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("", ""), (None, ""), ("<p> </p>", ""),
+        ("<h2>A</h2><p>b <b>c</b></p>", "# T\n\n## A\n\nb **c**"),
+        ("<div>x</div><div class='mw-parser-output'><p>y</p></div>z", "# T\n\ny"),
+        ("<ul><li>a<li>b</ul><span>s</span>", "# T\n\n- a\n- b\n\ns"),
+        ("<p>k<span class='reference'>1</span></p><script>var t='</p>'</script>", "# T\n\nk"),
+        ("<h1>Tx</h1>", "# Tx"), ("<a href='/u'>l</a><a href='/v'></a><img src='i.png' alt='x'>", "# T\n\n[l](/u)![x](i.png)"),
+    ],
+)
+def test_html_to_markdown(html, want):
+    assert re.sub(r"[ \t]+\n", "\n", M.to_markdown(html, "T")) == want
