@@ -1,0 +1,232 @@
+"""The frontier as tables against a sequential model; rules, summaries, upload, state and restart."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomline.config import CrawlConfig
+from loomline.functions import url as U
+from loomline.operators import frontier, pacing, pages, rules, summary, upload
+from loomline.plans import crawl
+from loomline.sources import fetch, state
+
+C = CrawlConfig(fetch_workers=2, per_run=6)
+NOW = "2024-01-01 00:00:00"
+
+
+def sequential(queue, visited, waiting, denied, n):
+    """One batch as a loop over the queue: picks, deferred, filtered, next queue."""
+    picks, deferred, filtered, tail = [], [], 0, []
+    rest = list(queue)
+    while rest and len(picks) < n:
+        url = rest.pop(0)
+        key = url.rsplit("/", 1)[-1]
+        if key in visited:
+            continue
+        if url in denied:
+            filtered += 1
+        elif url in waiting:
+            deferred.append(url)
+        elif url not in picks:
+            picks.append(url)
+    return picks, rest + deferred, len(deferred), filtered
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_selection_equals_the_loop(spark, seed):
+    rng = random.Random(seed)
+    url = lambda: f"https://wiki.test/{rng.choice(['', 'zh/'])}p{rng.randrange(14)}"
+    queue = [url() for _ in range(20)]
+    visited = {f"p{k}" for k in rng.sample(range(14), 3)}
+    denied = {u for u in queue if u.endswith(("p1", "p2"))}
+    waiting = {u for u in set(queue) if rng.random() < 0.2}
+    n = rng.choice([0, 3, 5, 50])
+    table = frontier.with_keys(spark.createDataFrame([(10 * i, u) for i, u in enumerate(queue)], "seq long, url string"))
+    seen = spark.createDataFrame([(f"https://wiki.test/{k}", k) for k in visited], "url string, visit_key string")
+    failures = spark.createDataFrame([(u, 1) for u in waiting], "url string, count int").withColumn("next_retry_at", F.to_timestamp(F.lit("2025-01-01")))
+    fates = frontier.classify(table, seen, failures, ["p1$", "p2$"], F.to_timestamp(F.lit(NOW)))
+    got = frontier.select_batch(fates, n)
+    picks, rest, deferred, filtered = sequential(queue, visited, waiting, denied, n)
+    assert [r["url"] for r in got.batch.orderBy("seq").collect()] == picks
+    assert (got.deferred, got.filtered) == (deferred, filtered)
+    left = [r["url"] for r in frontier.renumber(got.rest, "seq").orderBy("seq").collect()]
+    assert left == rest
+    forced = spark.createDataFrame([(u,) for u in waiting], "url string")
+    again = frontier.classify(table, seen, failures, ["p1$", "p2$"], F.to_timestamp(F.lit(NOW)), forced)
+    assert again.where("fate = 'defer'").count() == 0
+
+
+def test_new_links(spark):
+    p = lambda *x: [f"https://wiki.test/{i}" for i in x]
+    rows = spark.createDataFrame([(1, p("a", "b", "zh/c", "deny")), (2, p("c", "d", "deny", "q", "v"))], "position long, links array<string>")
+    visited = frontier.with_keys(spark.createDataFrame([(p("v")[0],)], "url string"))
+    queue = frontier.with_keys(spark.createDataFrame([(7, p("zh/q")[0])], "seq long, url string"))
+    fresh, denied = frontier.new_links(rows, visited, queue, ["deny"])
+    assert [r["url"] for r in fresh.orderBy("position", "place").collect()] == p("a", "b", "zh/c", "d") and denied.count() == 2
+    assert [(r["seq"], r["url"]) for r in frontier.enqueue(queue, fresh).orderBy("seq").collect()] == list(enumerate(p("zh/q", "a", "b", "zh/c", "d")))
+
+
+def test_failures_and_retries(spark):
+    old = spark.createDataFrame([("u1", 1, None, "2024-01-02", "x"), ("u2", 3, None, "2024-01-01", "y"), ("u4", 3, None, "2024-01-01", "y")], state.FAILURES)
+    results = spark.createDataFrame([("u1", False, "boom"), ("u2", True, ""), ("u3", False, "new")], "url string, ok boolean, error string")
+    got = {r["url"]: r for r in frontier.merge_failures(old, results, F.to_timestamp(F.lit(NOW)), C).collect()}
+    assert {k: (v["count"], v["last_error"]) for k, v in got.items()} == {"u1": (2, "boom"), "u3": (1, "new"), "u4": (3, "y")}
+    assert (got["u1"]["next_retry_at"] - got["u3"]["next_retry_at"]).total_seconds() == 30
+    none = frontier.with_keys(old.select("url")).where("false")
+    first = frontier.retry_first(old, none, none, ["u2"], 5)
+    assert [r["url"] for r in first.collect()] == ["u4", "u1"]
+    queue = frontier.with_keys(spark.createDataFrame([(0, "x"), (1, "u1")], "seq long, url string"))
+    assert [r["url"] for r in frontier.promote(queue, first).orderBy("seq").collect()] == ["u4", "u1", "x"]
+
+
+def test_rules(spark, tmp_path):
+    def load(value):
+        path = tmp_path / "rules.json"
+        path.write_text(value if isinstance(value, str) else json.dumps(value))
+        return [(r["pattern"], r["valid"]) for r in rules.load(spark, str(path), C).orderBy("ord").collect()]
+
+    assert load(["a", " ", 3, "(", " video/* ", "(?P<x>y)"]) == [("a", True), ("(", False), ("video/*", True), ("(?<x>y)", True)]
+    got = load({"deny_patterns": ["p"], "block_links": ["http://o.org/a.b?x=1#f", None], "block_links_by_source": {"/s": ["/t", 1]}})
+    assert [g[0] for g in got] == ["p", r"https://wiki\.test/a\.b\?x=1", r"https://wiki\.test/s", r"https://wiki\.test/t"]
+    assert rules.load(spark, str(tmp_path / "none.json"), C).count() == 0
+    for bad in ("3", "{", '"x"', '{"deny_patterns": "abc"}'):
+        with pytest.raises(Exception):  # noqa: B017
+            load(bad)
+    urls = spark.createDataFrame([("https://wiki.test/video1",), ("x",)], "url string")
+    assert [r[0] for r in urls.select(rules.first_match(F.col("url"), ["zzz", "video/*", "wiki"])).collect()] == ["video/*", None]
+
+
+def test_summaries(spark):
+    rows = spark.createDataFrame([("u1", "t", "x" * 2000), ("u2", "t", "x" * 2000), ("u3", "s", "short"), ("u4", "bad", "y" * 2000), ("u5", "c", "known")], "url string, title string, content string")
+    from loomline.functions import text as X
+
+    cache = rows.where("url = 'u5'").select(X.summary_cache_key(F.col("title"), F.col("content")).alias("cache_key"), F.lit("held").alias("summary"))
+
+    def service(title, excerpt):
+        if title == "bad":
+            raise ValueError
+        return f" sum  of\n{title} ", 10, 2, 12
+
+    routed = summary.route(rows, cache, C)
+    done = summary.summarise(routed, service, C)
+    got = {r["url"]: (r["mode"], r["summary"][:8], r["total_tokens"]) for r in done.collect()}
+    assert got == {"u1": ("llm", "sum of t", 12), "u2": ("cache_hit", "sum of t", 0), "u3": ("fallback", "short", 0), "u4": ("fallback", "y" * 8, 0), "u5": ("cache_hit", "held", 0)}
+    assert summary.merge_cache(cache, done).count() == 2
+    assert {r["mode"] for r in summary.route(rows, cache, C, has_client=False).collect()} == {"fallback", "cache_hit"}
+
+
+def test_upload(spark, tmp_path):
+    files = spark.createDataFrame([("/a/x.md", "x.md", "h1"), ("/b/x.md", "x.md", "h2"), ("/c/y.md", "y.md", "h3"), ("/d/z.md", "z.md", "h4")], "path string, name string, sha256 string")
+    progress = spark.createDataFrame([("/c/y.md", "y.md", "h3", "success"), ("/d/z.md", "z.md", "old", "success"), ("/gone.md", "gone.md", "h", "success")], "path string, name string, sha256 string, status string")
+    todo = upload.pending(files, progress)
+    assert sorted(r["path"] for r in todo.collect()) == ["/a/x.md", "/b/x.md", "/d/z.md"]
+    sent = upload.batches(todo, 2)
+    assert [r["batch"] for r in sent.orderBy("path").collect()] == [0, 0, 1]
+    with pytest.raises(ValueError):
+        upload.batches(todo, 0)
+    reports = spark.createDataFrame([(0, 0, "x.md", ""), (0, 1, "x.md", "late")], "batch long, pos long, file_name string, error string")
+    merged = upload.merge_results(sent, reports, NOW)
+    assert {r["path"]: (r["status"], r["error"]) for r in merged.collect()} == {"/a/x.md": ("failed", "late"), "/b/x.md": ("failed", "late"), "/d/z.md": ("success", None)}
+    after = {r["path"]: r["status"] for r in upload.merge_progress(progress, merged).collect()}
+    assert after == {"/a/x.md": "failed", "/b/x.md": "failed", "/c/y.md": "success", "/d/z.md": "success", "/gone.md": "success"}
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    (tmp_path / "d" / "f.md").write_text("1")
+    (tmp_path / "d" / "e" / "g.txt").write_text("2")
+    found = state.files(spark, [str(tmp_path / "d"), "/none"], True)
+    assert found.count() == 2 and upload.of_extensions(found, ["md"]).first()["path"] == str(tmp_path / "d" / "f.md")
+
+
+def test_index_and_state_files(spark, tmp_path):
+    old = spark.createDataFrame([("a", "1", 0), ("b", "2", 1), ("b", "3", 2), ("", "4", 3), (None, "5", 4)], "url string, title string, line int")
+    new = spark.createDataFrame([("a", "9", 0)], "url string, title string, line int")
+    assert {r["url"]: r["title"] for r in pages.upsert(old, new).collect()} == {"a": "9", "b": "3"}
+    path = tmp_path / "index.jsonl"
+    path.write_text('{"url": "a", "title": "t"}\n\nnot json\n{"title": "no url"}\n')
+    assert [r["url"] for r in state.read_index(spark, str(path)).collect()] == ["a"]
+    path = tmp_path / "state.json"
+    path.write_text(json.dumps({"queue": ["http://x.org/a", " "], "visited": ["/b"], "failed": ["/c"], "failure_meta": {"/c": {"count": "2", "next_retry_at": "2024-01-01T00:00:00Z", "last_error": None}}}))
+    got = state.read_crawl_state(spark, str(path), C)
+    assert [r["url"] for r in got["queue"].collect()] == ["https://wiki.test/a"] and got["failures"].first()["count"] == 2
+    state.write_crawl_state(got, str(tmp_path / "out.json"), NOW, NOW)
+    again = json.loads((tmp_path / "out.json").read_text())
+    assert again["queue"] == ["https://wiki.test/a"] and again["failure_meta"]["https://wiki.test/c"]["count"] == 2
+    path.write_text("{")
+    with pytest.raises(Exception):  # noqa: B017
+        state.read_crawl_state(spark, str(path), C)["queue"].collect()
+    assert state.read_crawl_state(spark, str(tmp_path / "none"), C)["queue"].count() == 0
+    cache = tmp_path / "cache.json"
+    cache.write_text(json.dumps({"k": " s ", "n": 3, "b": " "}))
+    assert [(r["cache_key"], r["summary"]) for r in state.read_summary_cache(spark, str(cache)).collect()] == [("k", "s")]
+    cache.write_text("broken")
+    assert state.read_summary_cache(spark, str(cache)).count() == 0
+
+
+def test_pacing(spark):
+    arrivals = [0, 1, 2, 50, 51, 10**6]
+    df = spark.createDataFrame(list(enumerate(arrivals)), "i long, at long")
+    want, last = [], None
+    for a in arrivals:
+        last = a if last is None else max(a, last + 10)
+        want.append(last)
+    assert [r["start"] for r in pacing.schedule(df, None, ["i"], "at", 10).orderBy("i").collect()] == want
+
+
+SITE = {f"p{i}": [f"/p{j}" for j in ((i * 2 + 1) % 30, (i * 3 + 2) % 30)] for i in range(25)}
+
+
+def fetch_site(urls):
+    html = lambda k: f"<title>{k}</title>" + "".join(f'<a href="{x}">{x}</a>' for x in SITE[k])
+    corpus = urls.sparkSession.createDataFrame([(f"https://wiki.test/{k}", html(k)) for k in SITE], "url string, html string")
+    return fetch.from_corpus(urls, corpus, C)
+
+
+def test_two_short_runs_equal_a_long_one(spark, tmp_path):
+    seeds = ["https://wiki.test/p0", "https://wiki.test/p27"]
+    for root, sizes in ((tmp_path / "one", [8]), (tmp_path / "two", [4, 4])):
+        for n in sizes:
+            done = crawl.run(spark, str(root), seeds, fetch_site, C, NOW, n=n)
+    one, two = state.Generations(spark, str(tmp_path / "one")), state.Generations(spark, str(tmp_path / "two"))
+    for name, schema in (("queue", state.QUEUE), ("visited", state.VISITED), ("index", state.INDEX), ("failures", state.FAILURES)):
+        rows = [sorted(map(tuple, s.load(name, schema).select("url").collect())) for s in (one, two)]
+        assert rows[0] == rows[1] and (rows[0] or name == "failures")
+    assert done.scanned == 4 and one.load("failures", state.FAILURES).first()["url"] == "https://wiki.test/p27"
+
+
+def test_fetching(spark):
+    config = CrawlConfig(fetch_workers=2, wiki_qps=0)
+
+    def get(url):
+        if "bad" in url:
+            raise OSError("down")
+        return {"title": "t", "content": "" if "empty" in url else "c"}
+
+    urls = spark.createDataFrame([("good",), ("bad",), ("empty",)], "url string")
+    got = {r["url"]: (r["success"], r["fetch_error"]) for r in fetch.fetch_pages(urls, get, config).collect()}
+    assert got == {"good": (True, None), "bad": (False, "down"), "empty": (False, "empty content")}
+    rescued = fetch.fetch_pages(urls, get, config, lambda u: {"title": "f", "content": "x"})
+    assert rescued.where("success").count() == 3
+    body = spark.createDataFrame([('{"status": "ok", "data": {"a": 1}}',), ('{"status": "no", "message": "m"}',), ("x",)], "b string")
+    assert [(r["x"]["data"], r["x"]["error"]) for r in body.select(fetch.api_envelope(F.col("b")).alias("x")).collect()] == [('{"a":1}', None), (None, "m"), (None, "request failed")]
+
+
+def test_stream(spark, tmp_path):
+    from loomline.streaming import runner
+
+    folder = tmp_path / "pages"
+    rows = spark.createDataFrame([(1, "https://wiki.test/a", '<title>A</title><a href="/b">b</a>')], "page_id long, url string, html string")
+    rows.write.parquet(str(folder))
+    for _ in range(2):
+        runner.run_index(spark, str(folder), str(tmp_path / "root"), C, NOW, str(tmp_path / "ck")).awaitTermination()
+        rows.withColumn("url", F.lit("https://wiki.test/c")).write.mode("append").parquet(str(folder))
+    index = state.Generations(spark, str(tmp_path / "root")).load("index", state.INDEX)
+    assert sorted(r["url"] for r in index.collect()) == ["https://wiki.test/a", "https://wiki.test/c"]
+    stream = spark.readStream.schema("page_id long, url string, html string").parquet(str(folder))
+    query = runner.links(stream, C, []).writeStream.format("memory").queryName("links").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r["url"] for r in spark.table("links").collect()} == {"https://wiki.test/b"}
+
+
+def test_visit_key_is_null_for_null(spark):
+    assert spark.range(1).select(U.visit_key(F.lit(None).cast("string"))).first()[0] is None
