@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: The messages' labels, with the columns that they show.
@@ -32,3 +32,8 @@ def upload_message(failed_items: str = "failed_items") -> Column:
 
 def combined_message(run: Column, upload: Column | None) -> Column:
     return run if upload is None else F.when(upload.isNull(), run).otherwise(F.concat(run, F.lit("\n\n"), upload))
+
+
+def render(spark: SparkSession, values: dict, message: Column) -> str:
+    """A message over one row of values."""
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()]).select(message).first()[0]

@@ -452,6 +452,120 @@ def html_to_markdown(spark, sf_dir):
     return rows.select("page_id", M.html_to_markdown("html", "title").alias("markdown"))
 
 
+# -- the remaining operators on their own ----------------------------------------
+
+
+@query("""WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS href FROM pages)
+SELECT page_id, href, 'https://wiki.test' || href AS joined FROM h""")
+def join_hrefs(spark, sf_dir):
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1))
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(hrefs).alias("href")).withColumn("joined", U.join_href(F.col("href"), CONFIG))
+
+
+@query("""WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS href FROM pages)
+SELECT href, url_decode(url_encode(href)) AS decoded, CAST(count(*) AS BIGINT) AS n FROM h GROUP BY 1, 2""")
+def percent_decoding(spark, sf_dir):
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1))
+    rows = table(spark, sf_dir, "pages").select(F.explode(hrefs).alias("href"))
+    coded = F.replace(F.url_encode("href"), F.lit("+"), F.lit("%20"))
+    return rows.groupBy("href", U.percent_decode(coded).alias("decoded")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, source AS title FROM documents")
+def markdown_titles(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    body = F.concat(F.lit("\n#\n ## "), F.col("source"), F.lit(" \n# other\n"), F.col("text"))
+    return docs.select("doc_id", X.title_of_markdown(body, F.lit("none")).alias("title"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at, epoch_us(ts) // 1000000 AS seconds FROM events")
+def iso_times(spark, sf_dir):
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    back = F.unix_seconds(X.parse_iso(F.concat(text, F.lit("Z"))))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("at"), back.alias("seconds"))
+
+
+SQL_RESULTS = """
+res AS (SELECT user_id, event_type = 'view' AS ok, props AS error FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events WHERE event_type IN ('error', 'view')) WHERE nth = 1 AND user_id % 2 = 0)"""
+
+
+def batch_results(spark, sf_dir) -> DataFrame:
+    """The last error or view of every even user as a batch's results."""
+    events = table(spark, sf_dir, "events").where("event_type IN ('error', 'view') AND user_id % 2 = 0")
+    last = events.groupBy("user_id").agg(F.max_by(F.struct("event_type", "props"), F.struct("ts", "event_id")).alias("e"))
+    url = F.concat(F.lit(f"{CONFIG.origin}/u"), F.col("user_id").cast("string"))
+    return last.select(url.alias("url"), (F.col("e.event_type") == "view").alias("ok"), F.col("e.props").alias("error"))
+
+
+@query(f"""WITH {SQL_FAILURES}, {SQL_RESULTS},
+r AS (SELECT 'https://wiki.test/u' || user_id AS url, ok, error FROM res),
+o AS (SELECT * FROM failures WHERE url NOT IN (SELECT url FROM r WHERE ok)),
+b AS (SELECT * FROM r WHERE NOT ok)
+SELECT coalesce(o.url, b.url) AS url, CAST(coalesce(o."count", 0) + CASE WHEN b.url IS NULL THEN 0 ELSE 1 END AS INTEGER) AS "count",
+  CASE WHEN b.url IS NULL THEN o.last_error ELSE b.error END AS last_error FROM o FULL JOIN b ON o.url = b.url""")
+def failure_merge(spark, sf_dir):
+    old = event_failures(spark, sf_dir)
+    at = F.to_timestamp_ntz(F.lit(NOW))
+    return frontier.merge_failures(old, batch_results(spark, sf_dir), at, CONFIG).select("url", "count", "last_error")
+
+
+@query(f"""WITH {SQL_RESULTS} SELECT url, visit_key FROM (
+SELECT url, {sql_key("url")} AS visit_key FROM pages UNION SELECT 'https://wiki.test/u' || user_id, 'u' || user_id FROM res WHERE ok)""")
+def visited_merge(spark, sf_dir):
+    visited = frontier.with_keys(table(spark, sf_dir, "pages").select("url"))
+    return frontier.merge_visited(visited, batch_results(spark, sf_dir))
+
+
+@query(rf"""WITH {SQL_LINKS},
+p AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY url) - 1 AS place, {sql_key("url")} AS visit_key FROM links),
+f AS (SELECT *, row_number() OVER (PARTITION BY visit_key ORDER BY page_id, place) AS nth FROM p WHERE {sql_deny("url")} IS NULL),
+q AS (SELECT page_id AS seq, url, {sql_key("url")} AS visit_key FROM pages),
+n AS (SELECT * FROM f WHERE nth = 1 AND visit_key NOT IN (SELECT visit_key FROM q)),
+a AS (SELECT 0 AS part, seq AS a, 0 AS b, url, visit_key FROM q UNION ALL SELECT 1, page_id, place, url, visit_key FROM n)
+SELECT CAST(row_number() OVER (ORDER BY part, a, b) - 1 AS BIGINT) AS seq, url, visit_key FROM a""")
+def frontier_enqueue(spark, sf_dir):
+    queue = frontier.with_keys(table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), "url"))
+    fresh, _ = frontier.new_links(page_links(spark, sf_dir).select(F.col("page_id").alias("position"), "links"), queue.where("false"), queue, PATTERNS)
+    return frontier.enqueue(queue, fresh)
+
+
+@query(f"""WITH {SQL_FAILURES}, t AS (SELECT url, "count", strftime(next_retry_at, '%Y-%m-%dT%H:%M:%S') AS raw FROM failures ORDER BY "count" DESC, raw, url LIMIT 20),
+a AS (SELECT 0 AS part, row_number() OVER (ORDER BY "count" DESC, raw, url) AS a, url FROM t UNION ALL SELECT 1, page_id, url FROM pages)
+SELECT CAST(row_number() OVER (ORDER BY part, a) - 1 AS BIGINT) AS seq, url FROM a""")
+def retry_promotion(spark, sf_dir):
+    failures = event_failures(spark, sf_dir)
+    queue = frontier.with_keys(table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), "url"))
+    first = frontier.retry_first(failures, queue, queue.where("false"), PATTERNS, 20)
+    return frontier.promote(queue, first).select("seq", "url")
+
+
+@query(rf"""WITH q AS (SELECT page_id AS seq, {sql_clean("url")} AS url FROM pages),
+k AS (SELECT *, {sql_key("url")} AS visit_key, {sql_deny("url")} IS NULL AS fine, row_number() OVER (PARTITION BY url ORDER BY seq) AS nth FROM q)
+SELECT seq, url, visit_key FROM k WHERE fine AND nth = 1 ORDER BY seq LIMIT 16""")
+def frontier_batch(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), U.clean_url(F.col("url"), CONFIG).alias("url"))
+    queue = frontier.with_keys(rows)
+    failures = spark.createDataFrame([], "url string, next_retry_at timestamp_ntz")
+    fates = frontier.classify(queue, queue.where("false"), failures, PATTERNS, F.to_timestamp_ntz(F.lit(NOW)))
+    return frontier.select_batch(fates, CONFIG.batch_size).batch
+
+
+@query(f"WITH {SQL_MERGED} SELECT path, status FROM m UNION ALL SELECT path, 'success' FROM files WHERE path NOT IN (SELECT path FROM m)")
+def upload_progress_merge(spark, sf_dir):
+    progress = files_of(spark, sf_dir).select("path", F.lit("success").alias("status"))
+    return upload.merge_progress(progress, merged(spark, sf_dir).select("path", "status"))
+
+
+@query("SELECT unnest(['.htm', '.html', '.md']) AS extension")
+def extension_list(spark, sf_dir):
+    return spark.range(1).select(F.explode(X.normalize_extensions(F.array(*map(F.lit, [" HTML ", "md", ".md", "", "Htm"])))).alias("extension"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size FROM documents")
+def file_fingerprints(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+
 @query()
 def crawl_loop(spark, sf_dir):
     """Two rounds of the crawl over ``pages`` as the site; the queue that is left."""

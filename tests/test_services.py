@@ -76,3 +76,20 @@ def _write(name, body):
 def test_write_pages(spark):
     uploads.write_pages(spark.createDataFrame([("a.md", "x")], "file_name string, body string"), _write)
     assert open("/tmp/loomline-test-a.md").read() == "x"
+
+
+def test_full_run(spark):
+    from loomline.plans import full_run
+    from loomline.plans.crawl import RunStats
+
+    sent = []
+    say = lambda title, text: sent.append((title, text))
+    totals = {"total_candidates": 3, "pending_files": 2, "skipped_files": 1, "batches": 1, "total_success": 2, "total_failed": 0, "failed_items": 0}
+    text = full_run.run(spark, lambda: RunStats(scanned=4), lambda: totals, say, "m", "now")
+    assert "扫描: 4" in text and "候选文件: 3" in text and sent == [("crawl done", text)]
+    with pytest.raises(RuntimeError):
+        full_run.run(spark, RunStats, lambda: totals | {"total_failed": 1}, say, "m", "now", notify_on_failure=True)
+    assert sent[-1][0] == "crawl failed" and "错误: 1 uploads failed" in sent[-1][1]
+    with pytest.raises(ZeroDivisionError):
+        full_run.run(spark, lambda: 1 / 0, None, say, "m", "now")
+    assert len(sent) == 2
