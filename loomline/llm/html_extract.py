@@ -55,7 +55,7 @@ SAME_ENDS = frozenset("li dt dd tr td th option".split())
 NOISE = frozenset("head nav footer aside form menu dialog button".split())
 MAIN = frozenset("article main".split())
 #: Fixed words in classes, ids and roles that name what is no content.
-NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation sidebar breadcrumb breadcrumbs footer cookie cookies consent gdpr notice popup modal newsletter subscribe share sharing social related recommended comment comments disqus respond reply replies toolbar pagination pager complementary contentinfo search".split())
+NOISE_WORDS = frozenset("ad ads adbox adsbox adslot adunit adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navmenu topnav sidenav navigation sidebar breadcrumb breadcrumbs footer cookie cookies cookiebar cookiebanner consent gdpr notice popup modal newsletter subscribe share sharing social related recommended comment comments commentlist commentbox disqus respond reply replies toolbar pagination pager complementary contentinfo search".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 SPLIT = re.compile(r"[^a-z0-9]+")
 
