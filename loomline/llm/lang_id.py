@@ -129,7 +129,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, reject_
     for _ in range(EPOCHS):
         for i in rng.permutation(len(fit)).tolist():
             slots, counts, language = fit[i]
-            share = counts / counts.sum()
+            share = counts.astype(np.float64) / counts.sum()
             hidden = share @ embed[slots]
             p = softmax((hidden @ weight + bias)[None])[0]
             p[number[language]] -= 1.0
@@ -154,7 +154,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, reject_
 
 
 def features(df: DataFrame) -> DataFrame:
-    """(slots, counts, lang) of ``text``, ``lang`` rows."""
+    """(slots, counts, lang) of ``text``, ``lang`` rows; slots fit 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,11 +166,11 @@ def features(df: DataFrame) -> DataFrame:
                     hashed, starts = slots_of(coded.dictionary)
                     times = np.bincount(np.asarray(coded.indices), minlength=len(coded.dictionary))
                     seen = np.bincount(hashed, weights=np.repeat(times, np.diff(starts)), minlength=SLOTS)
-                    slots.append(np.flatnonzero(seen).astype(np.int32))
+                    slots.append(np.flatnonzero(seen).astype(np.int16))
                     counts.append(seen[slots[-1]].astype(np.float32))
-                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32())), part["lang"]], ["slots", "counts", "lang"])
+                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int16())), pa.array(counts, pa.list_(pa.float32())), part["lang"]], ["slots", "counts", "lang"])
 
-    return df.select("text", "lang").mapInArrow(run, "slots array<int>, counts array<float>, lang string")
+    return df.select("text", "lang").mapInArrow(run, "slots array<smallint>, counts array<float>, lang string")
 
 
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model | None:
@@ -194,8 +194,11 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
         ids = ids.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
     chosen = shared.cut(ids.select("id", "lang"), "lang-sample")
     sample = known.join(F.broadcast(chosen.distinct()), ["id", "lang"], "left_semi")
-    rows = features(sample).orderBy("lang", F.xxhash64("slots", "counts")).limit(2 * sample_rows + 10 * n_languages).collect()
-    return train([(np.array(r["slots"], np.int64), np.array(r["counts"], np.float64), r["lang"]) for r in rows if r["slots"]])
+    got = features(sample).withColumn("order", F.xxhash64("lang", "slots", "counts")).toArrow().sort_by("order").combine_chunks()
+    starts = shared.runs(got["slots"].combine_chunks().value_lengths().to_numpy())
+    slots, counts = (got[c].combine_chunks().flatten().to_numpy() for c in ("slots", "counts"))
+    rows = [(slots[a:b], counts[a:b], language) for a, b, language in zip(starts, starts[1:], got["lang"].to_pylist()) if b > a]
+    return train(rows)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
