@@ -62,24 +62,24 @@ CONTEXT = {
 AGAINST = "token|sha|hash|key|isbn|order|version|serial|sku|ref"
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """Arrays of (s, e, m): start, end (code points, exclusive) and match of each leftmost match.
+EMPTY = "cast(array() as array<struct<s:int,e:int,m:string>>)"
 
-    Matches and the pieces between them alternate, so starts are running sums of lengths.
+
+def _spans(text: Column, found: Column, pattern: str) -> Column:
+    """Arrays of (s, e, m): start, end (code points, exclusive) and match of each leftmost match in ``found``.
+
+    Matches and the pieces before them alternate, so starts are running sums of lengths.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    empty = F.expr("array()").cast("array<struct<s:int,e:int,m:string>>")
-    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), empty.alias("out"))
+    pairs = F.arrays_zip(found.alias("m"), F.split(text, pattern, -1).alias("piece"))
+    first = F.struct(F.lit(0).alias("at"), F.expr(EMPTY).alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        # acc.at: end of the match before; the piece before this match follows it
-        start = acc["at"] + F.length(F.element_at(pieces, acc["k"] + 1))
-        end = start + F.length(m)
-        span = F.struct(start.alias("s"), end.alias("e"), m.alias("m"))
-        return F.struct(end.alias("at"), (acc["k"] + 1).alias("k"), F.array_append(acc["out"], span).alias("out"))
+    def step(acc: Column, pair: Column) -> Column:
+        m, start = pair["m"], acc["at"] + F.length(pair["piece"])
+        span = F.struct(start.alias("s"), (start + F.length(m)).alias("e"), m.alias("m"))
+        more = F.struct((start + F.length(m)).alias("at"), F.array_append(acc["out"], span).alias("out"))
+        return F.when(m.isNull(), acc).otherwise(more)  # the piece after the last match
 
-    return F.when(F.size(found) > 0, F.aggregate(found, first, step, lambda acc: acc["out"])).otherwise(empty)
+    return F.when(F.size(found) > 0, F.aggregate(pairs, first, step, lambda acc: acc["out"])).otherwise(F.expr(EMPTY))
 
 
 def _digits(m: Column) -> Column:
@@ -110,22 +110,16 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
-def _guarded(text: Column, kind: str, spans: Column) -> Column:
-    empty = F.expr("array()").cast("array<struct<s:int,e:int,m:string>>")
-    has = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
-    return F.when(has, spans).otherwise(empty)
-
-
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds __pii_cands: all base spans and looser candidates with votes and features."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    out = docs
-    for kind in BASE_KINDS:
-        out = out.withColumn(f"__pii_{kind}", _guarded(t, kind, _spans(t, PATTERNS[kind])))
-    out = out.withColumn("__pii_loose", _spans(t, LOOSE))
-    spelled = F.contains(t, F.lit("dot)")) | F.contains(t, F.lit("dot]"))
-    empty = F.expr("array()").cast("array<struct<s:int,e:int,m:string>>")
-    out = out.withColumn("__pii_spelled", F.when(spelled, _spans(t, SPELLED)).otherwise(empty))
+    none = F.expr("cast(array() as array<string>)")
+    tried = {k: F.contains(t, F.lit(NEEDS[k])) if k in NEEDS else F.lit(True) for k in BASE_KINDS}
+    tried |= {"loose": F.lit(True), "spelled": F.contains(t, F.lit("dot)")) | F.contains(t, F.lit("dot]"))}
+    patterns = PATTERNS | {"loose": LOOSE, "spelled": SPELLED}
+    found = {f"__pii_{k}_m": F.when(tried[k], F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none) for k, p in patterns.items()}
+    out = docs.withColumns(found)
+    out = out.withColumns({f"__pii_{k}": _spans(t, F.col(f"__pii_{k}_m"), p) for k, p in patterns.items()}).drop(*found)
 
     def named(column: str, kind) -> Column:
         return F.transform(column, lambda x: F.struct((kind(x) if callable(kind) else F.lit(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
@@ -140,7 +134,7 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     more = F.concat(named("__pii_loose", loose_kind), named("__pii_spelled", "email_spelled"))
     more = F.filter(more, lambda x: ~F.exists("__pii_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     out = out.withColumn("__pii_all", F.concat("__pii_base", more))
-    out = out.withColumn("__pii_cands", F.transform("__pii_all", lambda x: _judged(t, x)))
+    out = out.withColumn("__pii_cands", F.transform(F.transform("__pii_all", lambda x: _seen(t, x)), _judged))
     return out.drop("__pii_loose", "__pii_spelled", "__pii_base", "__pii_all", *[f"__pii_{k}" for k in BASE_KINDS])
 
 
@@ -153,13 +147,16 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit("y")).when(no, F.lit("n")).otherwise(F.lit("-"))
 
 
-def _judged(text: Column, x: Column) -> Column:
-    """A candidate with its vote pattern and features."""
-    kind, m = x["kind"], x["m"]
+def _seen(text: Column, x: Column) -> Column:
+    """A candidate with its digits, the text before it and its neighbours."""
     before = F.substring(text, F.greatest(x["s"] - 47, F.lit(1)), F.least(x["s"], F.lit(48)))
-    near = F.lower(before)
-    left, right = F.right(before, F.lit(1)), F.substring(text, x["e"] + 1, F.lit(1))
-    digits = _digits(m)
+    right = F.substring(text, x["e"] + 1, F.lit(1))
+    return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _digits(x["m"]).alias("digits"), F.lower(before).alias("near"), F.right(before, F.lit(1)).alias("left"), right.alias("right"))
+
+
+def _judged(x: Column) -> Column:
+    """A candidate of ``_seen`` with its vote pattern and features."""
+    kind, m, digits, near, left, right = (x[c] for c in ("kind", "m", "digits", "near", "left", "right"))
     base = kind.isin(*BASE_KINDS)
     passes = luhn(digits)
     form = _vote(base | ((kind == "long_number") & passes), (kind == "long_number") & ~passes)
