@@ -2,18 +2,18 @@
 
 A byte is eight binary decisions, so every byte context has 255 binary nodes with
 Krichevsky-Trofimov estimates.  A context of depth d is the d bytes before; it is a
-node of the tree if it holds at least 2 ** -15 of the training bytes (so each depth has
-at most 2 ** 15 contexts at any corpus size).  The bytes after contexts that are no nodes
+node of the tree if it occurs at least ``LEAST`` times in the training texts, at any corpus
+size, so the tree grows with the corpus.  The bytes after contexts that are no nodes
 stay with their parent's "other" child, so all training bytes count.  Weighting mixes
 all depths: P_w = 1/2 P_kt + 1/2 prod P_w(children), and a byte's probability follows
 the matched path from the deepest node up with the posterior weights 1/2 P_kt / P_w.
-With the counts fixed this is one table of nodes by bytes, which scores whole texts.
 
-The nodes are found exactly in two passes.  The first lists in every unit of text the
-contexts with at least half of the share; what a unit doesn't list is bounded by
-that half, so contexts whose upper bound is too low can't be nodes, and those left
-hold half of the share at least: a bounded list.  The second pass counts
-the bytes after the listed contexts over all training texts.
+The tree is a table: all distinct (six bytes of context, byte) of all texts with their training
+counts, dealt out by cell, which is the three nearest bytes of the context.  A unit of text
+sends each cell what it has of it.  A first pass over the cells weighs the subtrees
+below three bytes; what they come to is mixed on the driver for contexts of
+up to three bytes; a second pass over the cells follows the paths down and sends
+each unit the log probabilities it asked for, from which its texts are scored.
 
 The sequence of a text is its lower-cased bytes and one end byte 0xFF, which no UTF-8
 has; contexts before the beginning hold 0xFF.
@@ -43,11 +43,15 @@ from pyspark.sql import functions as F
 from loomline.llm import shared
 
 DEPTH = 6
-#: A context needs this share of the training bytes to be a node; a word to be looked up in place.
-NODE_BITS, HEAD_BITS = 15, 18
+#: A context is a node from so many occurrences on.
+LEAST = 2
+#: The nearest bytes of a context by which the tree is dealt out.
+CELL = 3
+#: A word needs this share of the training tokens to be looked up in place.
+HEAD_BITS = 18
 EDGE = 0xFF
-#: Text that one listing of contexts covers.
-UNIT_BYTES = 4 << 20
+#: Text of a unit, places that are sorted at once, and keys of whole cells that are worked on at once.
+UNIT_BYTES, BLOCK, CELL_KEYS = 16 << 20, 1 << 22, 1 << 20
 #: Places that walk down the tree at once.
 WALK = 1 << 15
 
@@ -94,6 +98,9 @@ def byte_logs(ones: np.ndarray) -> np.ndarray:
     return out.astype(np.float32)
 
 
+# The tree held in one place, from the nodes' definition: what the tests compare the dealt tree with.
+
+
 @dataclass
 class Nodes:
     """Contexts by depth, nearest byte most significant; rows are numbered by depth, then context."""
@@ -220,69 +227,282 @@ def build(nodes: Nodes, own: list[np.ndarray]) -> Tree:
     return Tree(nodes, np.concatenate(rows))
 
 
-def units(batches: Iterator[pa.RecordBatch], least: int = UNIT_BYTES) -> Iterator[pa.Array]:
-    """The texts of a partition in arrays of about ``least`` bytes."""
-    held, size = [], 0
-    for batch in batches:
-        for part in shared.by_bytes(batch, "text"):
-            held.append(part["text"].cast(pa.large_string()))
-            size += held[-1].nbytes
-            if size >= least:
-                yield pa.concat_arrays(held)
-                held, size = [], 0
-    if held:
-        yield pa.concat_arrays(held)
+def packed(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Runs of ``values`` as binary values."""
+    offsets = np.asarray(starts * values.itemsize, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def count(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n, covered): 0 for words by hash, 1 for contexts listed in units of ``covered`` bytes, 2 for documents and bytes."""
-    shared.bounded_batches(docs.sparkSession)
+def unpacked(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column, and the number of values in each row."""
+    sizes = np.asarray(pa.compute.binary_length(column), dtype=np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind), sizes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in units(batches):
-            data, offsets = shared.raw_bytes(texts)
-            data = shared.lowered(data)
-            words, _ = shared.word_array(data, offsets)
-            coded = words.dictionary_encode()
-            hashed = shared.hash_words(coded.dictionary).view(np.int64)
-            times = np.bincount(np.asarray(coded.indices), minlength=len(hashed)) if len(hashed) else np.zeros(0, np.int64)
-            size = len(data) + len(texts)
-            keys, n = contexts_of(data, offsets, depth, size / (2 << NODE_BITS))
-            kinds = np.repeat(np.array([0, 1, 2], np.int32), [len(hashed), len(keys), 1])
-            columns = np.concatenate([hashed, keys, [0]]), np.concatenate([times, n, [len(texts)]]), np.full(len(kinds), size)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), *(pa.array(c.astype(np.int64)) for c in columns)], ["kind", "key", "n", "covered"])
-
-    rows = docs.select("text").mapInArrow(run, "kind int, key long, n long, covered long")
-    return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("covered").alias("covered"))
-
-
-def tree_of(docs: DataFrame, counts: DataFrame, depth: int = DEPTH) -> Tree:
-    """The tree of the texts in ``docs``, whose ``count`` is ``counts``.
-
-    To the driver come the contexts that can be nodes (at most 2 ** 16 a depth) and
-    the bytes seen after them.
+
+def packed_ints(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Runs of non-negative integers as binary values, seven bits a byte, the last byte of each below 128."""
+    sizes = 1 + sum((values >> k > 0).astype(np.int64) for k in (7, 14, 21, 28))
+    at = shared.runs(sizes)
+    out = np.zeros(at[-1], np.uint8)
+    for k in range(5):
+        some = np.flatnonzero(sizes > k)
+        out[at[some] + k] = (values[some] >> 7 * k & 127) | ((sizes[some] > k + 1) << 7)
+    return packed(out, at[starts])
+
+
+def unpacked_ints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The inverse of ``packed_ints``: all values, and the number of values in each row."""
+    data, rooms = unpacked(column, np.uint8)
+    ends = data < 128
+    seen = shared.runs(ends)
+    starts = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1]) if len(data) else np.zeros(0, np.int64)
+    place = np.arange(len(data)) - starts[seen[:-1]] if len(data) else starts
+    values = np.add.reduceat((data & 127).astype(np.int64) << 7 * place, starts) if len(data) else starts
+    return values, np.diff(seen[shared.runs(rooms)])
+
+
+def steps(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Differences within each run, the first value as it is."""
+    out = np.diff(values, prepend=0)
+    out[starts[:-1]] = values[starts[:-1]]
+    return out
+
+
+def sums_of_steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The inverse of ``steps``; no run is empty."""
+    total, starts = np.cumsum(values), shared.runs(sizes)[:-1]
+    return total - np.repeat(total[starts] - values[starts], sizes)
+
+
+def merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their sums."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def grams(texts: pa.Array, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For blocks of places: context << 8 | byte, nearest byte of the context most significant, and the text of each place."""
+    data, offsets = shared.raw_bytes(texts)
+    padded, rooms = padded_texts(shared.lowered(data), offsets, depth)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets) + 1)
+    at = positions(rooms, depth)
+    for low in range(0, len(at), BLOCK):
+        here = at[low : low + BLOCK]
+        keys = np.zeros(len(here), np.int64)
+        for d in range(1, depth + 1):
+            keys = (keys << 8) | padded[here - d]
+        yield (keys << 8) | padded[here], owner[low : low + BLOCK]
+
+
+class Layers:
+    """The (context, byte) of whole cells by depth, from ``high`` to ``low``; ``up`` leads to the depth above."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, high: int, low: int):
+        self.high, self.low = high, low
+        self.keys, self.n, self.up, self.own, self.node = {high: keys}, {high: n.astype(np.float64)}, {}, {}, {}
+        for d in range(high, low, -1):
+            self.keys[d - 1], self.up[d] = np.unique(((self.keys[d] >> 16) << 8) | (self.keys[d] & 255), return_inverse=True)
+            self.n[d - 1] = np.bincount(self.up[d], self.n[d], len(self.keys[d - 1]))
+        for d in range(high, low - 1, -1):
+            context = self.keys[d] >> 8
+            run = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]]))
+            self.node[d] = np.bincount(run, self.n[d])[run] >= LEAST if d else np.ones(len(context), bool)
+            self.own[d] = self.n[d] if d == high else np.bincount(self.up[d + 1], self.n[d + 1] * ~self.node[d + 1], len(context))
+
+    def mix(self, level: int, given: np.ndarray | None = None) -> None:
+        """Weights one level of the bytes' bits, upwards; ``given`` is the outcome at ``high``, by key, if that has deeper contexts."""
+        self.bit, self.mixed, self.weight, self.one, self.rest = {}, {}, {}, {}, {}
+        for d in range(self.high, self.low - 1, -1):
+            code = self.keys[d] >> (8 - level)
+            first = np.concatenate([[True], code[1:] != code[:-1]])
+            of = np.cumsum(first) - 1
+            self.bit[d] = (self.keys[d] >> (7 - level)) & 1
+            counted = lambda n: np.stack([np.bincount(of, n * (1 - self.bit[d])), np.bincount(of, n * self.bit[d])], axis=1)  # noqa: B023, E731
+            if d == self.high and given is not None:
+                outcome = given[first]
+            else:
+                full = counted(self.n[d])
+                outcome = log_kt(full)
+                self.one[d] = kt_one(full)[of]
+                if d < self.high:
+                    own = counted(self.own[d])
+                    alone, below = outcome, log_kt(own) + np.bincount(of[self.up[d + 1][heads]], lower, len(full))
+                    outcome = np.logaddexp(alone, below) - np.log(2)
+                    self.weight[d] = np.exp(alone - np.log(2) - outcome)[of]
+                    self.rest[d] = kt_one(own)[of]
+            self.mixed[d] = outcome[of]
+            heads = np.flatnonzero(first)
+            lower = outcome * self.node[d][first]
+
+    def follow(self, base: np.ndarray, left: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From what is settled and left above ``low``, and the probability of a one if the path ends there, the same at ``high``."""
+        for d in range(self.low, self.high + 1):
+            if d > self.low:
+                base, left, other = base[self.up[d]], left[self.up[d]], other[self.up[d]]
+            if d not in self.one:
+                continue
+            weight = self.weight.get(d, 1.0)
+            here, after = base + left * weight * self.one[d], left * (1 - weight)
+            ends = here + after * self.rest[d] if d in self.rest else here
+            base, left, other = (np.where(self.node[d], x, y) for x, y in ((here, base), (after, left), (ends, other)))
+        return base, left, other
+
+
+def listed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """What units of doc_id, held_out, text rows hold, by kind.
+
+    0: training words by hash (key, n); 1: a cell's ``tails``, which are the lower bytes of
+    (context, byte), and their training counts ``times``, both packed; 2: training documents (n); 3: the documents.
     """
-    total = counts.where("kind = 2").agg(F.sum("covered")).first()[0] or 0
-    most = F.col("n") + (F.lit(total) - F.col("covered")) / (2 << NODE_BITS)
-    listed = counts.where("kind = 1").where(most * (1 << NODE_BITS) >= total).select("key").toArrow()["key"].to_numpy()
-    at = listed >> 48
-    nodes = Nodes([np.zeros(1, np.int64), *(np.sort(listed[at == d] & ((1 << 48) - 1)) for d in range(1, depth + 1))])
-    held = docs.sparkSession.sparkContext.broadcast(nodes)
+    shared.bounded_batches(docs.sparkSession)
+    low = 8 * (depth - CELL + 1)
+    kinds = f"kind int, key long, n long, unit long, cell int, tails binary, times binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes = held.value
-        for texts in units(batches):
-            data, offsets = shared.raw_bytes(texts)
-            padded, rooms = padded_texts(shared.lowered(data), offsets, depth)
-            key = ((nodes.deepest(padded) << 8) | padded)[positions(rooms, depth)]
-            n = np.bincount(key)
-            seen = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(n[seen])], ["key", "n"])
+        from pyspark import TaskContext
+
+        unit, size = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        words: list[tuple[np.ndarray, np.ndarray]] = []
+        empty = None
+
+        def rows(count: int, **given) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(count, f.type) for f in empty], schema=empty)
+
+        def whole_unit() -> Iterator[pa.RecordBatch]:
+            hashed, times = merged(*map(np.concatenate, zip(*words)))
+            yield rows(len(hashed), kind=pa.array(np.zeros(len(hashed), np.int32)), key=pa.array(hashed), n=pa.array(times))
+            keys, n = merged(*map(np.concatenate, zip(*held)))
+            cell = keys >> low
+            starts = np.append(np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])), len(keys))
+            tails, times = steps(keys & ((1 << low) - 1), starts), n.astype(np.int64)
+            for at in range(0, len(starts) - 1, 2000):
+                some = starts[at : at + 2001]
+                part = slice(some[0], some[-1])
+                count = len(some) - 1
+                yield rows(count, kind=pa.array(np.ones(count, np.int32)), unit=pa.array(np.full(count, unit)), cell=pa.array(cell[some[:-1]]), tails=packed_ints(tails[part], some - some[0]), times=packed_ints(times[part], some - some[0]))
+
+        for batch in batches:
+            empty = empty or pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("unit", pa.int64()), ("cell", pa.int32()), ("tails", pa.binary()), ("times", pa.binary()), ("doc_id", batch.schema.field("doc_id").type), ("held_out", pa.bool_()), ("text", pa.string())])
+            for part in shared.by_bytes(batch, "text"):
+                count = len(part)
+                learnt = ~np.asarray(part["held_out"].fill_null(True).to_numpy(zero_copy_only=False), dtype=bool)
+                for keys, owner in grams(part["text"], depth):
+                    both, n = np.unique((keys << 1) | learnt[owner], return_counts=True)
+                    held.append(merged(both >> 1, n * (both & 1)))
+                data, offsets = shared.raw_bytes(part["text"].filter(pa.array(learnt)))
+                coded = shared.word_array(shared.lowered(data), offsets)[0].dictionary_encode()
+                hashed = shared.hash_words(coded.dictionary).view(np.int64)
+                times = np.bincount(np.asarray(coded.indices), minlength=len(hashed)) if len(hashed) else np.zeros(0, np.int64)
+                words.append((hashed, times))
+                yield rows(1, kind=pa.array([2]), n=pa.array([int(learnt.sum())]))
+                yield rows(count, kind=pa.array(np.full(count, 3)), unit=pa.array(np.full(count, unit)), doc_id=part["doc_id"], held_out=part["held_out"], text=part["text"])
+                size += part["text"].nbytes
+                if len(held) > 3:
+                    held[:], words[:] = ([merged(*map(np.concatenate, zip(*x)))] for x in (held, words))
+                if size >= UNIT_BYTES:
+                    yield from whole_unit()
+                    held.clear(), words.clear()
+                    unit, size = unit + 1, 0
+        if held:
+            yield from whole_unit()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, kinds)
+
+
+def whole_cells(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of rows in the order of their cells, some cells at a time: rows' units, cells and sizes, each value's place in the keys, keys and counts."""
+    low = 8 * (depth - CELL + 1)
+
+    def done(parts: list) -> tuple:
+        unit, cell, sizes, tails, times = map(np.concatenate, zip(*parts))
+        keys = (np.repeat(cell.astype(np.int64), sizes) << low) | tails
+        distinct, place = np.unique(keys, return_inverse=True)
+        return unit, cell, sizes, place, distinct, np.bincount(place, times)
+
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        tails, sizes = unpacked_ints(batch["tails"])
+        tails, times = sums_of_steps(tails, sizes), unpacked_ints(batch["times"])[0]
+        unit, cell = batch["unit"].to_numpy(), batch["cell"].to_numpy()
+        ends = shared.runs(sizes)
+        start = 0
+        for end in [*np.flatnonzero(np.diff(cell)) + 1, len(cell)]:
+            if held and size >= CELL_KEYS and cell[start] != held[-1][1][-1]:
+                yield done(held)
+                held, size = [], 0
+            part = slice(ends[start], ends[end])
+            held.append((unit[start:end], cell[start:end], sizes[start:end], tails[part], times[part]))
+            size += ends[end] - ends[start]
+            start = end
+    if held:
+        yield done(held)
+
+
+def answered(units: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(unit, cell, logs): log10 probabilities of what each unit ``listed`` of each cell, in its order.
 
-    got = docs.select("text").mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    own = np.zeros((nodes.first[-1], 256))
-    own.reshape(-1)[got["key"].to_numpy()] = got["n"].to_numpy()
-    return build(*pruned(nodes, own, 2.0**-NODE_BITS))
+    To the driver come the distinct (three bytes of context, byte) with what lies below them.
+    """
+    spark = units.sparkSession
+    rows = units.where("kind = 1").select("unit", "cell", "tails", "times").repartition("cell").sortWithinPartitions("cell")
+    levels = range(8)
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *_, keys, n in whole_cells(batches, depth):
+            layers = Layers(keys, n, depth, CELL)
+            mixed = []
+            for level in levels:
+                layers.mix(level)
+                mixed.append(pa.array(layers.mixed[CELL]))
+            yield pa.RecordBatch.from_arrays([pa.array(layers.keys[CELL]), pa.array(layers.n[CELL]), *mixed], ["key", "n", *(f"m{k}" for k in levels)])
+
+    got = rows.mapInArrow(below, "key long, n double, " + ", ".join(f"m{k} double" for k in levels)).toArrow().sort_by("key")
+    keys = got["key"].to_numpy()
+    paths = np.zeros((8, 3, len(keys)))
+    if len(keys):
+        layers = Layers(keys, got["n"].to_numpy(), CELL, 0)
+        start = np.ones(len(layers.keys[0]))
+        for level in levels:
+            layers.mix(level, got[f"m{level}"].to_numpy())
+            paths[level] = layers.follow(0 * start, start, start / 2)
+    top = spark.sparkContext.broadcast((keys, paths))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, paths = top.value
+        for unit, cell, sizes, place, keys, n in whole_cells(batches, depth):
+            layers = Layers(keys, n, depth, CELL)
+            at = np.searchsorted(known, layers.keys[CELL])
+            logs = np.zeros(len(keys))
+            for level in levels:
+                layers.mix(level)
+                one = layers.follow(*paths[level][:, at])[2]
+                logs += np.log10(np.where(layers.bit[depth] == 1, one, 1 - one))
+            starts = shared.runs(sizes)
+            logs = logs.astype(np.float32)[place]
+            for low in range(0, len(unit), 2000):
+                some = starts[low : low + 2001]
+                yield pa.RecordBatch.from_arrays([pa.array(unit[low : low + 2000]), pa.array(cell[low : low + 2000]), packed(logs[some[0] : some[-1]], some - some[0])], ["unit", "cell", "logs"])
+
+    return rows.mapInArrow(down, "unit long, cell int, logs binary")
+
+
+def unit_scores(texts: pa.Array, logs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """log10 probability of each text of a unit; ``logs`` are those of its distinct (context, byte) in order."""
+    blocks, keys = [], np.zeros(0, np.int64)
+    for some, owner in grams(texts, depth):
+        distinct, place = np.unique(some, return_inverse=True)
+        blocks.append((distinct, place.astype(np.int32), owner))
+        keys = np.union1d(keys, distinct)
+    out = np.zeros(len(texts))
+    for distinct, place, owner in blocks:
+        out += np.bincount(owner, logs[np.searchsorted(keys, distinct)].astype(np.float64)[place], len(texts))
+    return out
 
 
 def score(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
@@ -291,47 +511,46 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
     Everything is learnt from the rows where ``learn`` holds.
     """
     spark = docs.sparkSession
-    training = docs.where(learn)
-    counts = shared.cut(count(training, depth), "lm-counts")
-    words = counts.where("kind = 0").select("key", "n")
-    documents = counts.where("kind = 2").agg(F.sum("n")).first()[0] or 0
+    units = shared.cut(listed(docs.withColumn("held_out", ~learn), depth), "lm-units", compression="zstd")
+    words = shared.cut(units.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
+    documents = units.where("kind = 2").agg(F.sum("n")).first()[0] or 0
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + documents, v + (documents > 0)
     head = words.where(F.col("n") * (1 << HEAD_BITS) >= n).orderBy("key").toArrow()  # at most 2 ** 18 words
-    tree = tree_of(training, counts, depth)
-    held = spark.sparkContext.broadcast((tree, head["key"].to_numpy(), head["n"].to_numpy()))
+    held = spark.sparkContext.broadcast((head["key"].to_numpy(), head["n"].to_numpy()))
     below = n + 0.1 * (v + 1)
 
     def log_rate(c):
         return np.log10((np.asarray(c) + 0.1) / below)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, times = held.value
-        for batch in batches:
-            for part in shared.by_bytes(batch, "text"):
-                data, offsets = shared.raw_bytes(part["text"])
-                data = shared.lowered(data)
-                total = tree.score(data, offsets)
-                words, counted = shared.word_array(data, offsets)
-                coded = words.dictionary_encode()
-                hashed = shared.hash_words(coded.dictionary).view(np.int64)
-                which = np.asarray(coded.indices).astype(np.int64)
-                place = np.minimum(np.searchsorted(keys, hashed), max(len(keys) - 1, 0))
-                known = keys[place] == hashed if len(keys) else np.zeros(len(hashed), bool)
-                logs = np.where(known, log_rate(times[place]), 0.0) if len(keys) else np.zeros(len(hashed))
-                starts = shared.runs(counted)
-                base = shared.run_sums(logs[which], starts) + log_rate(documents)
-                n_known = shared.run_sums(known[which].astype(np.int64), starts) + (documents > 0)
-                owner = np.repeat(np.arange(len(counted)), counted)
-                rare = ~known[which]
-                pairs, tf = np.unique(owner[rare] * max(len(hashed), 1) + which[rare], return_counts=True)
-                per_doc = shared.runs(np.bincount(pairs // max(len(hashed), 1), minlength=len(counted)))
-                lists = lambda x, t: pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), pa.array(x, t))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), pa.array(np.diff(offsets)), lists(hashed[pairs % max(len(hashed), 1)], pa.int64()), lists(tf, pa.int32())], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "rare", "tf"])
+    def run(part: pa.Table, answers: pa.Table) -> pa.Table:
+        keys, times = held.value
+        part, answers = part.combine_chunks(), answers.sort_by("cell").combine_chunks()
+        column = lambda t, name: t[name].chunk(0) if t[name].num_chunks else pa.array([], t.schema.field(name).type)
+        texts = column(part, "text")
+        total = unit_scores(texts, unpacked(column(answers, "logs"), np.float32)[0], depth)
+        data, offsets = shared.raw_bytes(texts)
+        words, counted = shared.word_array(shared.lowered(data), offsets)
+        coded = words.dictionary_encode()
+        hashed = shared.hash_words(coded.dictionary).view(np.int64)
+        which = np.asarray(coded.indices).astype(np.int64)
+        place = np.minimum(np.searchsorted(keys, hashed), max(len(keys) - 1, 0))
+        known = keys[place] == hashed if len(keys) else np.zeros(len(hashed), bool)
+        logs = np.where(known, log_rate(times[place]), 0.0) if len(keys) else np.zeros(len(hashed))
+        starts = shared.runs(counted)
+        base = shared.run_sums(logs[which], starts) + log_rate(documents)
+        n_known = shared.run_sums(known[which].astype(np.int64), starts) + (documents > 0)
+        owner = np.repeat(np.arange(len(counted)), counted)
+        rare = ~known[which]
+        pairs, tf = np.unique(owner[rare] * max(len(hashed), 1) + which[rare], return_counts=True)
+        per_doc = shared.runs(np.bincount(pairs // max(len(hashed), 1), minlength=len(counted)))
+        lists = lambda x, t: pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), pa.array(x, t))
+        return pa.Table.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), pa.array(np.diff(offsets)), lists(hashed[pairs % max(len(hashed), 1)], pa.int64()), lists(tf, pa.int32())], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "rare", "tf"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, rare array<long>, tf array<int>"
-    rows = docs.withColumn("held_out", ~learn).select("doc_id", "held_out", "text").mapInArrow(run, schema)
-    scored = shared.cut(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    held_texts = units.where("kind = 3").select("unit", "doc_id", "held_out", "text")
+    rows = held_texts.groupBy("unit").cogroup(answered(units, depth).groupBy("unit")).applyInArrow(run, schema)
+    scored = shared.cut(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored", compression="zstd")
     tail = scored.select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.tf").alias("tf"))
     c = F.coalesce("n", F.lit(0))
     rest = tail.join(words, "key", "left").groupBy("row").agg(F.sum(F.col("tf") * F.log10((c + 0.1) / below)).alias("more_base"), F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("more_known"))

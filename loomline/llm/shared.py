@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     This cuts the lineage: a lost executor costs tasks, not the work before
@@ -44,7 +44,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

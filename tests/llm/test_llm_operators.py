@@ -505,6 +505,33 @@ def test_tree_equals_its_definition():
     assert np.allclose((10.0 ** tree.logs.astype(float)).sum(axis=1), 1, atol=1e-5)
 
 
+def test_rare_contexts_are_nodes_at_any_corpus_size(spark):
+    def whole(learnt, depth=ctw.DEPTH):
+        """The tree of all contexts that occur twice, held in one place."""
+        data, offsets = shared.raw_bytes(pa.array(learnt, pa.large_string()))
+        keys, _ = ctw.contexts_of(data, offsets, depth, 1)
+        nodes = ctw.Nodes([np.zeros(1, np.int64), *(np.sort(keys[keys >> 48 == d] & ((1 << 48) - 1)) for d in range(1, depth + 1))])
+        padded, rooms = ctw.padded_texts(data, offsets, depth)
+        at = ctw.positions(rooms, depth)
+        own = np.zeros((nodes.first[-1], 256))
+        np.add.at(own, (nodes.deepest(padded)[at], padded[at]), 1)
+        return ctw.build(*ctw.pruned(nodes, own, 2 / len(at)))
+
+    rng = random.Random(5)
+    some = ["".join(rng.choice("abcde") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    learnt = [" ".join(rng.choices(some, k=500)) for _ in range(80)] + ["the quixotic zephyr"] * 2 + [""]
+    held_out = ["the quixotic zephyr", "never seen straße", "abc"]
+    rows = [(i, t, i < len(learnt)) for i, t in enumerate(learnt + held_out)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in ctw.score(df, F.col("learn")).collect()}
+    tree = whole(learnt)
+    want = tree.score(*shared.raw_bytes(pa.array(learnt + held_out, pa.large_string())))
+    assert len(b"".join(t.encode() for t in learnt)) > 3 << 15
+    assert [got[i] for i in range(len(rows))] == pytest.approx(want.tolist(), rel=1e-5)
+    one = spark.createDataFrame([(1, "abracadabra abra")], "doc_id long, text string")
+    assert ctw.score(one, F.lit(True)).first()["score"] == pytest.approx(brute_tree(b"abracadabra abra", 6, 2 / 17), rel=1e-5)
+
+
 # -- 10 personal data ---------------------------------------------------------------------------------
 
 
