@@ -568,7 +568,9 @@ def file_fingerprints(spark, sf_dir):
 
 @query()
 def crawl_loop(spark, sf_dir):
-    """Two rounds of the crawl over ``pages`` as the site; the queue that is left."""
+    """The crawl over ``pages`` as the site, from all of its URLs until the queue is empty; what was visited."""
+    import dataclasses
+    import sys
     import tempfile
 
     from loomline.plans import crawl
@@ -577,6 +579,7 @@ def crawl_loop(spark, sf_dir):
     corpus = table(spark, sf_dir, "pages")
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomline-")
     root = f"{base.rstrip('/')}/crawl-{uuid.uuid4().hex}"
-    seeds = [r["u"] for r in corpus.select(U.clean_url(F.col("url"), CONFIG).alias("u"), "page_id").orderBy("page_id").limit(10).collect()]
-    crawl.run(spark, root, seeds, lambda urls: fetch.from_corpus(urls, corpus, CONFIG), CONFIG, NOW, PATTERNS, n=20)
-    return state.Generations(spark, root).load("queue", state.QUEUE)
+    seeds = corpus.select(F.col("page_id").alias("seq"), U.clean_url(F.col("url"), CONFIG).alias("url"))
+    config = dataclasses.replace(CONFIG, fetch_batch_size=5000)  # fewer, larger batches; all are run
+    crawl.run(spark, root, seeds, lambda urls: fetch.from_corpus(urls, corpus, config), config, NOW, PATTERNS, n=sys.maxsize)
+    return state.Generations(spark, root).load("visited", state.VISITED)

@@ -230,3 +230,20 @@ def test_stream(spark, tmp_path):
 
 def test_visit_key_is_null_for_null(spark):
     assert spark.range(1).select(U.visit_key(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_crawl_loop_visits_the_whole_site(spark, tmp_path):
+    from loomline.plans import catalogue
+
+    url = "https://wiki.test/P{}".format
+    links = {i: [(i * 7 + 1) % 130, (i + 3) % 130] for i in range(120)}  # P120 to P129 are no pages
+    rows = [(i, url(i), f"<html><title>P{i}</title><body>{''.join(f'<a href=/P{j}>x</a>' for j in links[i])}</body></html>") for i in links]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    seen, todo = set(), list(links)
+    while todo:
+        i = todo.pop(0)
+        if i in links and i not in seen:
+            seen.add(i)
+            todo += links[i]
+    got = [r["url"] for r in catalogue.crawl_loop(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(map(url, seen)) and len(got) == 120
