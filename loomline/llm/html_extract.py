@@ -5,8 +5,9 @@ elements (with their classes) that lead to it.  A place that branches gets its
 presentation importance from the entropy of its child sequences over the host's pages;
 a place with text gets its content importance from how its texts spread: a text in
 one page counts 1, one in all pages 0.  Composite importance weighs a place's own with its
-children's, by the pages that hold them.  A branch of at least ``LEAST_PAGES`` pages in which
-no place is above ``LEAST_IMPORTANCE`` is dropped from each page.
+children's, by the pages that hold them.  A branch in which no place is above
+``LEAST_IMPORTANCE`` is dropped from each page.  ``LEAST_PAGES`` different pages are what it takes to
+see a repetition; equal rows and exact copies on one host count as one page.
 
 What a page says of itself counts first: scripts, styles, forms, navigation, footers,
 asides and elements whose classes, ids or roles name a menu, advert, notice or comment are
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 
 from loomline.llm import shared
 
-LEAST_PAGES = 10
+LEAST_PAGES = 2
 LEAST_IMPORTANCE = 0.1
 #: Weight that composite importance gives to the children, per child sequence.
 DECAY = 0.9
@@ -187,7 +188,7 @@ def statistics(pages: DataFrame) -> DataFrame:
                 keys = list(zip(*counted))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int32()), pa.array(keys[3], pa.int64()), pa.array(list(counted.values()), pa.int64())], ["host", "place", "kind", "value", "n"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, place string, kind int, value long, n long").groupBy("host", "place", "kind", "value").agg(F.sum("n").alias("n"))
+    return pages.select("host", "html").distinct().mapInArrow(run, "host string, place string, kind int, value long, n long").groupBy("host", "place", "kind", "value").agg(F.sum("n").alias("n"))
 
 
 def trees(counts: DataFrame) -> DataFrame:

@@ -305,6 +305,18 @@ def test_html_drops_what_a_site_repeats(spark):
     assert {r["text"] for r in html_extract.extract(same).collect()} == {"same"}
 
 
+@pytest.mark.parametrize("n", [2, 5, 9])
+def test_html_small_hosts_drop_what_they_repeat(spark, n):
+    page = "<body><div><span>Read our words to all visitors</span></div><section><p>Text {} of its own</p></section>{}</body>"
+    rows = [(i, f"http://h.test/{i}", page.format(i, "")) for i in range(n)] + [(n, "http://one.test/", page.format(n, ""))]
+    # copies of one page are no evidence: the table stays
+    rows += [(n + 1 + i, "http://h.test/copy", page.format("x", "<table><tr><td>held once</table>")) for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    want = {i: f"Text {i} of its own" for i in range(n)} | {n: f"Read our words to all visitors Text {n} of its own"}
+    assert got == want | {n + 1 + i: "Text x of its own held once" for i in range(2)}
+
+
 def test_html_on_the_test_pages(spark):
     import html
 
