@@ -12,7 +12,9 @@ see a repetition; equal rows and exact copies on one host count as one page.
 What a page says of itself counts first: scripts, styles, forms, navigation, footers,
 asides and elements whose classes, ids or roles name a menu, advert, notice or comment are
 no content anywhere, and where a page has an ``article`` or ``main`` element, the text
-is looked for in it.  If nothing would be left, the tree's verdict is ignored for that page.
+is looked for in it.  Classes, ids and roles don't decide alone: those of a branch that holds
+the page's only ``article`` or ``main`` text, or most of that text within one, are ignored, and all of
+them are where they would leave nothing.  If nothing would be left, the tree's verdict is ignored for that page.
 
 The tree's statistics are counted per (host, place, value), so a host with a third of
 all pages is no hot key; a host's tree is small and is joined to its pages.
@@ -57,6 +59,8 @@ NOISE = frozenset("head nav footer aside form menu dialog button".split())
 MAIN = frozenset("article main".split())
 #: Fixed words in classes, ids and roles that name what is no content.
 NOISE_WORDS = frozenset("ad ads adbox adsbox adslot adunit adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navmenu topnav sidenav navigation sidebar breadcrumb breadcrumbs footer cookie cookies cookiebar cookiebanner consent gdpr notice popup modal newsletter subscribe share sharing social related recommended comment comments commentlist commentbox disqus respond reply replies toolbar pagination pager complementary contentinfo search".split())
+#: Of these, the words that always count where other text is left, as comments can be most of a page and articles each.
+COMMENT_WORDS = frozenset("comment comments commentlist commentbox disqus respond reply replies".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -66,9 +70,11 @@ class PageParts:
 
     def __init__(self, page: str):
         self.texts: list[tuple[str, bool, bool, str]] = []  # place, in main, noise, text
+        found_in: list[tuple[tuple[int, ...], bool]] = []  # branches named as noise, and noise by element, of each text
+        named: list[bool | None] = []  # of each branch named as noise: is it within main, None for comments
         self.sequences: list[tuple[str, str]] = []
         # open elements: name, place, noise, main, child names
-        stack: list[tuple[str, str, bool, bool, list[str]]] = [("", "", False, False, [])]
+        stack: list[tuple[str, str, bool, bool, list[str], tuple[int, ...]]] = [("", "", False, False, [], ())]
         piece: list[str] = []
         at, end = 0, len(page)
 
@@ -80,11 +86,12 @@ class PageParts:
                     text = entities.unescape(text)
                 text = " ".join(text.split())
                 if text:
-                    _, place, noise, main, _ = stack[-1]
-                    self.texts.append((place, main, noise, text))
+                    _, place, noise, main, _, branches = stack[-1]
+                    self.texts.append((place, main, noise or bool(branches), text))
+                    found_in.append((branches, noise))
 
         def close() -> None:
-            _, place, _, _, children = stack.pop()
+            _, place, _, _, children, _ = stack.pop()
             if children:
                 self.sequences.append((place, " ".join(children)))
 
@@ -132,7 +139,7 @@ class PageParts:
                         break
                     if stack[k][0] not in ("p", "li", "dt", "dd", "tr", "td", "th") or (ending != "p" and stack[k][0] in ("table", "ul", "ol", "dl")):
                         break
-            _, place, noise, main, children = stack[-1]
+            _, place, noise, main, children, branches = stack[-1]
             if not children or children[-1] != name:
                 children.append(name)
             label, words = name, set()
@@ -143,12 +150,36 @@ class PageParts:
                     if kind.lower() == "class":
                         label = f"{name}.{'.'.join(sorted(value.split()))}"
             if name not in ("html", "body"):
-                noise = noise or name in NOISE or (bool(words & NOISE_WORDS) and name != "main") or (not main and (name == "header" or bool(words & HEADER_WORDS)))
+                noise = noise or name in NOISE or (not main and name == "header")
+                if (words & NOISE_WORDS and name != "main") or (not main and words & HEADER_WORDS):
+                    branches = (*branches, len(named))
+                    named.append(None if words & COMMENT_WORDS else main)
             main = main or name in MAIN or "main" in words and "role" in found[3].lower()
-            stack.append((name, f"{place}/{label}", noise, main, []))
+            stack.append((name, f"{place}/{label}", noise, main, [], branches))
         flush()
         while len(stack) > 1:
             close()
+        if named:
+            self._weigh_names(found_in, named)
+
+    def _weigh_names(self, found_in: list[tuple[tuple[int, ...], bool]], named: list[bool | None]) -> None:
+        """Ignores names of branches with the page's only main text or most of it, and all names that leave nothing."""
+        kept = [(t, b) for t, (b, noise) in zip(self.texts, found_in) if not noise]
+        total = sum(len(t[3]) for t, _ in kept if t[1])
+        inner, outer = Counter(), set()
+        for t, branches in kept:
+            if t[1]:
+                for k in branches:
+                    inner[k] += len(t[3])
+                # a branch around an article: the article itself is not named
+                outer.update(k for k in branches if not named[k] and not any(named[j] for j in branches))
+        # a named article, such as one of many comments, is no main text
+        clean = any(t[1] and not any(not named[k] for k in branches) for t, branches in kept)
+        ignored = {k for k, n in inner.items() if named[k] is not None and (2 * n > total if named[k] else k in outer and not clean)}
+        noisy = [noise or any(k not in ignored for k in branches) for branches, noise in found_in]
+        if all(noisy):
+            noisy = [noise for _, noise in found_in]
+        self.texts = [(place, main, n, text) for (place, main, _, text), n in zip(self.texts, noisy)]
 
     def text(self, noisy: frozenset[str] = frozenset()) -> str:
         """The content, without branches whose place is in ``noisy``."""

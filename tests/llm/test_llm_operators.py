@@ -317,6 +317,17 @@ def test_html_small_hosts_drop_what_they_repeat(spark, n):
     assert got == want | {n + 1 + i: "Text x of its own held once" for i in range(2)}
 
 
+def test_html_names_dont_remove_the_article():
+    of = lambda body: html_extract.PageParts(f"<body>{body}</body>").text()
+    assert of('<div class="content-sidebar-wrap"><article><p>The text</p></article><div class="sidebar">s</div></div>') == "The text"
+    assert of('<div class="layout has-sidebar"><main><p>The text</p></main></div>') == "The text"
+    assert of('<article><h1>Head</h1><section class="search-results related-work"><p>Much of the text is here</p></section></article>') == "Head Much of the text is here"
+    assert of('<article><p>The text, the whole text</p><div class="related">other</div></article><ol class="comments"><li><article><p>A comment that is longer than the text</p></article></ol>') == "The text, the whole text"
+    assert of('<div class="search-page"><p>All there is</p><nav>menu</nav></div>') == "All there is"
+    assert of('<p>Text</p><div class="comments"><p>A comment that is longer</p></div>') == "Text"
+    assert of('<p>Text</p><ol class="comments"><li><article class="comment"><p>A comment that is longer</p></article></ol>') == "Text"
+
+
 def test_html_on_the_test_pages(spark):
     import html
 
