@@ -356,7 +356,6 @@ def listed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     0: training words by hash (key, n); 1: a cell's ``tails``, which are the lower bytes of
     (context, byte), and their training counts ``times``, both packed; 2: training documents (n); 3: the documents.
     """
-    shared.bounded_batches(docs.sparkSession)
     low = 8 * (depth - CELL + 1)
     kinds = f"kind int, key long, n long, unit long, cell int, tails binary, times binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, text string"
 

@@ -265,7 +265,6 @@ def noisy_places(tree: list[dict]) -> frozenset[str]:
 def extract(pages: DataFrame, keep: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page id, url, text and n_chars of every page."""
     spark = pages.sparkSession
-    shared.bounded_batches(spark)
     read = pages.select(F.col(keep).alias("keep"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), host_of(F.col(url)).alias("host"))
     by_host = shared.cut(trees(statistics(read)), "style-trees")
     fields = [read.schema["keep"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())]

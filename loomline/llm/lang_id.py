@@ -5,11 +5,13 @@ UTF-8 bytes, each hashed into a table of embeddings.  A text's vector is the mea
 over all its words' subwords, and a linear softmax over the languages reads it.
 Embeddings and softmax are trained together by stochastic gradient descent in
 numpy, on a bounded sample of labelled documents (``SAMPLE_ROWS`` in all, dealt
-evenly over the languages by a hash of the ids).
+evenly over the languages by a hash of id and text; repeated rows count once).
 
-A share of the sample is held back to calibrate: a temperature for the softmax,
-and the score below which a text is rejected: the one that ``REJECT_SHARE`` of the held-back
-texts lie below, and never over one half, from where on a prediction is likelier right than wrong.
+A share of the sample is held back to calibrate, together with copies of its texts whose
+subwords are in random slots, as in languages never learnt.  The softmax's temperature is
+the likeliest for the held-back texts' languages and for no language at all for the copies; a text
+is rejected below the score that parts them with the fewest errors (the lowest such score,
+so that texts of the learnt languages stay).
 
 As the mean comes before the linear layer, the trained tables fold into one table
 of hash slots by languages; its size is fixed.  A batch's distinct words are
@@ -18,8 +20,8 @@ looked up once.
 Cases: a text that is null or has no letter is ``und`` with score 0 and rejected;
 without any labelled training document every text is ``und``.  Words are lower-cased
 by Unicode rules.  Repeated rows give repeated rows, an empty table an empty one;
-whole texts count however long.  Input columns named like the results are
-replaced; internal names start with ``__lid_``.
+whole texts count however long.  Other columns pass through under any name but one that
+starts with ``__lid_``, as the results' names do.
 """
 
 from __future__ import annotations
@@ -42,8 +44,10 @@ GRAMS = (2, 3, 4)
 SAMPLE_ROWS = 3000
 EPOCHS = 8
 RATE = 0.5
-#: Of the held-back texts, the share whose scores lie below the rejection threshold.
-REJECT_SHARE = 0.0005
+#: A language gets so many sample rows at least; of more languages than fit, the commonest are learnt.
+LEAST_EACH = 10
+#: Copies in random slots, as of unknown languages, of each held-back text.
+FOREIGN = 2
 UNKNOWN = "und"
 
 
@@ -113,7 +117,7 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, reject_share: float = REJECT_SHARE) -> Model | None:
+def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model | None:
     """Fits a model to (slots, counts, language) rows; None without rows."""
     languages = sorted({r[2] for r in rows})
     if not languages:
@@ -142,19 +146,24 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, reject_
             step += 1
     table = embed @ weight
     held = [r for i, r in enumerate(rows) if i in back] or fit
-    logits = np.array([(c / c.sum()) @ table[s] + bias for s, c, _ in held])
+    of = lambda rows: np.array([(c / c.sum()) @ table[s] + bias for s, c in rows])
+    logits, foreign = of([r[:2] for r in held]), of([(rng.integers(0, SLOTS, len(s)), c) for s, c, _ in held for _ in range(FOREIGN)])
     truth = np.array([number[r[2]] for r in held])
 
     def loss(t: float) -> float:
-        return -np.log(np.maximum(softmax(logits / t)[np.arange(len(truth)), truth], 1e-12)).mean()
+        logs = [np.log(np.maximum(softmax(x / t), 1e-12)) for x in (logits, foreign)]
+        return -logs[0][np.arange(len(truth)), truth].mean() - logs[1].mean()
 
-    temperature = min(np.exp(np.linspace(-2.5, 2.5, 101)), key=loss)
-    top = np.sort(softmax(logits / temperature).max(axis=1))
-    return Model(languages, table, bias, float(temperature), min(0.5, float(top[int(reject_share * len(top))])))
+    temperature = float(min(np.exp(np.linspace(-2.5, 2.5, 101)), key=loss))
+    top, strange = (np.sort(softmax(x / temperature).max(axis=1)) for x in (logits, foreign))
+    limits = np.concatenate([[0.0], np.nextafter(strange, 2)])
+    errors = np.searchsorted(top, limits) / len(top) + 1 - np.searchsorted(strange, limits) / len(strange)
+    reject_below = float(limits[errors.argmin()]) if len(languages) > 1 else 0.0
+    return Model(languages, table, bias, temperature, reject_below)
 
 
 def features(df: DataFrame) -> DataFrame:
-    """(slots, counts, lang) of ``text``, ``lang`` rows; slots fit 16 bits."""
+    """(slots, counts, lang, h) of ``text``, ``lang``, ``h`` rows; slots fit 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,47 +177,51 @@ def features(df: DataFrame) -> DataFrame:
                     seen = np.bincount(hashed, weights=np.repeat(times, np.diff(starts)), minlength=SLOTS)
                     slots.append(np.flatnonzero(seen).astype(np.int16))
                     counts.append(seen[slots[-1]].astype(np.float32))
-                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int16())), pa.array(counts, pa.list_(pa.float32())), part["lang"]], ["slots", "counts", "lang"])
+                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int16())), pa.array(counts, pa.list_(pa.float32())), part["lang"], part["h"]], ["slots", "counts", "lang", "h"])
 
-    return df.select("text", "lang").mapInArrow(run, "slots array<smallint>, counts array<float>, lang string")
+    return df.select("text", "lang", "h").mapInArrow(run, "slots array<smallint>, counts array<float>, lang string, h long")
 
 
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Trains on a sample of the rows where ``learn`` holds that have a language and a letter.
 
-    Ids are ranked by hash within each language, first in 64 parts of the
-    language, so that no task ranks a whole language; then the sample's features
+    Counts by language set each language's hash threshold; the rows below it, repeats
+    taken once, are few, and of those the smallest hashes are the sample.  Its features
     (bounded by ``sample_rows`` times the slots) come to the driver.
     """
-    shared.bounded_batches(docs.sparkSession)
-    known = docs.where(learn).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"))
+    known = docs.where(learn).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col(doc_id).cast("string").alias("id"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    spread = F.xxhash64(F.lit("lang-sample"), F.col("id").cast("string"))
-    ids = known.select("id", "lang", spread.alias("h"))
-    n_languages = known.select("lang").distinct().count()
-    if not n_languages:
+    known = known.select("lang", "text", F.shiftrightunsigned(F.xxhash64(F.lit("lang-sample"), "id", "text"), 1).alias("h"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(max(1, sample_rows // LEAST_EACH)).collect()
+    if not counts:
         return None
-    each = max(10, sample_rows // n_languages)
-    for part in (F.pmod("h", F.lit(64)), F.lit(0)):
-        rank = F.row_number().over(Window.partitionBy("lang", part).orderBy("h", "id"))
-        ids = ids.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
-    chosen = shared.cut(ids.select("id", "lang"), "lang-sample")
-    sample = known.join(F.broadcast(chosen.distinct()), ["id", "lang"], "left_semi")
-    got = features(sample).withColumn("order", F.xxhash64("lang", "slots", "counts")).toArrow().sort_by("order").combine_chunks()
+    each = sample_rows // len(counts)
+    limits = [(r["lang"], max(r["least"], min(int(2.0**63 * 1.5 * each / r["n"]), 2**63 - 1))) for r in counts]
+    limit = F.element_at(F.create_map(*[F.lit(v) for pair in limits for v in pair]), F.col("lang"))
+    few = shared.cut(known.where(F.col("h") <= limit).dropDuplicates(["lang", "h"]), "lang-sample")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    sample = few.select("lang", "h", rank.alias("rank")).where(F.col("rank") <= each).select("lang", "h")
+    got = features(few.join(F.broadcast(sample), ["lang", "h"])).toArrow().sort_by("h").combine_chunks()  # at most sample_rows keys
     starts = shared.runs(got["slots"].combine_chunks().value_lengths().to_numpy())
-    slots, counts = (got[c].combine_chunks().flatten().to_numpy() for c in ("slots", "counts"))
-    rows = [(slots[a:b], counts[a:b], language) for a, b, language in zip(starts, starts[1:], got["lang"].to_pylist()) if b > a]
-    return train(rows)
+    slots, times = (got[c].combine_chunks().flatten().to_numpy() for c in ("slots", "counts"))
+    rows = [(slots[a:b], times[a:b], language) for a, b, language in zip(starts, starts[1:], got["lang"].to_pylist()) if b > a]
+    model = train(rows)
+    shared.discard(few)
+    del got, slots, times, rows
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+#: What ``predict`` adds to the columns of its input.
+ADDED = {"__lid_pred": T.StringType(), "__lid_score": T.DoubleType(), "__lid_rejected": T.BooleanType()}
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """Adds lang_pred, score (calibrated) and rejected to every row."""
-    spark = docs.sparkSession
-    shared.bounded_batches(spark)
-    held = spark.sparkContext.broadcast(model)  # slots times languages
-    new = {"lang_pred": T.StringType(), "score": T.DoubleType(), "rejected": T.BooleanType()}
-    kept = [c for c in docs.columns if c not in new]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t in new.items()])
+    """Adds __lid_pred, __lid_score (calibrated) and __lid_rejected to every row."""
+    held = docs.sparkSession.sparkContext.broadcast(model)  # slots times languages
+    kept = docs.columns
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in ADDED.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -223,7 +236,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                     names = [model.languages[i] if f else UNKNOWN for i, f in zip(p.argmax(axis=1).tolist(), found.tolist())]
                     top = np.where(found, p.max(axis=1), 0.0)
                     rejected = ~found | (top < model.reject_below)
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(names, pa.string()), pa.array(top), pa.array(rejected)], [*kept, "lang_pred", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(top), pa.array(rejected)], [*kept, *ADDED])
 
     return docs.mapInArrow(run, schema)
 
@@ -236,4 +249,4 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
     model = fit(docs, ~held_out(F.col("doc_id")))
     out = predict(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lid_pred").alias("lang_pred"), F.col("__lid_score").alias("score"), F.col("__lid_rejected").alias("rejected"))

@@ -18,8 +18,8 @@ DataFrame functions only.  The one unpartitioned window has a row per source.
 Cases: a null source is a source of its own, last in order; a null or empty text
 has size 0 and is taken 0 times; a source without words has target 0; documents
 with the same id and size share a place in the order and are interchangeable;
-an empty table gives an empty one.  Input columns named like the results are
-replaced; other columns can't clash, as internal names start with ``__mix_``.
+an empty table gives an empty one.  Other columns pass through under any name but one
+that starts with ``__mix_``, as all added and internal names do.
 """
 
 from __future__ import annotations
@@ -80,32 +80,34 @@ def plan(docs: DataFrame, source: str = "source", **how) -> DataFrame:
     return shared.cut(out.select(*[F.col(c).alias(f"__mix_{c}") for c in out.columns]), "mix-plan")
 
 
+#: What ``mix`` adds to the columns of its input.
+ADDED = ("__mix_size", "__mix_source_size", "__mix_target", "__mix_taken")
+
+
 def mix(docs: DataFrame, planned: DataFrame, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """Adds size, source_size, target and taken to the documents of ``sized``."""
-    new = ("size", "source_size", "target", "taken")
-    kept = [c for c in docs.columns if not c.startswith("__mix_") and c not in new]
-    size = F.col("__mix_size")
+    """Adds __mix_size, __mix_source_size, __mix_target and __mix_taken to the documents of ``sized``."""
+    kept = [F.col(c) for c in docs.columns if not c.startswith("__mix_")]
     rows = docs.join(planned, F.col(source).eqNullSafe(F.col("__mix_source")))
     ends_here = F.coalesce(F.col("__mix_range") == F.col("__mix_end_range"), F.lit(False))
-    more = F.when(F.col("__mix_range") < F.col("__mix_end_range"), size).otherwise(F.lit(0))
+    more = F.when(F.col("__mix_range") < F.col("__mix_end_range"), F.col("__mix_size")).otherwise(F.lit(0))
     clear = rows.where(~ends_here).withColumn("__mix_more", more.cast("long"))
     order = Window.partitionBy(source).orderBy("__mix_key", doc_id, "__mix_size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("__mix_end_words") - F.coalesce(F.sum("__mix_size").over(order), F.lit(0))
-    last = rows.where(ends_here).withColumn("__mix_more", F.greatest(F.lit(0), F.least(size, left)).cast("long"))
-    taken = (F.col("__mix_whole") * size + F.col("__mix_more")).alias("taken")
-    return clear.unionByName(last).select(*kept, size.alias("size"), F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"), taken)
+    last = rows.where(ends_here).withColumn("__mix_more", F.greatest(F.lit(0), F.least("__mix_size", left)).cast("long"))
+    taken = (F.col("__mix_whole") * F.col("__mix_size") + F.col("__mix_more")).alias("__mix_taken")
+    return clear.unionByName(last).select(*kept, *ADDED[:3], taken)
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
     """One row for each repetition of a mixed document; parts round to the nearest whole."""
-    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    return mixed.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), times))).drop("__mix_copy", "size", "source_size", "target", "taken")
+    times = F.when(F.col("__mix_size") > 0, F.round(F.col("__mix_taken") / F.col("__mix_size"))).otherwise(0).cast("int")
+    return mixed.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), times))).drop("__mix_copy", *ADDED)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     rows = shared.cut(sized(docs).drop("text"), "mix-sizes")
-    return mix(rows, plan(rows)).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(rows, plan(rows)).select("doc_id", *[F.col(c).alias(c.removeprefix("__mix_")) for c in ADDED])
 
 
 ORACLE = r"""

@@ -15,13 +15,13 @@ bucket borrows the register of another by a fixed random probe.
    confirmed on the full sets of whole texts, and the components are found.
 4. Buckets that still hold several components are compared in full: the estimate
    is taken for all pairs across components inside a task of bounded size (large
-   buckets are dealt into pairs of blocks), and the classes that have a partner left
+   buckets, by classes or by shingles, are dealt into pairs of blocks), and the classes that have a partner left
    go in groups to exact confirmation, which returns one link for two components
    that it joins.  Pairs are never rows, and no link between different texts is lost
    to the size of a bucket.
-5. The components are found again over all links.
+5. The links found then join the components found before, as edges between their labels.
 
-Class ids are 64 bits of a checksum of the set.
+Class ids are 64 bits of a checksum of the set, and classes are told apart by it and the set's size.
 
 Cases: a text that is null or has no word has an empty set, is linked with nothing
 and is its own component.  A document without an id can't be named: its
@@ -48,8 +48,8 @@ REGISTERS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 PERCENT = 85
 STANDARD_ERRORS = 5.0
-#: Classes of a bucket that one task compares with as many others.
-BLOCK = 1000
+#: Classes of a bucket, and shingles of their sets, that one task compares with as many others.
+BLOCK, BLOCK_SHINGLES = 1000, 1 << 21
 
 
 def shingle_sets(texts: pa.Array, percent_words: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -137,9 +137,8 @@ def least_estimate(na: np.ndarray, nb: np.ndarray, percent: int = PERCENT) -> np
     return np.where(100 * small >= percent * large, t - STANDARD_ERRORS * error, 2.0)
 
 
-def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, cid (class) and regs of every row."""
-    shared.bounded_batches(docs.sparkSession)
+def signatures(rows: DataFrame) -> DataFrame:
+    """key, n_shingles, cid (class) and regs of every key, text row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,10 +146,9 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 flat, starts = shingle_sets(part["text"])
                 regs = registers(flat, starts)
                 fixed = pa.Array.from_buffers(pa.binary(), len(regs), [None, pa.py_buffer(np.arange(len(regs) + 1, dtype=np.int32) * 2 * REGISTERS), pa.py_buffer(np.ascontiguousarray(regs))])
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(np.diff(starts)), pa.array(checksums(flat, starts)), fixed], ["doc_id", "n_shingles", "cid", "regs"])
+                yield pa.RecordBatch.from_arrays([part["key"], pa.array(np.diff(starts)), pa.array(checksums(flat, starts)), fixed], ["key", "n_shingles", "cid", "regs"])
 
-    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return read.mapInArrow(run, "doc_id long, n_shingles long, cid long, regs binary")
+    return rows.select("key", "text").mapInArrow(run, "key long, n_shingles long, cid long, regs binary")
 
 
 def _registers_of(column: pa.Array) -> np.ndarray:
@@ -306,23 +304,25 @@ def in_groups(rows: DataFrame, keys: list[str], work, schema: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = shared.cut(signatures(docs), "signatures")
-    linkable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = shared.cut(linkable.groupBy("cid", "n_shingles", "regs").agg(F.min("doc_id").alias("rep")).withColumnRenamed("n_shingles", "n"), "classes")
+def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Of key, text rows: (key, n_shingles, cid) of every row, and (cid, label) of every class; equal labels are linked.
+
+    Rows without a key are signed, but make no class.
+    """
+    signed = shared.cut(signatures(rows), "signatures")
+    classes = signed.where("key IS NOT NULL AND n_shingles > 0").groupBy("cid", F.col("n_shingles").alias("n"))
+    classes = shared.cut(classes.agg(F.min("regs").alias("regs"), F.min("key").alias("rep")), "classes")
 
     # buckets with several classes
     size = 5 if percent >= 85 else 4
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("regs", 2 * size * k + 1, 2 * size)) for k in range(REGISTERS // size)])
-    banded = classes.select("cid", F.explode(keys).alias("key"))
-    centers = banded.groupBy("key").agg(F.min("cid").alias("center"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = shared.cut(banded.join(centers, "key"), "buckets")
+    banded = classes.select("cid", "n", F.explode(keys).alias("key"))
+    centers = banded.groupBy("key").agg(F.min("cid").alias("center"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).where("m > 1")
+    members = shared.cut(banded.drop("n").join(centers, "key"), "buckets")
 
     # whole texts of the classes in such buckets
-    wanted = members.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
-    texts = shared.cut(matching_texts(docs.join(wanted, docs.doc_id == wanted.rep).select("cid", "text")).dropDuplicates(["cid"]), "texts")
+    wanted = members.select("cid").distinct().join(classes.select("cid", "n", "rep"), "cid")
+    texts = shared.cut(matching_texts(rows.join(wanted, rows.key == wanted.rep).select("cid", "n", "text")).dropDuplicates(["cid"]), "texts")
 
     # stars
     pairs = members.where("cid <> center").select(F.col("center").alias("a"), F.col("cid").alias("b")).distinct()
@@ -331,26 +331,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     likely = shared.cut(plausible(pairs.join(right, "b").join(left, "a"), percent), "likely")
     of_a, of_b = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
     links = shared.cut(confirmed(likely.join(of_b, "b").join(of_a, "a"), percent), "links")
+    labels = shared.cut(components(links).withColumnRenamed("node", "cid"), "labels")
+    shared.discard(likely, links)
 
     # what the stars leave open
-    labels = components(links).withColumnRenamed("node", "cid")
     labelled = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    unsettled = labelled.where("m > 2").groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = labelled.join(unsettled, "key").join(classes.select("cid", "n", "regs"), "cid").withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    rows = rows.select("key", "i", "j", "block", "center", "cid", "n", "label", "regs")
-    found = in_groups(rows, ["key", "i", "j"], lambda group: open_groups(group, percent), "gid long, cid long, label long")
+    labelled = shared.cut(labelled.where("m > 2"), "labelled")
+    unsettled = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.least("m", F.ceil(F.col("total") / BLOCK_SHINGLES))).cast("int")
+    open_rows = labelled.join(unsettled, "key").join(classes.select("cid", "n", "regs"), "cid").withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+    open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    open_rows = open_rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    open_rows = open_rows.select("key", "i", "j", "block", "center", "cid", "n", "label", "regs")
+    found = in_groups(open_rows, ["key", "i", "j"], lambda group: open_groups(group, percent), "gid long, cid long, label long")
     groups = shared.cut(found.distinct(), "groups")
     more = in_groups(groups.join(texts, "cid"), ["gid"], lambda group: group_links(group, percent), "a long, b long")
-    links = links.unionByName(shared.cut(more, "more-links"))
 
-    # component ids by class, then by document
-    labels = components(links).withColumnRenamed("node", "cid")
-    named = classes.select("cid", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    named = shared.cut(named, "named")
-    lowest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    # links between components found before are edges between their labels
+    of = lambda end: labels.select(F.col("cid").alias(end), F.col("label").alias(f"label_{end}"))
+    joined = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joined = joined.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    merged = components(joined).toDF("label", "merged")
+    named = classes.select("cid").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    named = named.join(merged, "label", "left").select("cid", F.coalesce("merged", "label").alias("label"))
+    out = signed.drop("regs"), shared.cut(named, "named")
+    shared.discard(classes, members, texts, labelled, groups, labels)
+    return out
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row."""
+    signed, named = linked(docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).cast("string").alias("text")), percent)
+    signed = signed.withColumnRenamed("key", "doc_id")
+    some = signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("cid").agg(F.min("doc_id").alias("rep")).join(named, "cid")
+    lowest = some.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_class = named.join(lowest, "label").select("cid", "component_id")
     out = signed.join(by_class, "cid", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -359,22 +373,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def matching_texts(rows: DataFrame) -> DataFrame:
-    """Of (cid, text) those whose text is of that class: ids may repeat with other texts."""
+    """Of (cid, n, text) those whose text is of that class: keys may repeat with other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in shared.by_bytes(batch, "text"):
-                same = checksums(*shingle_sets(part["text"])) == np.asarray(part["cid"])
+                flat, starts = shingle_sets(part["text"])
+                same = (checksums(flat, starts) == np.asarray(part["cid"])) & (np.diff(starts) == np.asarray(part["n"]))
                 yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(same)) for c in ("cid", "text")], ["cid", "text"])
 
     return rows.mapInArrow(run, "cid long, text string")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the first of its component for some text; rows without an id stay."""
-    found = near_duplicates(docs, doc_id, text, percent).where("doc_id IS NOT NULL")
-    dropped = found.groupBy(F.col("doc_id").alias("__dup_id")).agg(F.max("kept").alias("__dup_kept")).where("NOT __dup_kept").select("__dup_id")
-    return docs.join(dropped, F.col(doc_id) == F.col("__dup_id"), "left_anti")
+    """One row of ``docs`` for each component: that of the smallest id, any of those if it repeats.
+
+    Rows are told apart by a number of their own, so rows that repeat an id or have none are judged like all
+    others (those without an id come last); rows with an empty set all stay.
+    """
+    numbered = shared.cut(docs.withColumn("__dup_row", F.monotonically_increasing_id()), "numbered")
+    signed, named = linked(numbered.select(F.col("__dup_row").alias("key"), F.col(text).cast("string").alias("text")), percent)
+    ids = numbered.select(F.col("__dup_row").alias("key"), F.col(doc_id).alias("id"))
+    place = F.struct(F.col("id").isNull(), "id", "key")
+    some = signed.where("n_shingles > 0").join(ids, "key")
+    first = some.groupBy("cid").agg(F.min(place).alias("first")).join(named, "cid").groupBy("label").agg(F.min("first").alias("first"))
+    dropped = some.join(named, "cid").join(first, "label").where(F.col("key") != F.col("first.key")).select(F.col("key").alias("__dup_key"))
+    return numbered.join(dropped, F.col("__dup_row") == F.col("__dup_key"), "left_anti").select(docs.columns)
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

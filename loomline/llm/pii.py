@@ -1,40 +1,51 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a classifier decides.
 
 Base spans (e-mail addresses, IP addresses, card numbers, international phone numbers)
-follow fixed patterns and always stay.  Looser patterns give further candidates:
-local phone numbers, national ids, long numbers and spelled-out e-mail addresses.
-Four labelers vote yes, no or abstain on every candidate: a format check, a gazetteer
-(domain endings, issuer prefixes, calling codes, reserved ranges), the words before it,
-and the characters around it.  Expectation maximisation over the counts of vote
-patterns estimates each kind's prior and each labeler's rates without labels.  The
-posteriors are the soft labels of the final span classifier, a naive Bayes model on
-features that no labeler votes with (length, digits, separators, neighbours), and a
-candidate that it finds likelier than not becomes a span.  Counts cover all documents.
+follow fixed patterns and always stay.  Looser patterns give further candidates: local
+phone numbers, national ids, long numbers, spelled-out e-mail addresses and secrets
+(keys, tokens, passwords).  Four labelers vote yes, no or abstain on every candidate: a
+check of its form, a gazetteer (domain endings, issuer and key prefixes, service numbers),
+the words before it, and what it stands between.
+
+Expectation maximisation estimates, for each kind on its own, how common personal data
+is among the candidates and each labeler's rates, from the counts of vote patterns of
+all documents and without labels.  The rates start from ``START``, which also counts as
+``STRENGTH`` candidates and as many as there are, so that few or one-sided candidates
+don't turn a labeler round and a corpus of any size is judged alike.
+
+The posteriors are the soft labels of the final span classifier, a naive Bayes model of
+each kind: its votes weigh as EM found, and features that no labeler votes with (length,
+marks, neighbours, the words after it) add their smoothed log ratios, at ``SHARE``.  A
+candidate that it finds likelier than not becomes a span.
 
 DataFrame and SQL functions only: patterns run in the JVM, spans are arrays of structs,
-EM is one expression over the table of vote patterns (at most kinds times 3 ** 4 rows).
-The driver gets one row: the classifier's weights, bounded by the features' bins.
+EM is one expression over a kind's table of vote patterns (at most 3 ** 4).  The driver
+gets the classifier's weights, bounded by the kinds' votes and bins.
 
 The patterns are written with possessive parts and start conditions that don't
 change what they match but keep them linear on long runs.
 
 Cases: a null or empty text has no spans.  Spans of one kind never overlap; a
 candidate that overlaps a base span is dropped.  Repeated rows give repeated rows, an
-empty table an empty one.  Without any candidate the classifier adds nothing.  Internal
-columns start with ``__pii_``; results replace input columns of their names.
+empty table an empty one.  Without any candidate the classifier adds nothing.  Columns
+pass through ``redact`` under any name but one that starts with ``__pii_``, as internal
+names do; ``personal_data`` reads the id alone.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm import shared
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("phone_local", "national_id", "long_number", "email_spelled")
+MORE_KINDS = ("phone_local", "national_id", "long_number", "email_spelled", "secret")
 KINDS = BASE_KINDS + MORE_KINDS
 EM_ROUNDS = 25
+STRENGTH, SHARE, SMOOTH = 50.0, 0.5, 20.0
 
 #: Fixed patterns of the base kinds.
 PATTERNS = {
@@ -43,25 +54,39 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What a text must hold for a pattern to be tried.
-NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 LOOSE = r"(?<![0-9+.-])(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])|(?<![0-9+.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![0-9])[0-9](?:[\x20.-]?+[0-9]){12,}+"
 SPELLED = r"[A-Za-z0-9._%+-]{1,64}\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[(\[]dot[)\]]\x20?[A-Za-z0-9-]{1,63})+"
+#: Runs of 20 characters or more with a digit and a letter.
+SECRET = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=-]{20})(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{20,}+"
+#: What a text must hold for a pattern to be tried.
+NEEDS = {"email": ("@",), "ip": (".",), "phone": ("+",), "spelled": ("dot)", "dot]")}
 
-#: Fixed word lists of the gazetteer and context labelers.
+#: Fixed word lists and patterns of the labelers.
 ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "it", "uk", "eu", "ch", "at", "nl")
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
-CALLING = r"^\+(1|7|2[07]|3[0-4369]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
-RESERVED = r"^(0|10|127|169\.254|192\.168|22[4-9]|2[345][0-9])\."
+SERVICE = r"^([0-9]11|[0-9]{3}[0-9]11|800|888|877|866|900)"
+ID_RANGES = r"^(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}$"
+SPECIMENS = ("078051120", "219099999", "457555462", "123456789")
+KEY_PREFIX = r"^(sk[-_]|pk[-_]|gh[pousr]_|AKIA|ASIA|xox[abps]-|eyJ|AIza|glpat-)"
+UNIQUE_ID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 CONTEXT = {
-    "email": "mail|contact|write|escri|schreib",
-    "ip": "ip|address|host|server|login",
-    "card": "card|visa|master|amex|credit|pay|karte|carte|tarjeta",
-    "phone": "phone|call|tel|mobile|fax|contact",
+    "phone_local": r"\b(phone|call|tel|mobile|cell|fax|contact|dial|ring|ruf|appel|llam)",
+    "national_id": r"\b(ssn|social|security|passport|identity|national|ausweis|dni|taxpayer)",
+    "long_number": r"\b(card|visa|master|amex|credit|debit|pay|karte|carte|tarjeta|iban|account|konto|compte|cuenta)",
+    "email_spelled": r"\b(e?-?mail|contact|write|reach|escri|schreib|kontakt)",
+    "secret": r"\b(token|secret|key|api|passw|pwd|credential|auth|bearer|login)",
+}
+AGAINST = r"\b(sha|hash|md5|commit|checksum|digest|isbn|issn|order|invoice|version|serial|sku|ref|ticket|model|part|item|page|doi|uuid|guid|example|sample)"
+#: A kind's prior, and each labeler's rate of yes for personal data and for other candidates, before EM: form, gazetteer, words before, neighbours.
+START = {
+    "phone_local": (0.3, 0.9, 0.6, 0.9, 0.6, 0.95, 0.05, 0.95, 0.7),
+    "national_id": (0.3, 0.99, 0.7, 0.9, 0.7, 0.95, 0.05, 0.95, 0.7),
+    "long_number": (0.3, 0.998, 0.1, 0.9, 0.4, 0.95, 0.05, 0.95, 0.7),
+    "email_spelled": (0.5, 0.9, 0.5, 0.9, 0.3, 0.95, 0.2, 0.95, 0.7),
+    "secret": (0.2, 0.9, 0.4, 0.95, 0.2, 0.95, 0.05, 0.9, 0.4),
 }
-AGAINST = "token|sha|hash|key|isbn|order|version|serial|sku|ref"
-
 
+NONE = "cast(array() as array<string>)"
 EMPTY = "cast(array() as array<struct<s:int,e:int,m:string>>)"
 
 
@@ -110,141 +135,140 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
-def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds __pii_cands: all base spans and looser candidates with votes and features."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    none = F.expr("cast(array() as array<string>)")
-    tried = {k: F.contains(t, F.lit(NEEDS[k])) if k in NEEDS else F.lit(True) for k in BASE_KINDS}
-    tried |= {"loose": F.lit(True), "spelled": F.contains(t, F.lit("dot)")) | F.contains(t, F.lit("dot]"))}
-    patterns = PATTERNS | {"loose": LOOSE, "spelled": SPELLED}
-    found = {f"__pii_{k}_m": F.when(tried[k], F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none) for k, p in patterns.items()}
-    out = docs.withColumns(found)
-    out = out.withColumns({f"__pii_{k}": _spans(t, F.col(f"__pii_{k}_m"), p) for k, p in patterns.items()}).drop(*found)
+def _filtered(spans: str, kind: str) -> Column:
+    return F.filter(spans, lambda x: _valid(kind, x))
+
+
+def _loose_kind(m: Column) -> Column:
+    size = F.length(_digits(m))
+    return F.when(size == 9, "national_id").when(size == 10, "phone_local").otherwise("long_number")
 
-    def named(column: str, kind) -> Column:
-        return F.transform(column, lambda x: F.struct((kind(x) if callable(kind) else F.lit(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
 
-    base = F.concat(*[named_filter(f"__pii_{k}", k) for k in BASE_KINDS])
-    out = out.withColumn("__pii_base", base)
+def _named(spans: str | Column, kind) -> Column:
+    return F.transform(spans, lambda x: F.struct((kind(x["m"]) if callable(kind) else F.lit(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
 
-    def loose_kind(x: Column) -> Column:
-        size = F.length(_digits(x["m"]))
-        return F.when(size == 9, "national_id").when(size == 10, "phone_local").otherwise("long_number")
 
-    more = F.concat(named("__pii_loose", loose_kind), named("__pii_spelled", "email_spelled"))
-    more = F.filter(more, lambda x: ~F.exists("__pii_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    out = out.withColumn("__pii_all", F.concat("__pii_base", more))
-    out = out.withColumn("__pii_cands", F.transform(F.transform("__pii_all", lambda x: _seen(t, x)), _judged))
-    return out.drop("__pii_loose", "__pii_spelled", "__pii_base", "__pii_all", *[f"__pii_{k}" for k in BASE_KINDS])
+def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds __pii_base (kind, s, e of all base spans) and __pii_more (kind, s, e, features of the other candidates)."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    patterns = PATTERNS | {"loose": LOOSE, "spelled": SPELLED, "secret": SECRET}
 
+    def found(kind: str) -> Column:
+        all_of = F.regexp_extract_all(t, F.lit(patterns[kind]), F.lit(0))
+        tried = [F.contains(t, F.lit(x)) for x in NEEDS.get(kind, ())]
+        return all_of if not tried else F.when(tried[0] | tried[-1], all_of).otherwise(F.expr(NONE))
 
-def named_filter(column: str, kind: str) -> Column:
-    valid = F.filter(column, lambda x: _valid(kind, x))
-    return F.transform(valid, lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
+    out = docs.withColumns({f"__pii_{k}": found(k) for k in patterns})
+    out = out.withColumns({f"__pii_{k}": _spans(t, F.col(f"__pii_{k}"), p) for k, p in patterns.items()})
+    base = F.concat(*[_named(_filtered(f"__pii_{k}", k), k) for k in BASE_KINDS])
+    more = F.concat(_named("__pii_loose", _loose_kind), _named("__pii_spelled", "email_spelled"), _named("__pii_secret", "secret"))
+    out = out.withColumns({"__pii_base": base, "__pii_more": more}).drop(*[f"__pii_{k}" for k in patterns])
+    apart = F.filter("__pii_more", lambda x: ~F.exists("__pii_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    judged = F.transform(F.transform(apart, lambda x: _seen(t, x)), _judged)
+    plain = F.transform("__pii_base", lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
+    return out.withColumns({"__pii_base": plain, "__pii_more": F.when(F.size("__pii_more") > 0, judged).otherwise(F.expr("cast(array() as array<struct<kind:string,s:int,e:int,features:array<string>>>)"))})
+
+
+def _seen(text: Column, x: Column) -> Column:
+    """A candidate with its digits, the words around it and its neighbours."""
+    near = F.lower(F.substring(text, F.greatest(x["s"] - 47, F.lit(1)), F.least(x["s"], F.lit(48))))
+    after = F.lower(F.substring(text, x["e"] + 1, F.lit(32)))
+    return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _digits(x["m"]).alias("digits"), near.alias("near"), after.alias("after"))
 
 
 def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit("y")).when(no, F.lit("n")).otherwise(F.lit("-"))
 
 
-def _seen(text: Column, x: Column) -> Column:
-    """A candidate with its digits, the text before it and its neighbours."""
-    before = F.substring(text, F.greatest(x["s"] - 47, F.lit(1)), F.least(x["s"], F.lit(48)))
-    right = F.substring(text, x["e"] + 1, F.lit(1))
-    return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _digits(x["m"]).alias("digits"), F.lower(before).alias("near"), F.right(before, F.lit(1)).alias("left"), right.alias("right"))
+def _by_kind(kind: Column, **of: Column) -> Column:
+    out = F.lit(None)
+    for k, v in of.items():
+        out = F.when(kind == k, v).otherwise(out)
+    return out
 
 
 def _judged(x: Column) -> Column:
-    """A candidate of ``_seen`` with its vote pattern and features."""
-    kind, m, digits, near, left, right = (x[c] for c in ("kind", "m", "digits", "near", "left", "right"))
-    base = kind.isin(*BASE_KINDS)
-    passes = luhn(digits)
-    form = _vote(base | ((kind == "long_number") & passes), (kind == "long_number") & ~passes)
-    ending = F.lower(F.regexp_extract(m, r"([A-Za-z0-9-]+)$", 1))
-    mail = kind.isin("email", "email_spelled")
-    number = kind.isin("card", "long_number")
-    listed = (
-        F.when(mail, ending.isin(*ENDINGS))
-        .when(number, digits.rlike(ISSUERS))
-        .when(kind == "phone", F.regexp_replace(m, r"[\x20().-]", "").rlike(CALLING))
-        .when(kind == "ip", ~m.rlike(RESERVED))
-        .when(kind == "phone_local", digits.rlike("^[2-9]"))
-        .otherwise(~digits.rlike("^(000|666|9)"))
-    )
-    words = F.when(mail, near.rlike(CONTEXT["email"])).when(kind == "ip", near.rlike(CONTEXT["ip"])).when(number, near.rlike(CONTEXT["card"])).otherwise(near.rlike(CONTEXT["phone"]))
-    alone = ~left.rlike("[A-Za-z0-9]") & ~right.rlike("[A-Za-z0-9]")
-    votes = F.concat(kind, F.lit("|"), form, _vote(listed, ~listed), _vote(words, near.rlike(AGAINST)), _vote(alone, ~alone))
-    marks = F.regexp_replace(m, "[A-Za-z0-9]", "")
-    features = F.array(
-        F.concat(F.lit("kind="), kind),
-        F.concat(F.lit("size="), kind, F.lit(":"), F.least(F.floor(F.length(m) / 4), F.lit(12))),
-        F.concat(F.lit("digits="), F.least(F.length(digits), F.lit(24))),
-        F.concat(F.lit("marks="), F.least(F.length(marks), F.lit(6))),
-        F.concat(F.lit("left="), F.when(left == "", "edge").when(left.rlike(r"\s"), "space").when(left.rlike("[A-Za-z0-9]"), "word").otherwise("mark")),
-        F.concat(F.lit("right="), F.when(right == "", "edge").when(right.rlike(r"\s"), "space").when(right.rlike("[A-Za-z0-9]"), "word").otherwise("mark")),
-    )
-    return F.struct(kind.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), votes.alias("votes"), features.alias("features"))
-
-
-def reliabilities(patterns: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
-    """One row: the posterior of each vote pattern of ``votes``, ``n`` after EM.
-
-    Parameters: a prior for each kind; for each labeler the chance of a yes when the
-    candidate is personal data and when it isn't, given that it votes.
-    """
-    one = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("p"))
-    n_kinds = len(KINDS)
-    kinds = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
-    start = ", ".join(["0.5D"] * n_kinds + ["0.8D", "0.2D"] * 4)
+    """A candidate of ``_seen`` with its votes and other features."""
+    kind, m, digits, near, after = (x[c] for c in ("kind", "m", "digits", "near", "after"))
+    left, right = F.right(near, F.lit(1)), F.left(after, F.lit(1))
+    form = _by_kind(kind, phone_local=digits.rlike("^[2-9][0-9]{2}[0-9]{7}$"), national_id=digits.rlike(ID_RANGES), long_number=luhn(digits) & (F.length(digits) <= 19), email_spelled=m.rlike(r"[A-Za-z]{2,}$"), secret=F.size(F.array_distinct(F.split(m, ""))) >= 10)
+    known = _by_kind(kind, phone_local=~digits.rlike(SERVICE), national_id=~digits.isin(*SPECIMENS), long_number=digits.rlike(ISSUERS), email_spelled=F.lower(F.regexp_extract(m, "([A-Za-z0-9-]+)$", 1)).isin(*ENDINGS), secret=F.when(m.rlike(KEY_PREFIX), True).when(m.rlike(UNIQUE_ID), False))
+    words = _by_kind(kind, **{k: near.rlike(p) for k, p in CONTEXT.items()})
+    apart = ~left.rlike("[A-Za-z0-9]") & ~right.rlike("[A-Za-z0-9]")
+    between = F.when(kind == "secret", near.rlike("[=:]\\s*[\"'`]?$")).otherwise(apart)
+    votes = [_vote(form, ~form), _vote(known, ~known), _vote(words, near.rlike(AGAINST)), _vote(between, ~between)]
+    beyond = _vote(_by_kind(kind, **{k: after.rlike(p) for k, p in CONTEXT.items()}), after.rlike(AGAINST))
+    side = lambda c: F.when(c == "", "edge").when(c.rlike(r"\s"), "space").when(c.rlike("[A-Za-z0-9]"), "word").otherwise("mark")
+    marks = F.least(F.length(F.regexp_replace(m, "[A-Za-z0-9]", "")), F.lit(4))
+    other = {"after": beyond, "left": side(left), "right": side(right), "marks": marks, "length": F.least(F.floor(F.length(m) / 4), F.lit(10))}
+    features = F.array(*[F.concat(F.lit(f"v{l}="), v) for l, v in enumerate(votes)], *[F.concat(F.lit(f"{k}="), v) for k, v in other.items()])
+    return F.struct(kind.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), features.alias("features"))
+
+
+def profile_of(found: DataFrame) -> DataFrame:
+    """Counts of kinds with votes and features; bounded by their bins."""
+    return found.select(F.explode("__pii_more").alias("c")).groupBy("c.kind", "c.features").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reliabilities(profile: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
+    """kind, th: the kind's prior and the labelers' rates, as in ``START``, after EM over ``kind``, ``features``, ``n``."""
+    votes = F.transform(F.slice("features", 1, 4), lambda f: F.right(f, F.lit(1)))
+    patterns = profile.groupBy("kind", votes.alias("v")).agg(F.sum("n").cast("double").alias("n"))
+    rows = patterns.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("p"), F.sum("n").alias("total"))
+    start = F.element_at(F.create_map(*[c for k in MORE_KINDS for c in (F.lit(k), F.array(*map(F.lit, START[k])))]), F.col("kind"))
+    rows = rows.withColumn("start", start).withColumn("w", F.col("total") + F.lit(STRENGTH))
 
     def ratio(l: int) -> str:
-        vote, yes, no = f"substring(substring_index(x.votes, '|', -1), {l + 1}, 1)", f"th[{n_kinds + 2 * l}]", f"th[{n_kinds + 2 * l + 1}]"
-        return f"CASE {vote} WHEN 'y' THEN ln({yes} / {no}) WHEN 'n' THEN ln((1 - {yes}) / (1 - {no})) ELSE 0D END"
-
-    prior = f"th[array_position({kinds}, substring_index(x.votes, '|', 1)) - 1]"
-    odds = " + ".join([f"ln({prior} / (1 - {prior}))", *map(ratio, range(4))])
-    posterior = f"transform(p, x -> named_struct('votes', x.votes, 'n', x.n, 'q', 1 / (1 + exp(-({odds})))))"
-    total = lambda value, of="po", where="true": f"aggregate(filter({of}, y -> {where}), 0D, (a, y) -> a + {value})"
-    new = [f"({total('y.n * y.q', where=w)} + 1) / ({total('y.n', where=w)} + 2)" for w in (f"substring_index(y.votes, '|', 1) = '{k}'" for k in KINDS)]
+        yes, no = f"th[{1 + 2 * l}]", f"th[{2 + 2 * l}]"
+        return f"CASE x.v[{l}] WHEN 'y' THEN ln({yes} / {no}) WHEN 'n' THEN ln((1 - {yes}) / (1 - {no})) ELSE 0D END"
+
+    odds = " + ".join(["ln(th[0] / (1 - th[0]))", *map(ratio, range(4))])
+    posterior = f"transform(p, x -> named_struct('v', x.v, 'n', x.n, 'q', 1 / (1 + exp(-({odds})))))"
+    total = lambda value, where="true": f"aggregate(filter(po, y -> {where}), 0D, (a, y) -> a + {value})"
+    new = [f"({total('y.n * y.q')} + w * start[0]) / (total + w)"]
     for l in range(4):
-        vote = f"substring(substring_index(y.votes, '|', -1), {l + 1}, 1)"
-        for q, a, b in (("y.q", 8, 2), ("(1 - y.q)", 2, 8)):
-            new.append(f"({total(f'y.n * {q}', where=f"{vote} = 'y'")} + {a}) / ({total(f'y.n * {q}', where=f"{vote} <> '-'")} + {a + b})")
-    fitted = f"aggregate(sequence(1, {rounds}), array({start}), (th, i) -> element_at(transform(array({posterior}), po -> array({', '.join(new)})), 1))"
-    return one.select("p", F.expr(fitted).alias("th")).select(F.expr(posterior).alias("q"), "th")
+        for q, k in (("y.q", 1 + 2 * l), ("(1 - y.q)", 2 + 2 * l)):
+            voted = f"y.v[{l}] <> '-'"
+            new.append(f"({total(f'y.n * {q}', f"y.v[{l}] = 'y'")} + w * start[{k}]) / ({total(f'y.n * {q}', voted)} + w)")
+    fitted = f"aggregate(sequence(1, {rounds}), start, (th, i) -> element_at(transform(array({posterior}), po -> array({', '.join(new)})), 1))"
+    return rows.select("kind", F.expr(fitted).alias("th"))
+
+
+def _score(kind: Column, features: Column, weights: dict[str, float]) -> Column:
+    """The sum of a candidate's weights; a kind without any is out."""
+    table = F.create_map(*[F.lit(v) for kv in sorted(weights.items()) for v in kv])
+    of = lambda name: F.element_at(table, F.concat(kind, F.lit(":"), name))
+    return F.aggregate(features, F.coalesce(of(F.lit("prior")), F.lit(-math.inf)), lambda a, f: a + F.coalesce(of(f), F.lit(0.0)))
 
 
 def train(profile: DataFrame) -> dict[str, float]:
-    """The classifier's weights from ``votes``, ``features``, ``n``: log odds by feature, and the prior's."""
-    fitted = reliabilities(profile.groupBy("votes").agg(F.sum("n").alias("n"))).select(F.explode("q").alias("q")).select("q.votes", "q.q")
-    soft = profile.join(fitted, "votes").withColumn("yes", F.col("n") * F.col("q")).withColumn("no", F.col("n") * (1 - F.col("q")))
-    by_feature = soft.select(F.explode(F.array_append("features", F.lit("all"))).alias("feature"), "yes", "no").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    row = by_feature.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("yes", "no")))).alias("m")).first()
-    counts = {k: (v["yes"], v["no"]) for k, v in row["m"].items()}
-    if "all" not in counts:
+    """The classifier's weights by ``kind:feature``; those of the votes are EM's, ``kind:prior`` is the prior's log odds."""
+    weights = {}
+    for r in reliabilities(profile).collect():  # a row for each kind
+        kind, th = r["kind"], r["th"]
+        weights[f"{kind}:prior"] = math.log(th[0] / (1 - th[0]))
+        for l in range(4):
+            yes, no = th[1 + 2 * l], th[2 + 2 * l]
+            weights |= {f"{kind}:v{l}=y": math.log(yes / no), f"{kind}:v{l}=n": math.log((1 - yes) / (1 - no))}
+    if not weights:
         return {}
-    import math
-
-    yes, no = counts.pop("all")
-    rate = lambda x, of: math.log((x + 1) / (of + 2))
-    weights = {k: rate(a, yes) - rate(b, no) for k, (a, b) in counts.items()}
-    weights["all"] = math.log((yes + 1) / (no + 1))
-    return weights
+    q = 1 / (1 + F.exp(-_score(F.col("kind"), F.slice("features", 1, 4), weights)))
+    soft = profile.withColumn("yes", F.col("n") * q).withColumn("no", F.col("n") * (1 - q))
+    by_feature = soft.select("kind", F.explode(F.slice("features", 5, 100)).alias("feature"), "yes", "no").groupBy("kind", "feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    totals = soft.groupBy("kind").agg(F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"))
+    rate = lambda x: (F.col(x) + SMOOTH * (F.col("yes") + F.col("no")) / (F.col("all_yes") + F.col("all_no"))) / (F.col(f"all_{x}") + SMOOTH)
+    rows = by_feature.join(totals, "kind").select("kind", "feature", (SHARE * F.log(rate("yes") / rate("no"))).alias("w"))
+    return weights | {f"{r['kind']}:{r['feature']}": r["w"] for r in rows.collect()}  # bounded by the features' bins
 
 
 def accepted(weights: dict[str, float]) -> Column:
-    """All spans of __pii_cands that stay: base ones, and those that the classifier finds likelier than not."""
-    base = lambda x: x["kind"].isin(*BASE_KINDS)
+    """All spans (kind, s, e) that stay: base ones, and those that the classifier finds likelier than not."""
+    base = F.col("__pii_base")
     if not weights:
-        return F.filter("__pii_cands", base)
-    table = F.create_map(*[F.lit(v) for kv in sorted(weights.items()) for v in kv])
-    score = lambda x: F.aggregate(x["features"], F.lit(weights["all"]), lambda a, f: a + F.coalesce(F.element_at(table, f), F.lit(0.0)))
-    return F.filter("__pii_cands", lambda x: base(x) | (score(x) > 0))
-
-
-def profile_of(found: DataFrame) -> DataFrame:
-    """Counts of vote patterns with features; bounded by their bins."""
-    return found.select(F.explode("__pii_cands").alias("c")).groupBy("c.votes", "c.features").agg(F.count(F.lit(1)).alias("n"))
+        return base
+    added = F.filter("__pii_more", lambda x: _score(x["kind"], x["features"], weights) > 0)
+    added = F.transform(added, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
+    return F.when(F.size("__pii_more") > 0, F.concat(base, added)).otherwise(base)
 
 
 def _of_kind(spans: str | Column, kind: str) -> Column:
@@ -253,27 +277,29 @@ def _of_kind(spans: str | Column, kind: str) -> Column:
 
 def described(spans: str | Column, kinds: tuple[str, ...]) -> Column:
     """kind:start:end by kind as listed, then start, comma-joined."""
-
-    def names(kind: str) -> Column:
-        places = F.array_sort(F.transform(_of_kind(spans, kind), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-        return F.transform(places, lambda x: F.concat_ws(":", F.lit(kind), x["s"].cast("string"), x["e"].cast("string")))
-
-    return F.array_join(F.concat(*map(names, kinds)), ",")
+    place = F.transform(spans, lambda x: F.struct(F.array_position(F.array(*map(F.lit, kinds)), x["kind"]).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
+    place = F.sort_array(F.filter(place, lambda x: x["k"] > 0))
+    return F.array_join(F.transform(place, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
 def personal_data(found: DataFrame, weights: dict[str, float], keep: str = "doc_id") -> DataFrame:
-    rows = found.select(keep, accepted(weights).alias("__pii_spans"))
-    counts = [F.size(_of_kind("__pii_spans", k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    digest = F.sha2(described("__pii_spans", BASE_KINDS).cast("binary"), 256)
-    return rows.select(keep, *counts, digest.alias("base_sha256"), described("__pii_spans", KINDS).alias("spans"))
+    """The id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_spans of every row of ``candidates``."""
+    rows = found.select(keep, "__pii_base", accepted(weights).alias("__pii_spans"))
+    counts = [F.size(_of_kind("__pii_base", k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    digest = F.sha2(described("__pii_base", BASE_KINDS).cast("binary"), 256)
+    return rows.select(keep, *counts, digest.alias("base_sha256"), described("__pii_spans", KINDS).alias("spans"), F.size("__pii_spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span of its texts replaced by its kind in angle brackets."""
-    weights = train(shared.cut(profile_of(candidates(docs.select(text), text)), "pii-profile"))
-    found = candidates(docs, text).withColumn("__pii_spans", F.array_sort(F.transform(accepted(weights), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))))
+    """``docs`` with every span of its texts replaced by its kind in angle brackets.
+
+    The rows are written once with their candidates, so that the patterns run once.
+    """
+    found = shared.cut(candidates(docs, text), "pii-candidates")
+    weights = train(shared.cut(profile_of(found), "pii-profile"))
+    found = found.withColumn("__pii_spans", F.sort_array(F.transform(accepted(weights), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))))
     t = F.col(text)
-    first = F.struct(F.lit(0).alias("at"), F.expr("array()").cast("array<string>").alias("out"))
+    first = F.struct(F.lit(0).alias("at"), F.expr(NONE).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         piece = F.substring(t, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
@@ -281,10 +307,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
 
     joined = F.aggregate("__pii_spans", first, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
-    return found.withColumn(text, F.when(F.size("__pii_spans") > 0, joined).otherwise(t)).drop("__pii_spans", "__pii_cands")
+    return found.withColumn(text, F.when(F.size("__pii_spans") > 0, joined).otherwise(t)).select(docs.columns)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = shared.cut(candidates(docs).drop("text"), "pii-candidates")
-    return personal_data(found, train(profile_of(found)))
+    return personal_data(found, train(shared.cut(profile_of(found), "pii-profile")))

@@ -222,7 +222,6 @@ def cascade(page: Page, rules: tuple[Rule, ...]) -> np.ndarray:
 
 def quality(df: DataFrame, text: str = "text", keep: str = "doc_id", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``keep``, the base counts, base_failed and kept for every row."""
-    shared.bounded_batches(df.sparkSession)
     read = df.select(F.col(keep).alias("keep"), F.col(text).cast("string").alias("text"))
     run = ordered(rules, estimate(read, rules, sample_rows))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

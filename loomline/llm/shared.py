@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words, as a Java and Python character class.
@@ -22,17 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Local folders of sessions on one machine that name no shared folder, by application.
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none (as in tests on one machine) a local
-    temporary folder is set.
+    Where it is unset, a session on one machine gets a temporary folder, as all its
+    tasks see it; on a cluster that would be each machine's own, so it is an error.
     """
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if not path:
-        path = tempfile.mkdtemp(prefix="loomline-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="loomline-")
+        path = _local[app]
     return path.rstrip("/")
 
 
@@ -45,13 +54,24 @@ def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def observed_cut(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``cut``, and aggregates of the rows, taken while they are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = cut(df.observe(seen, *metrics), name)
+    return out, seen.get
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches, so that long texts don't fill a worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 2000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+def discard(*tables: DataFrame) -> None:
+    """Removes tables written by ``cut`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def clash_free(df: DataFrame, *wanted: str) -> DataFrame:

@@ -344,7 +344,6 @@ def encode(df: DataFrame, text: str = "text", model_path: str | None = None) ->
     round_trip tells whether decoding the ids gives the text back.
     """
     spark = df.sparkSession
-    shared.bounded_batches(spark)
     model = spark.sparkContext.broadcast(load(model_path or public_tokenizers.path(MODEL)))  # bounded by the vocabulary
     kept, schema = _with(df, n_tokens=T.LongType(), score=T.DoubleType(), ids=T.ArrayType(T.IntegerType()), round_trip=T.BooleanType())
 
@@ -366,7 +365,6 @@ def decode(df: DataFrame, ids: str = "ids", model_path: str | None = None) -> Da
     Ids outside the vocabulary raise an error.  Bytes that are no UTF-8 become U+FFFD.
     """
     spark = df.sparkSession
-    shared.bounded_batches(spark)
     model = spark.sparkContext.broadcast(load(model_path or public_tokenizers.path(MODEL)))  # bounded by the vocabulary
     kept, schema = _with(df, decoded=T.StringType())
 

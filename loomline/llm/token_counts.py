@@ -80,7 +80,6 @@ def token_counts(df: DataFrame, text: str = "text", keep: str = "doc_id", model_
     path = model_path or public_tokenizers.path(MODEL)
     known = sp_model.read(path)
     split = known.plain and known.breaks_at_spaces
-    shared.bounded_batches(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path, split)

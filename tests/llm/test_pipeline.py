@@ -1,6 +1,7 @@
 """The pipeline's stages, each on its own input, against brute force; and the whole run."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from loomline.llm import mixing, shared, sp_unigram
@@ -54,7 +55,7 @@ def test_mixing_repeats_whole_documents(stages):
         times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
         assert r["text"] == planned[r["doc_id"]]["text"]
     for i, r in planned.items():
-        assert times.get(i, 0) == (int(r["taken"] / r["size"] + 0.5) if r["size"] else 0)
+        assert times.get(i, 0) == (int(r["__mix_taken"] / r["__mix_size"] + 0.5) if r["__mix_size"] else 0)
     assert max(times.values()) <= mixing.MAX_EPOCHS
 
 
@@ -72,3 +73,18 @@ def test_stages_take_empty_tables(spark, stages):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark, stages):
+    """Extra columns pass through every stage but the last under any name the operators use themselves."""
+    names = ("size", "taken", "target", "source_size", "score", "lang_pred", "rejected", "kept", "component_id", "spans", "kind", "key", "label", "row")
+    odd = [(None, "the and of this with", "en", None, None), (1, None, None, "a", 3), (10**9, "", "en", "b", 0), (10**9, "", "en", "b", 0)]
+    docs = stages[0].unionByName(spark.createDataFrame(odd, stages[0].schema)).unionByName(stages[0].limit(3))
+    docs = docs.withColumns({n: stages[0].text.substr(1, 3) if n == "size" else F.lit(n) for n in names})
+    for _, stage in P.STAGES[:-1]:
+        schema = docs.schema
+        docs = shared.cut(stage(spark, docs, SF), "test-odd")
+        assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in schema]
+        rows = docs.collect()
+        assert rows and all(r[n] == n for r in rows for n in names if n != "size")
+    assert P.STAGES[-1][1](spark, docs, SF).count() == len(rows)
