@@ -25,7 +25,7 @@ SIMILARITY_PERCENT = 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = lang_id.fit(docs, F.lit(True))
-    return lang_id.predict(docs, model).where("NOT rejected").select(docs.columns)
+    return lang_id.predict(docs, model).where("NOT __lid_rejected").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
