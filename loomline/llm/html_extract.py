@@ -219,7 +219,7 @@ def statistics(pages: DataFrame) -> DataFrame:
                 keys = list(zip(*counted))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int32()), pa.array(keys[3], pa.int64()), pa.array(list(counted.values()), pa.int64())], ["host", "place", "kind", "value", "n"])
 
-    return pages.select("host", "html").distinct().mapInArrow(run, "host string, place string, kind int, value long, n long").groupBy("host", "place", "kind", "value").agg(F.sum("n").alias("n"))
+    return shared.map_arrow(pages.select("host", "html").distinct(), run, "host string, place string, kind int, value long, n long").groupBy("host", "place", "kind", "value").agg(F.sum("n").alias("n"))
 
 
 def trees(counts: DataFrame) -> DataFrame:
@@ -282,7 +282,7 @@ def extract(pages: DataFrame, keep: str = "page_id", url: str = "url", html: str
                 out.append(PageParts(page or "").text(known[host]))
             yield pa.RecordBatch.from_arrays([batch["keep"], batch["url"], pa.array(out, pa.string())], ["keep", "url", "text"])
 
-    out = read.join(by_host, "host", "left").select("keep", "url", "host", "html", "tree").mapInArrow(run, T.StructType(fields))
+    out = shared.map_arrow(read.join(by_host, "host", "left").select("keep", "url", "host", "html", "tree"), run, T.StructType(fields))
     return out.select(F.col("keep").alias(keep), F.col("url").alias(url), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 

@@ -179,7 +179,7 @@ def features(df: DataFrame) -> DataFrame:
                     counts.append(seen[slots[-1]].astype(np.float32))
                 yield pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int16())), pa.array(counts, pa.list_(pa.float32())), part["lang"], part["h"]], ["slots", "counts", "lang", "h"])
 
-    return df.select("text", "lang", "h").mapInArrow(run, "slots array<smallint>, counts array<float>, lang string, h long")
+    return shared.map_arrow(df.select("text", "lang", "h"), run, "slots array<smallint>, counts array<float>, lang string, h long")
 
 
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model | None:
@@ -238,7 +238,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                     rejected = ~found | (top < model.reject_below)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(top), pa.array(rejected)], [*kept, *ADDED])
 
-    return docs.mapInArrow(run, schema)
+    return shared.map_arrow(docs, run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -148,7 +148,7 @@ def signatures(rows: DataFrame) -> DataFrame:
                 fixed = pa.Array.from_buffers(pa.binary(), len(regs), [None, pa.py_buffer(np.arange(len(regs) + 1, dtype=np.int32) * 2 * REGISTERS), pa.py_buffer(np.ascontiguousarray(regs))])
                 yield pa.RecordBatch.from_arrays([part["key"], pa.array(np.diff(starts)), pa.array(checksums(flat, starts)), fixed], ["key", "n_shingles", "cid", "regs"])
 
-    return rows.select("key", "text").mapInArrow(run, "key long, n_shingles long, cid long, regs binary")
+    return shared.map_arrow(rows.select("key", "text"), run, "key long, n_shingles long, cid long, regs binary")
 
 
 def _registers_of(column: pa.Array) -> np.ndarray:
@@ -165,7 +165,7 @@ def plausible(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 keep = estimate(_registers_of(batch["ra"]), _registers_of(batch["rb"])) >= least_estimate(na, nb, percent)
                 yield pa.RecordBatch.from_arrays([batch[c].filter(pa.array(keep)) for c in ("a", "b")], ["a", "b"])
 
-    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    return shared.map_arrow(pairs.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -185,7 +185,7 @@ def confirmed(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return shared.map_arrow(pairs.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
 class Forest:
@@ -301,7 +301,7 @@ def in_groups(rows: DataFrame, keys: list[str], work, schema: str) -> DataFrame:
             if out.num_rows:
                 yield out
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return shared.map_arrow(rows.repartition(*keys).sortWithinPartitions(*keys), run, schema)
 
 
 def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -382,7 +382,7 @@ def matching_texts(rows: DataFrame) -> DataFrame:
                 same = (checksums(flat, starts) == np.asarray(part["cid"])) & (np.diff(starts) == np.asarray(part["n"]))
                 yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(same)) for c in ("cid", "text")], ["cid", "text"])
 
-    return rows.mapInArrow(run, "cid long, text string")
+    return shared.map_arrow(rows, run, "cid long, text string")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -194,7 +194,7 @@ def estimate(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int =
                     got.append((rule.name, time.perf_counter_ns() - began, rejected, len(rows)))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*got)], ["rule", "ns", "rejected", "rows"])
 
-    seen = sample.mapInArrow(measure, "rule string, ns long, rejected long, rows long").groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("ns", "rejected", "rows")])
+    seen = shared.map_arrow(sample, measure, "rule string, ns long, rejected long, rows long").groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("ns", "rejected", "rows")])
     return {r["rule"]: (r["ns"] / r["rows"], r["rejected"] / r["rows"]) for r in seen.collect()}
 
 
@@ -234,7 +234,7 @@ def quality(df: DataFrame, text: str = "text", keep: str = "doc_id", rules: tupl
                 yield pa.RecordBatch.from_arrays([part["keep"], *columns, pa.array(page.base_failed), pa.array(cascade(page, run))], ["keep", *counts, "base_failed", "kept"])
 
     fields = [read.schema["keep"], *[T.StructField(c, T.LongType()) for c in counts], T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())]
-    return read.mapInArrow(judge, T.StructType(fields)).withColumnRenamed("keep", keep)
+    return shared.map_arrow(read, judge, T.StructType(fields)).withColumnRenamed("keep", keep)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,24 @@ def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def bucketed(df: DataFrame, name: str, part: str, bucket: str, buckets: int) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder in folders by ``part`` and buckets by ``bucket``, as a table that lasts as long as the context.
+
+    Rows of one bucket are read by one task, so grouping by ``bucket`` needs no shuffle.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{shared_dir(spark)}/{table}"
+    df.write.option("path", path).option("compression", "zstd").partitionBy(part).bucketBy(buckets, bucket).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def observed_cut(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
     """``cut``, and aggregates of the rows, taken while they are written."""
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
@@ -74,6 +93,18 @@ def discard(*tables: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def map_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """``mapInArrow`` with batches of about ``SLICE_BYTES`` at most, so that long texts don't fill a worker.
+
+    The bound is read when the result runs, so it stays with the session, which keeps a lower one of its own.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.fullmatch(r"(-?\d+)([kmg]?)b?", conf.get(name).lower())
+    if held and not 0 < int(held[1]) << 10 * " kmg".index(held[2] or " ") <= SLICE_BYTES:
+        conf.set(name, f"{SLICE_BYTES}b")
+    return df.mapInArrow(work, schema)
+
+
 def clash_free(df: DataFrame, *wanted: str) -> DataFrame:
     """Only the columns that an operator reads; others can't clash with its own."""
     return df.select(*wanted)

@@ -356,7 +356,7 @@ def encode(df: DataFrame, text: str = "text", model_path: str | None = None) ->
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(np.diff(starts), pa.int64()), pa.array(scores), lists, same], [*kept, "n_tokens", "score", "ids", "round_trip"])
 
-    return df.mapInArrow(run, schema)
+    return shared.map_arrow(df, run, schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", model_path: str | None = None) -> DataFrame:
@@ -377,7 +377,7 @@ def decode(df: DataFrame, ids: str = "ids", model_path: str | None = None) -> Da
             texts = coder.decode(flat, shared.runs(counts))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), texts.cast(pa.string())], [*kept, "decoded"])
 
-    return df.mapInArrow(run, schema)
+    return shared.map_arrow(df, run, schema)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,7 +91,7 @@ def token_counts(df: DataFrame, text: str = "text", keep: str = "doc_id", model_
 
     read = df.select(F.col(keep).alias("keep"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([read.schema["keep"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
-    out = read.mapInArrow(count, schema)
+    out = shared.map_arrow(read, count, schema)
     return out.select(F.col("keep").alias(keep), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
