@@ -10,18 +10,17 @@ the matched path from the deepest node up with the posterior weights 1/2 P_kt /
 
 The tree is a table: all distinct (six bytes of context, byte) of all texts with their training
 counts, dealt out by cell, which is the three nearest bytes of the context.  A unit of text
-sends each cell what it has of it.  A first pass over the cells weighs the subtrees
-below three bytes; what they come to is mixed on the driver for contexts of
-up to three bytes; a second pass over the cells follows the paths down and sends
-each unit the log probabilities it asked for, from which its texts are scored.
+lists what it has of each cell; the lists are merged into one row for each cell.  A pass over
+those rows weighs the subtrees below three bytes; what they come to is mixed on the driver for
+contexts of up to three bytes; then the rows meet the units' lists again, the paths are followed
+down, and each unit gets the log probabilities it asked for, from which its texts are scored.
+Words are counted in the same way, dealt out by the first bits of their hashes.  Lists of one cell
+are dealt into salts of ``SALT_UNITS`` units, so no cell gathers the whole corpus in one task.
+The units' texts are written bucketed by unit, so only lists and answers are shuffled.
 
 The sequence of a text is its lower-cased bytes and one end byte 0xFF, which no UTF-8
 has; contexts before the beginning hold 0xFF.
 
-The base counts words.  Words with at least 2 ** -18 of all training tokens are few by
-that definition, and are looked up in place; all others meet their counts in a join
-by word hash, in which no key can be hot.
-
 Words are told apart by 64-bit hashes.
 
 Cases: a null or empty text is the end token alone.  Without training documents the
@@ -47,11 +46,15 @@ DEPTH = 6
 LEAST = 2
 #: The nearest bytes of a context by which the tree is dealt out.
 CELL = 3
-#: A word needs this share of the training tokens to be looked up in place.
-HEAD_BITS = 18
+#: The first bits of a word's hash by which words are dealt out.
+WORD_CELL_BITS = 12
 EDGE = 0xFF
-#: Text of a unit, places that are sorted at once, and keys of whole cells that are worked on at once.
-UNIT_BYTES, BLOCK, CELL_KEYS = 16 << 20, 1 << 22, 1 << 20
+#: Text of a unit, places that are coded at once, and keys of whole cells that are worked on at once.
+UNIT_BYTES, BLOCK, CELL_KEYS = 32 << 20, 1 << 21, 1 << 20
+#: Units whose lists of a cell go to one task.
+SALT_UNITS = 512
+#: Kinds of rows: a unit's words and contexts by cell, learnt documents, texts.
+WORDS, CONTEXTS, LEARNT, TEXTS = range(4)
 #: Places that walk down the tree at once.
 WALK = 1 << 15
 
@@ -282,18 +285,30 @@ def merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct integers as they come, and each value's place among them."""
+    out = pa.array(values).dictionary_encode()
+    return out.dictionary.to_numpy(), out.indices.to_numpy()
+
+
 def grams(texts: pa.Array, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For blocks of places: context << 8 | byte, nearest byte of the context most significant, and the text of each place."""
     data, offsets = shared.raw_bytes(texts)
     padded, rooms = padded_texts(shared.lowered(data), offsets, depth)
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets) + 1)
-    at = positions(rooms, depth)
-    for low in range(0, len(at), BLOCK):
-        here = at[low : low + BLOCK]
-        keys = np.zeros(len(here), np.int64)
+    for low in range(depth, len(padded), BLOCK):
+        high = min(low + BLOCK, len(padded))
+        first, last = np.searchsorted(rooms, [low, high - 1], "right") - 1
+        edges = np.clip(rooms[first : last + 2], low, high)
+        owner = np.repeat(np.arange(first, last + 1, dtype=np.int32), np.diff(edges))
+        keys = np.zeros(high - low, np.int64)
         for d in range(1, depth + 1):
-            keys = (keys << 8) | padded[here - d]
-        yield (keys << 8) | padded[here], owner[low : low + BLOCK]
+            keys = (keys << 8) | padded[low - d : high - d]
+        keys = (keys << 8) | padded[low:high]
+        inside = np.ones(high - low, bool)
+        for d in range(depth):  # a room begins with the edge
+            begins = rooms[first : last + 1] + d - low
+            inside[begins[(begins >= 0) & (begins < high - low)]] = False
+        yield keys[inside], owner[inside]
 
 
 class Layers:
@@ -350,118 +365,143 @@ class Layers:
         return base, left, other
 
 
-def listed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+def listed(docs: DataFrame, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     """What units of doc_id, held_out, text rows hold, by kind.
 
-    0: training words by hash (key, n); 1: a cell's ``tails``, which are the lower bytes of
-    (context, byte), and their training counts ``times``, both packed; 2: training documents (n); 3: the documents.
+    WORDS: of a cell the ``tails``, which are the words' hashes, and their training counts ``times``;
+    CONTEXTS: of a cell the lower bytes of (context, byte), and their training counts, both packed;
+    LEARNT: training documents (n); TEXTS: the documents.
     """
     low = 8 * (depth - CELL + 1)
-    kinds = f"kind int, key long, n long, unit long, cell int, tails binary, times binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, text string"
+    kinds = f"kind int, unit long, cell int, tails binary, times binary, n long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         unit, size = TaskContext.get().partitionId() << 32, 0
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        words: list[tuple[np.ndarray, np.ndarray]] = []
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {WORDS: [], CONTEXTS: []}
         empty = None
 
-        def rows(count: int, **given) -> pa.RecordBatch:
+        def rows(kind: int, count: int, **given) -> pa.RecordBatch:
+            given |= {"kind": pa.array(np.full(count, kind)), "unit": pa.array(np.full(count, unit))}
             return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(count, f.type) for f in empty], schema=empty)
 
         def whole_unit() -> Iterator[pa.RecordBatch]:
-            hashed, times = merged(*map(np.concatenate, zip(*words)))
-            yield rows(len(hashed), kind=pa.array(np.zeros(len(hashed), np.int32)), key=pa.array(hashed), n=pa.array(times))
-            keys, n = merged(*map(np.concatenate, zip(*held)))
-            cell = keys >> low
-            starts = np.append(np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])), len(keys))
-            tails, times = steps(keys & ((1 << low) - 1), starts), n.astype(np.int64)
-            for at in range(0, len(starts) - 1, 2000):
-                some = starts[at : at + 2001]
-                part = slice(some[0], some[-1])
-                count = len(some) - 1
-                yield rows(count, kind=pa.array(np.ones(count, np.int32)), unit=pa.array(np.full(count, unit)), cell=pa.array(cell[some[:-1]]), tails=packed_ints(tails[part], some - some[0]), times=packed_ints(times[part], some - some[0]))
+            for kind, parts in held.items():
+                keys, n = merged(*map(np.concatenate, zip(*parts)))
+                parts.clear()
+                cell = (keys >> low if kind == CONTEXTS else keys >> np.uint64(64 - WORD_CELL_BITS)).astype(np.int64)
+                starts = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(keys))
+                for at in range(0, len(starts) - 1, 2000):
+                    some = starts[at : at + 2001]
+                    part, within = slice(some[0], some[-1]), some - some[0]
+                    tails = packed_ints(steps(keys[part] & ((1 << low) - 1), within), within) if kind == CONTEXTS else packed(keys[part], within)
+                    yield rows(kind, len(some) - 1, cell=pa.array(cell[some[:-1]]), tails=tails, times=packed_ints(n[part].astype(np.int64), within))
 
         for batch in batches:
-            empty = empty or pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("unit", pa.int64()), ("cell", pa.int32()), ("tails", pa.binary()), ("times", pa.binary()), ("doc_id", batch.schema.field("doc_id").type), ("held_out", pa.bool_()), ("text", pa.string())])
+            empty = empty or pa.schema([("kind", pa.int32()), ("unit", pa.int64()), ("cell", pa.int32()), ("tails", pa.binary()), ("times", pa.binary()), ("n", pa.int64()), ("doc_id", batch.schema.field("doc_id").type), ("held_out", pa.bool_()), ("text", pa.string())])
             for part in shared.by_bytes(batch, "text"):
-                count = len(part)
                 learnt = ~np.asarray(part["held_out"].fill_null(True).to_numpy(zero_copy_only=False), dtype=bool)
                 for keys, owner in grams(part["text"], depth):
-                    both, n = np.unique((keys << 1) | learnt[owner], return_counts=True)
-                    held.append(merged(both >> 1, n * (both & 1)))
-                data, offsets = shared.raw_bytes(part["text"].filter(pa.array(learnt)))
-                coded = shared.word_array(shared.lowered(data), offsets)[0].dictionary_encode()
-                hashed = shared.hash_words(coded.dictionary).view(np.int64)
-                times = np.bincount(np.asarray(coded.indices), minlength=len(hashed)) if len(hashed) else np.zeros(0, np.int64)
-                words.append((hashed, times))
-                yield rows(1, kind=pa.array([2]), n=pa.array([int(learnt.sum())]))
-                yield rows(count, kind=pa.array(np.full(count, 3)), unit=pa.array(np.full(count, unit)), doc_id=part["doc_id"], held_out=part["held_out"], text=part["text"])
-                size += part["text"].nbytes
-                if len(held) > 3:
-                    held[:], words[:] = ([merged(*map(np.concatenate, zip(*x)))] for x in (held, words))
-                if size >= UNIT_BYTES:
+                    distinct, place = coded(keys)
+                    held[CONTEXTS].append((distinct, np.bincount(place, learnt[owner], len(distinct))))
+                data, offsets = shared.raw_bytes(part["text"])
+                words, counted = shared.word_array(shared.lowered(data), offsets)
+                words = words.dictionary_encode()
+                hashed = shared.hash_words(words.dictionary)
+                held[WORDS].append((hashed, np.bincount(words.indices.to_numpy(), np.repeat(learnt, counted), len(hashed))))
+                yield rows(LEARNT, 1, n=pa.array([int(learnt.sum())]))
+                yield rows(TEXTS, len(part), doc_id=part["doc_id"], held_out=part["held_out"], text=part["text"])
+                size += len(data) + len(part)
+                if len(held[CONTEXTS]) > 3:
+                    for parts in held.values():
+                        parts[:] = [merged(*map(np.concatenate, zip(*parts)))]
+                if size >= unit_bytes:
                     yield from whole_unit()
-                    held.clear(), words.clear()
                     unit, size = unit + 1, 0
-        if held:
+        if size:
             yield from whole_unit()
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, kinds)
+    return shared.map_arrow(docs.select("doc_id", "held_out", "text"), run, kinds)
 
 
-def whole_cells(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of rows in the order of their cells, some cells at a time: rows' units, cells and sizes, each value's place in the keys, keys and counts."""
-    low = 8 * (depth - CELL + 1)
+def keys_of(kind: int, cells: np.ndarray, tails: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of rows of one kind, and the number of keys in each row."""
+    if kind == WORDS:
+        return unpacked(tails, np.uint64)
+    values, sizes = unpacked_ints(tails)
+    return (np.repeat(cells.astype(np.int64), sizes) << 8 * (depth - CELL + 1)) | sums_of_steps(values, sizes), sizes
+
 
-    def done(parts: list) -> tuple:
-        unit, cell, sizes, tails, times = map(np.concatenate, zip(*parts))
-        keys = (np.repeat(cell.astype(np.int64), sizes) << low) | tails
-        distinct, place = np.unique(keys, return_inverse=True)
-        return unit, cell, sizes, place, distinct, np.bincount(place, times)
+def by_cell(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of rows of one kind with whole cells, from rows in the order of kind and cell; a run has few keys or one (cell, salt)."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+
+    def done() -> tuple[int, pa.RecordBatch]:
+        return last[0], pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    held: list[tuple] = []
-    size = 0
     for batch in batches:
-        if not len(batch):
+        if not batch.num_rows:
             continue
-        tails, sizes = unpacked_ints(batch["tails"])
-        tails, times = sums_of_steps(tails, sizes), unpacked_ints(batch["times"])[0]
-        unit, cell = batch["unit"].to_numpy(), batch["cell"].to_numpy()
-        ends = shared.runs(sizes)
+        names = np.stack([batch[c].to_numpy() for c in ("kind", "cell", "salt")])
+        rooms = np.asarray(pa.compute.binary_length(batch["tails"]), dtype=np.int64)
+        ends = [*np.flatnonzero((np.diff(names) != 0).any(axis=0)) + 1, batch.num_rows]
         start = 0
-        for end in [*np.flatnonzero(np.diff(cell)) + 1, len(cell)]:
-            if held and size >= CELL_KEYS and cell[start] != held[-1][1][-1]:
-                yield done(held)
+        for end in ends:
+            name = tuple(names[:, start].tolist())
+            if held and name != last and (name[0] != last[0] or size >= limit or name[1] == last[1]):
+                yield done()
                 held, size = [], 0
-            part = slice(ends[start], ends[end])
-            held.append((unit[start:end], cell[start:end], sizes[start:end], tails[part], times[part]))
-            size += ends[end] - ends[start]
-            start = end
+            held.append(batch.slice(start, end - start))
+            size += int(rooms[start:end].sum())
+            start, last = end, name
     if held:
-        yield done(held)
+        yield done()
 
 
-def answered(units: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(unit, cell, logs): log10 probabilities of what each unit ``listed`` of each cell, in its order.
+def merged_lists(rows: DataFrame, by: list[str], depth: int) -> DataFrame:
+    """One row (kind, cell, salt, tails, times, n, v) for each ``by``; n: the sum of times, v: how many aren't 0."""
+    low = 8 * (depth - CELL + 1)
 
-    To the driver come the distinct (three bytes of context, byte) with what lies below them.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, part in by_cell(batches, 4 * CELL_KEYS):
+            cells = part["cell"].to_numpy()
+            keys, n = merged(keys_of(kind, cells, part["tails"], depth)[0], unpacked_ints(part["times"])[0])
+            cell = (keys >> low if kind == CONTEXTS else keys >> np.uint64(64 - WORD_CELL_BITS)).astype(np.int64)
+            starts = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(keys))
+            tails = packed_ints(steps(keys & ((1 << low) - 1), starts), starts) if kind == CONTEXTS else packed(keys, starts)
+            count = len(starts) - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(count, kind, np.int32)), pa.array(cell[starts[:-1]].astype(np.int32)), pa.array(np.full(count, part["salt"][0].as_py(), np.int32)), tails, packed_ints(n, starts), pa.array(shared.run_sums(n, starts)), pa.array(shared.run_sums((n > 0).astype(np.int64), starts))],
+                ["kind", "cell", "salt", "tails", "times", "n", "v"],
+            )
+
+    dealt = rows.select("kind", "cell", "salt", "tails", "times").repartition(*by).sortWithinPartitions(*by)
+    return shared.map_arrow(dealt, run, "kind int, cell int, salt int, tails binary, times binary, n long, v long")
+
+
+def upper_paths(whole: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (three bytes of context, byte), and what is settled at each of them for the paths below.
+
+    To the driver comes a row for each of them with what lies below.
     """
-    spark = units.sparkSession
-    rows = units.where("kind = 1").select("unit", "cell", "tails", "times").repartition("cell").sortWithinPartitions("cell")
     levels = range(8)
 
     def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *_, keys, n in whole_cells(batches, depth):
-            layers = Layers(keys, n, depth, CELL)
-            mixed = []
-            for level in levels:
-                layers.mix(level)
-                mixed.append(pa.array(layers.mixed[CELL]))
-            yield pa.RecordBatch.from_arrays([pa.array(layers.keys[CELL]), pa.array(layers.n[CELL]), *mixed], ["key", "n", *(f"m{k}" for k in levels)])
-
-    got = rows.mapInArrow(below, "key long, n double, " + ", ".join(f"m{k} double" for k in levels)).toArrow().sort_by("key")
+        for batch in batches:
+            sizes = np.asarray(pa.compute.binary_length(batch["tails"]), dtype=np.int64)
+            for part in shared.by_bytes(batch, "tails", 2 * CELL_KEYS) if len(sizes) else ():
+                order = np.argsort(part["cell"].to_numpy())
+                part = part.take(pa.array(order))
+                layers = Layers(keys_of(CONTEXTS, part["cell"].to_numpy(), part["tails"], depth)[0], unpacked_ints(part["times"])[0], depth, CELL)
+                mixed = []
+                for level in levels:
+                    layers.mix(level)
+                    mixed.append(pa.array(layers.mixed[CELL]))
+                yield pa.RecordBatch.from_arrays([pa.array(layers.keys[CELL]), pa.array(layers.n[CELL]), *mixed], ["key", "n", *(f"m{k}" for k in levels)])
+
+    got = shared.map_arrow(whole.select("cell", "tails", "times"), below, "key long, n double, " + ", ".join(f"m{k} double" for k in levels)).toArrow().sort_by("key")
     keys = got["key"].to_numpy()
     paths = np.zeros((8, 3, len(keys)))
     if len(keys):
@@ -470,98 +510,100 @@ def answered(units: DataFrame, depth: int = DEPTH) -> DataFrame:
         for level in levels:
             layers.mix(level, got[f"m{level}"].to_numpy())
             paths[level] = layers.follow(0 * start, start, start / 2)
-    top = spark.sparkContext.broadcast((keys, paths))
-
-    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, paths = top.value
-        for unit, cell, sizes, place, keys, n in whole_cells(batches, depth):
-            layers = Layers(keys, n, depth, CELL)
-            at = np.searchsorted(known, layers.keys[CELL])
-            logs = np.zeros(len(keys))
-            for level in levels:
-                layers.mix(level)
-                one = layers.follow(*paths[level][:, at])[2]
-                logs += np.log10(np.where(layers.bit[depth] == 1, one, 1 - one))
-            starts = shared.runs(sizes)
-            logs = logs.astype(np.float32)[place]
-            for low in range(0, len(unit), 2000):
-                some = starts[low : low + 2001]
-                yield pa.RecordBatch.from_arrays([pa.array(unit[low : low + 2000]), pa.array(cell[low : low + 2000]), packed(logs[some[0] : some[-1]], some - some[0])], ["unit", "cell", "logs"])
-
-    return rows.mapInArrow(down, "unit long, cell int, logs binary")
+    return keys, paths
+
+
+def answers(lists: DataFrame, whole: DataFrame, salts: int, upper, depth: int) -> DataFrame:
+    """(unit, kind, cell, values) for each row of ``lists``, in the order of its tails: counts of words, log10 probabilities of contexts."""
+    asked = lists.select("kind", "cell", "salt", "unit", "tails", F.lit(None).cast("binary").alias("times"))
+    known = whole.select("kind", "cell", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(-1).cast("long").alias("unit"), "tails", "times")
+    rows = asked.unionByName(known).repartition("kind", "cell", "salt").sortWithinPartitions("kind", "cell", "salt", "unit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, paths = upper.value
+        for kind, part in by_cell(batches, 2 * CELL_KEYS):
+            unit = part["unit"].to_numpy()
+            given, asks = (part.filter(pa.array(x)) for x in (unit < 0, unit >= 0))
+            keys = keys_of(kind, given["cell"].to_numpy(), given["tails"], depth)[0]
+            n = unpacked_ints(given["times"])[0]
+            if kind == CONTEXTS:
+                layers = Layers(keys, n, depth, CELL)
+                at = np.searchsorted(top, layers.keys[CELL])
+                logs = np.zeros(len(keys))
+                for level in range(8):
+                    layers.mix(level)
+                    one = layers.follow(*paths[level][:, at])[2]
+                    logs += np.log10(np.where(layers.bit[depth] == 1, one, 1 - one))
+                logs = logs.astype(np.float32)
+            for ask in shared.by_bytes(asks, "tails", CELL_KEYS):
+                own, sizes = keys_of(kind, ask["cell"].to_numpy(), ask["tails"], depth)
+                place, starts = np.searchsorted(keys, own), shared.runs(sizes)
+                values = packed(logs[place], starts) if kind == CONTEXTS else packed_ints(n[place], starts)
+                yield pa.RecordBatch.from_arrays([ask["unit"], ask["kind"], ask["cell"], values], ["unit", "kind", "cell", "values"])
+
+    return shared.map_arrow(rows, run, "unit long, kind int, cell int, values binary")
 
 
 def unit_scores(texts: pa.Array, logs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """log10 probability of each text of a unit; ``logs`` are those of its distinct (context, byte) in order."""
-    blocks, keys = [], np.zeros(0, np.int64)
-    for some, owner in grams(texts, depth):
-        distinct, place = np.unique(some, return_inverse=True)
-        blocks.append((distinct, place.astype(np.int32), owner))
-        keys = np.union1d(keys, distinct)
+    blocks = [coded(keys) for keys, _ in grams(texts, depth)]
+    keys = np.unique(np.concatenate([b[0] for b in blocks])) if blocks else np.zeros(0, np.int64)
     out = np.zeros(len(texts))
-    for distinct, place, owner in blocks:
+    for (distinct, place), (_, owner) in zip(blocks, grams(texts, depth)):
         out += np.bincount(owner, logs[np.searchsorted(keys, distinct)].astype(np.float64)[place], len(texts))
     return out
 
 
-def score(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
-    """Of doc_id, text rows: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+def word_counts(texts: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The training count of each word of each text, and the texts' numbers of words; ``times`` are those of the unit's distinct words in order."""
+    words, counted = shared.word_array(*(lambda data, offsets: (shared.lowered(data), offsets))(*shared.raw_bytes(texts)))
+    words = words.dictionary_encode()
+    hashed = shared.hash_words(words.dictionary)
+    return times[np.searchsorted(np.unique(hashed), hashed)][words.indices.to_numpy()], counted
+
+
+def score(docs: DataFrame, learn: Column, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) -> DataFrame:
+    """Of doc_id, text rows: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Everything is learnt from the rows where ``learn`` holds.
     """
     spark = docs.sparkSession
-    units = shared.cut(listed(docs.withColumn("held_out", ~learn), depth), "lm-units", compression="zstd")
-    words = shared.cut(units.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
-    documents = units.where("kind = 2").agg(F.sum("n")).first()[0] or 0
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    n, v = n + documents, v + (documents > 0)
-    head = words.where(F.col("n") * (1 << HEAD_BITS) >= n).orderBy("key").toArrow()  # at most 2 ** 18 words
-    held = spark.sparkContext.broadcast((head["key"].to_numpy(), head["n"].to_numpy()))
-    below = n + 0.1 * (v + 1)
-
-    def log_rate(c):
-        return np.log10((np.asarray(c) + 0.1) / below)
-
-    def run(part: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, times = held.value
-        part, answers = part.combine_chunks(), answers.sort_by("cell").combine_chunks()
-        column = lambda t, name: t[name].chunk(0) if t[name].num_chunks else pa.array([], t.schema.field(name).type)
-        texts = column(part, "text")
-        total = unit_scores(texts, unpacked(column(answers, "logs"), np.float32)[0], depth)
-        data, offsets = shared.raw_bytes(texts)
-        words, counted = shared.word_array(shared.lowered(data), offsets)
-        coded = words.dictionary_encode()
-        hashed = shared.hash_words(coded.dictionary).view(np.int64)
-        which = np.asarray(coded.indices).astype(np.int64)
-        place = np.minimum(np.searchsorted(keys, hashed), max(len(keys) - 1, 0))
-        known = keys[place] == hashed if len(keys) else np.zeros(len(hashed), bool)
-        logs = np.where(known, log_rate(times[place]), 0.0) if len(keys) else np.zeros(len(hashed))
-        starts = shared.runs(counted)
-        base = shared.run_sums(logs[which], starts) + log_rate(documents)
-        n_known = shared.run_sums(known[which].astype(np.int64), starts) + (documents > 0)
-        owner = np.repeat(np.arange(len(counted)), counted)
-        rare = ~known[which]
-        pairs, tf = np.unique(owner[rare] * max(len(hashed), 1) + which[rare], return_counts=True)
-        per_doc = shared.runs(np.bincount(pairs // max(len(hashed), 1), minlength=len(counted)))
-        lists = lambda x, t: pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), pa.array(x, t))
-        return pa.Table.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), pa.array(np.diff(offsets)), lists(hashed[pairs % max(len(hashed), 1)], pa.int64()), lists(tf, pa.int32())], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "rare", "tf"])
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, rare array<long>, tf array<int>"
-    held_texts = units.where("kind = 3").select("unit", "doc_id", "held_out", "text")
-    rows = held_texts.groupBy("unit").cogroup(answered(units, depth).groupBy("unit")).applyInArrow(run, schema)
-    scored = shared.cut(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored", compression="zstd")
-    tail = scored.select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.tf").alias("tf"))
-    c = F.coalesce("n", F.lit(0))
-    rest = tail.join(words, "key", "left").groupBy("row").agg(F.sum(F.col("tf") * F.log10((c + 0.1) / below)).alias("more_base"), F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("more_known"))
-    out = scored.drop("rare", "tf").join(rest, "row", "left")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shared.bucketed(listed(docs.withColumn("held_out", ~learn), depth, unit_bytes), "lm-units", "kind", "unit", buckets) as units:
+        documents, n_units = units.where(F.col("kind") == LEARNT).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("unit")).first()
+        salts = 1 + n_units // SALT_UNITS
+        lists = units.where(F.col("kind").isin(WORDS, CONTEXTS)).select("kind", "cell", F.pmod(F.xxhash64("unit"), F.lit(salts)).cast("int").alias("salt"), "unit", "tails", "times")
+        whole = merged_lists(lists, ["kind", "cell", "salt"], depth)
+        if salts > 1:
+            whole = merged_lists(whole.withColumn("salt", F.lit(0)), ["kind", "cell", "salt"], depth)
+        whole = shared.cut(whole, "lm-tables", compression="zstd")
+        n, v = whole.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+        n, v = n + documents, v + (documents > 0)
+        upper = spark.sparkContext.broadcast(upper_paths(whole.where(F.col("kind") == CONTEXTS), depth))
+        below = n + 0.1 * (v + 1)
+
+        def run(part: pa.Table, got: pa.Table) -> pa.Table:
+            part, got = part.combine_chunks(), got.sort_by([("kind", "ascending"), ("cell", "ascending")]).combine_chunks()
+            column = lambda t, name: t[name].chunk(0) if t[name].num_chunks else pa.array([], t.schema.field(name).type)
+            of = lambda kind: column(got.filter(pa.compute.equal(got["kind"], kind)).combine_chunks(), "values")
+            texts = column(part, "text")
+            total = unit_scores(texts, unpacked(of(CONTEXTS), np.float32)[0], depth)
+            counts, counted = word_counts(texts, unpacked_ints(of(WORDS))[0])
+            starts = shared.runs(counted)
+            log_rate = lambda c: np.log10((np.asarray(c) + 0.1) / below)
+            base = shared.run_sums(log_rate(counts), starts) + log_rate(documents)
+            n_known = shared.run_sums((counts > 0).astype(np.int64), starts) + (documents > 0)
+            n_bytes = pa.compute.binary_length(texts).fill_null(0).cast(pa.int64())
+            return pa.Table.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), n_bytes], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+
+        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
+        texts = units.where(F.col("kind") == TEXTS).select("unit", "doc_id", "held_out", "text")
+        rows = texts.groupBy("unit").cogroup(answers(lists, whole, salts, upper, depth).groupBy("unit")).applyInArrow(run, schema)
+        scored = shared.cut(rows, "lm-scored")
+        upper.destroy()
+        shared.discard(whole)
     bits = F.when(F.col("n_bytes") > 0, -F.col("score") / F.lit(float(np.log10(2))) / F.col("n_bytes"))
-    return out.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score", bits.alias("bits_per_byte"),
-    )
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -614,7 +614,22 @@ def test_tree_equals_its_definition():
     assert np.allclose((10.0 ** tree.logs.astype(float)).sum(axis=1), 1, atol=1e-5)
 
 
-def test_rare_contexts_are_nodes_at_any_corpus_size(spark):
+def test_grams_don_t_depend_on_the_blocks(monkeypatch):
+    texts = ["abc", "", None, "x" * 50, "é y", "last one"]
+    at_once = [np.concatenate(x).tolist() for x in zip(*ctw.grams(pa.array(texts), 3))]
+    monkeypatch.setattr(ctw, "BLOCK", 7)
+    assert [np.concatenate(x).tolist() for x in zip(*ctw.grams(pa.array(texts), 3))] == at_once
+    want = []
+    for i, t in enumerate(texts):
+        padded = b"\xff" * 3 + (t or "").encode() + b"\xff"
+        want += [(padded[k - 1] << 24 | padded[k - 2] << 16 | padded[k - 3] << 8 | padded[k], i) for k in range(3, len(padded))]
+    assert list(zip(*at_once)) == want
+
+
+@pytest.mark.parametrize(("unit_bytes", "salt_units"), [(ctw.UNIT_BYTES, ctw.SALT_UNITS), (9000, 2)])
+def test_rare_contexts_are_nodes_at_any_corpus_size(spark, monkeypatch, unit_bytes, salt_units):
+    monkeypatch.setattr(ctw, "SALT_UNITS", salt_units)
+
     def whole(learnt, depth=ctw.DEPTH):
         """The tree of all contexts that occur twice, held in one place."""
         data, offsets = shared.raw_bytes(pa.array(learnt, pa.large_string()))
@@ -632,7 +647,7 @@ def test_rare_contexts_are_nodes_at_any_corpus_size(spark):
     held_out = ["the quixotic zephyr", "never seen straße", "abc"]
     rows = [(i, t, i < len(learnt)) for i, t in enumerate(learnt + held_out)]
     df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
-    got = {r["doc_id"]: r["score"] for r in ctw.score(df, F.col("learn")).collect()}
+    got = {r["doc_id"]: r["score"] for r in ctw.score(df, F.col("learn"), unit_bytes=unit_bytes).collect()}
     tree = whole(learnt)
     want = tree.score(*shared.raw_bytes(pa.array(learnt + held_out, pa.large_string())))
     assert len(b"".join(t.encode() for t in learnt)) > 3 << 15
