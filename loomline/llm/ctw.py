@@ -49,8 +49,8 @@ CELL = 3
 #: The first bits of a word's hash by which words are dealt out.
 WORD_CELL_BITS = 12
 EDGE = 0xFF
-#: Text of a unit, places that are coded at once, and keys of whole cells that are worked on at once.
-UNIT_BYTES, BLOCK, CELL_KEYS = 32 << 20, 1 << 21, 1 << 20
+#: Text of a unit, places that are worked on and that are sorted at once, and keys of whole cells that are worked on at once.
+UNIT_BYTES, BLOCK, KEYS, CELL_KEYS = 32 << 20, 1 << 20, 1 << 24, 1 << 20
 #: Units whose lists of a cell go to one task.
 SALT_UNITS = 512
 #: Kinds of rows: a unit's words and contexts by cell, learnt documents, texts.
@@ -285,25 +285,37 @@ def merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
-def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct integers as they come, and each value's place among them."""
-    out = pa.array(values).dictionary_encode()
-    return out.dictionary.to_numpy(), out.indices.to_numpy()
+def distinct_counts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of key << 1 | counts, in order, and how often the key counts; ``values`` are sorted in place."""
+    values.sort()
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    sizes, values = np.diff(np.append(starts, len(values))), values[starts]
+    keys, n = values >> 1, sizes * (values & 1)
+    again = np.flatnonzero(keys[1:] == keys[:-1])  # first without, then with counts
+    n[again] = n[again + 1]
+    kept = np.ones(len(keys), bool)
+    kept[again + 1] = False
+    return keys[kept], n[kept]
 
 
 def grams(texts: pa.Array, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For blocks of places: context << 8 | byte, nearest byte of the context most significant, and the text of each place."""
+    """For blocks of places: context << 8 | byte, nearest byte of the context most significant, and the text of each place.
+
+    A place's key comes from eight bytes read at once, so ``depth`` is 7 at most.
+    """
     data, offsets = shared.raw_bytes(texts)
     padded, rooms = padded_texts(shared.lowered(data), offsets, depth)
-    for low in range(depth, len(padded), BLOCK):
-        high = min(low + BLOCK, len(padded))
+    n = len(padded)
+    padded = np.concatenate([padded, np.zeros(8, np.uint8)])
+    eight = np.ndarray(n, "<u8", padded, strides=(1,))
+    context, byte = np.uint64((1 << 8 * depth) - 1), np.uint64(8 * depth)
+    for low in range(depth, n, BLOCK):
+        high = min(low + BLOCK, n)
         first, last = np.searchsorted(rooms, [low, high - 1], "right") - 1
         edges = np.clip(rooms[first : last + 2], low, high)
         owner = np.repeat(np.arange(first, last + 1, dtype=np.int32), np.diff(edges))
-        keys = np.zeros(high - low, np.int64)
-        for d in range(1, depth + 1):
-            keys = (keys << 8) | padded[low - d : high - d]
-        keys = (keys << 8) | padded[low:high]
+        read = eight[low - depth : high - depth].copy()
+        keys = (((read & context) << np.uint64(8)) | ((read >> byte) & np.uint64(255))).view(np.int64)
         inside = np.ones(high - low, bool)
         for d in range(depth):  # a room begins with the edge
             begins = rooms[first : last + 1] + d - low
@@ -380,13 +392,30 @@ def listed(docs: DataFrame, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) ->
 
         unit, size = TaskContext.get().partitionId() << 32, 0
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {WORDS: [], CONTEXTS: []}
+        room, used = np.empty(KEYS, np.int64), 0
         empty = None
 
+        def collect(keys: np.ndarray) -> None:
+            nonlocal used
+            while len(keys):
+                some = keys[: len(room) - used]
+                room[used : used + len(some)] = some
+                used, keys = used + len(some), keys[len(some) :]
+                if used == len(room):
+                    settle()
+
+        def settle() -> None:
+            nonlocal used
+            if used:
+                held[CONTEXTS].append(distinct_counts(room[:used]))
+                used = 0
+
         def rows(kind: int, count: int, **given) -> pa.RecordBatch:
             given |= {"kind": pa.array(np.full(count, kind)), "unit": pa.array(np.full(count, unit))}
             return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(count, f.type) for f in empty], schema=empty)
 
         def whole_unit() -> Iterator[pa.RecordBatch]:
+            settle()
             for kind, parts in held.items():
                 keys, n = merged(*map(np.concatenate, zip(*parts)))
                 parts.clear()
@@ -403,8 +432,7 @@ def listed(docs: DataFrame, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) ->
             for part in shared.by_bytes(batch, "text"):
                 learnt = ~np.asarray(part["held_out"].fill_null(True).to_numpy(zero_copy_only=False), dtype=bool)
                 for keys, owner in grams(part["text"], depth):
-                    distinct, place = coded(keys)
-                    held[CONTEXTS].append((distinct, np.bincount(place, learnt[owner], len(distinct))))
+                    collect((keys << 1) | learnt[owner])
                 data, offsets = shared.raw_bytes(part["text"])
                 words, counted = shared.word_array(shared.lowered(data), offsets)
                 words = words.dictionary_encode()
@@ -413,8 +441,8 @@ def listed(docs: DataFrame, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) ->
                 yield rows(LEARNT, 1, n=pa.array([int(learnt.sum())]))
                 yield rows(TEXTS, len(part), doc_id=part["doc_id"], held_out=part["held_out"], text=part["text"])
                 size += len(data) + len(part)
-                if len(held[CONTEXTS]) > 3:
-                    for parts in held.values():
+                for parts in held.values():
+                    if len(parts) > 7:
                         parts[:] = [merged(*map(np.concatenate, zip(*parts)))]
                 if size >= unit_bytes:
                     yield from whole_unit()
@@ -544,22 +572,24 @@ def answers(lists: DataFrame, whole: DataFrame, salts: int, upper, depth: int) -
     return shared.map_arrow(rows, run, "unit long, kind int, cell int, values binary")
 
 
-def unit_scores(texts: pa.Array, logs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """log10 probability of each text of a unit; ``logs`` are those of its distinct (context, byte) in order."""
-    blocks = [coded(keys) for keys, _ in grams(texts, depth)]
-    keys = np.unique(np.concatenate([b[0] for b in blocks])) if blocks else np.zeros(0, np.int64)
+def text_scores(texts: pa.Array, keys: np.ndarray, logs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """log10 probability of each text; ``logs`` are those of the (context, byte) ``keys``, which are in order."""
     out = np.zeros(len(texts))
-    for (distinct, place), (_, owner) in zip(blocks, grams(texts, depth)):
-        out += np.bincount(owner, logs[np.searchsorted(keys, distinct)].astype(np.float64)[place], len(texts))
+    for own, owner in grams(texts, depth):
+        order = np.argsort(own)
+        own = own[order]
+        first = np.concatenate([[True], own[1:] != own[:-1]])
+        found = logs[np.searchsorted(keys, own[first])].astype(np.float64)
+        out += np.bincount(owner[order], found[np.cumsum(first) - 1], len(texts))
     return out
 
 
-def word_counts(texts: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The training count of each word of each text, and the texts' numbers of words; ``times`` are those of the unit's distinct words in order."""
-    words, counted = shared.word_array(*(lambda data, offsets: (shared.lowered(data), offsets))(*shared.raw_bytes(texts)))
+def word_counts(texts: pa.Array, keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The training count of each word of each text, and the texts' numbers of words; ``times`` are those of the hashes ``keys``, which are in order."""
+    data, offsets = shared.raw_bytes(texts)
+    words, counted = shared.word_array(shared.lowered(data), offsets)
     words = words.dictionary_encode()
-    hashed = shared.hash_words(words.dictionary)
-    return times[np.searchsorted(np.unique(hashed), hashed)][words.indices.to_numpy()], counted
+    return times[np.searchsorted(keys, shared.hash_words(words.dictionary))][words.indices.to_numpy()], counted
 
 
 def score(docs: DataFrame, learn: Column, depth: int = DEPTH, unit_bytes: int = UNIT_BYTES) -> DataFrame:
@@ -582,23 +612,31 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, unit_bytes: int =
         upper = spark.sparkContext.broadcast(upper_paths(whole.where(F.col("kind") == CONTEXTS), depth))
         below = n + 0.1 * (v + 1)
 
-        def run(part: pa.Table, got: pa.Table) -> pa.Table:
-            part, got = part.combine_chunks(), got.sort_by([("kind", "ascending"), ("cell", "ascending")]).combine_chunks()
-            column = lambda t, name: t[name].chunk(0) if t[name].num_chunks else pa.array([], t.schema.field(name).type)
-            of = lambda kind: column(got.filter(pa.compute.equal(got["kind"], kind)).combine_chunks(), "values")
-            texts = column(part, "text")
-            total = unit_scores(texts, unpacked(of(CONTEXTS), np.float32)[0], depth)
-            counts, counted = word_counts(texts, unpacked_ints(of(WORDS))[0])
-            starts = shared.runs(counted)
-            log_rate = lambda c: np.log10((np.asarray(c) + 0.1) / below)
-            base = shared.run_sums(log_rate(counts), starts) + log_rate(documents)
-            n_known = shared.run_sums((counts > 0).astype(np.int64), starts) + (documents > 0)
-            n_bytes = pa.compute.binary_length(texts).fill_null(0).cast(pa.int64())
-            return pa.Table.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), n_bytes], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+        log_rate = lambda c: np.log10((np.asarray(c) + 0.1) / below)
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
+
+        def run(unit: pa.Table, got: pa.Table) -> pa.Table:
+            known = {}
+            for kind, read in ((CONTEXTS, lambda x: unpacked(x, np.float32)[0]), (WORDS, lambda x: unpacked_ints(x)[0])):
+                asked, told = (t.filter(pa.compute.equal(t["kind"], kind)).sort_by("cell").combine_chunks() for t in (unit, got))
+                if asked.num_rows:
+                    known[kind] = keys_of(kind, asked["cell"].chunk(0).to_numpy(), asked["tails"].chunk(0), depth)[0], read(told["values"].chunk(0))
+            del got, asked, told
+            out = []
+            for batch in unit.filter(pa.compute.equal(unit["kind"], TEXTS)).select(["doc_id", "held_out", "text"]).to_batches():
+                for part in shared.by_bytes(batch, "text"):
+                    total = text_scores(part["text"], *known[CONTEXTS], depth)
+                    counts, counted = word_counts(part["text"], *known.get(WORDS, (np.zeros(0, np.uint64), np.zeros(0, np.int64))))
+                    starts = shared.runs(counted)
+                    base = shared.run_sums(log_rate(counts), starts) + log_rate(documents)
+                    n_known = shared.run_sums((counts > 0).astype(np.int64), starts) + (documents > 0)
+                    n_bytes = pa.compute.binary_length(part["text"]).fill_null(0).cast(pa.int64())
+                    out.append(pa.RecordBatch.from_arrays([part["doc_id"], part["held_out"], pa.array(counted + 1), pa.array(n_known), pa.array(base), pa.array(total), n_bytes], names))
+            return pa.Table.from_batches(out)
 
         schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
-        texts = units.where(F.col("kind") == TEXTS).select("unit", "doc_id", "held_out", "text")
-        rows = texts.groupBy("unit").cogroup(answers(lists, whole, salts, upper, depth).groupBy("unit")).applyInArrow(run, schema)
+        held = units.where(F.col("kind") != LEARNT).select("unit", "kind", "cell", "tails", "doc_id", "held_out", "text")
+        rows = held.groupBy("unit").cogroup(answers(lists, whole, salts, upper, depth).groupBy("unit")).applyInArrow(run, schema)
         scored = shared.cut(rows, "lm-scored")
         upper.destroy()
         shared.discard(whole)

@@ -146,10 +146,16 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
-    table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
-    return table[data]
+    return _LOWER[data]
+
+
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[32, *range(9, 14)]] = False
 
 
 def word_array(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -157,18 +163,19 @@ def word_array(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndar
 
     A word is a maximal run of bytes other than 0x20 and 0x09 to 0x0D.
     """
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    after = np.ones(len(data), dtype=bool)
-    after[1:] = space[:-1]
-    after[offsets[:-1][offsets[:-1] < len(data)]] = True
-    begins = after & ~space
-    seen = np.concatenate([[0], np.cumsum(begins)])
-    counts = np.diff(seen[offsets])
-    inside = ~space
-    place = np.cumsum(inside) - inside
-    starts = np.append(place[begins], inside.sum()).astype(np.int64)
-    packed = data[inside]
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(packed)])
+    if not len(data):
+        return pa.array([], pa.large_binary()), np.zeros(len(offsets) - 1, np.int64)
+    inside = _IN_WORD[data]
+    before, after = np.empty_like(inside), np.empty_like(inside)
+    before[0] = after[-1] = False
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    bounds = offsets[1:-1]
+    bounds = bounds[(bounds > 0) & (bounds < len(data))]  # texts end words
+    before[bounds], after[bounds - 1] = False, False
+    begins, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after)
+    counts = np.diff(np.searchsorted(begins, offsets))
+    starts = runs(ends + 1 - begins)
+    words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(starts), pa.py_buffer(data[inside])])
     return words, counts
 
 
