@@ -1,30 +1,37 @@
 """Main text of web pages by site style trees.
 
-The pages of a host are merged into one tree: an element's place is the path of block
-elements (with their classes) that lead to it.  A place that branches gets its
-presentation importance from the entropy of its child sequences over the host's pages;
-a place with text gets its content importance from how its texts spread: a text in
-one page counts 1, one in all pages 0.  Composite importance weighs a place's own with its
-children's, by the pages that hold them.  A branch in which no place is above
-``LEAST_IMPORTANCE`` is dropped from each page.  ``LEAST_PAGES`` different pages are what it takes to
-see a repetition; equal rows and exact copies on one host count as one page.
-
-What a page says of itself counts first: scripts, styles, forms, navigation, footers,
-asides and elements whose classes, ids or roles name a menu, advert, notice or comment are
-no content anywhere, and where a page has an ``article`` or ``main`` element, the text
-is looked for in it.  Classes, ids and roles don't decide alone: those of a branch that holds
-the page's only ``article`` or ``main`` text, or most of that text within one, are ignored, and all of
-them are where they would leave nothing.  If nothing would be left, the tree's verdict is ignored for that page.
-
-The tree's statistics are counted per (host, place, value), so a host with a third of
-all pages is no hot key; a host's tree is small and is joined to its pages.
+The pages of a host are merged into one tree.  An element's place is the path of block
+elements, with their classes (three digits or more are any number), that lead to it (below
+``MAX_DEPTH`` elements share the place of the last); an element's texts are leaves below
+it.  A place that branches gets its presentation importance from the entropy of its child
+sequences over the host's pages; a leaf gets its content importance from how its texts
+spread: a text in one page counts 1, one in all pages 0.  Composite importance weighs a
+place's own with its children's, by the pages that hold them.  A branch in which no
+place is above ``LEAST_IMPORTANCE`` is noise, and each page is left without such branches.
+
+What a page says of itself is a prior on the leaves' importance.  Texts in navigation,
+footers, asides, forms, dialogs and headers, and in elements whose classes, ids or roles
+name a menu, advert, notice or comment as a whole, count ``NAMED_PRIOR`` times.  Texts within
+``article`` or ``main`` need more pages to count as repeated (``SMOOTH``), and where a page has
+such an element, its text is looked for in it.  Names of a branch that holds the page's only
+``article`` or ``main`` text, or most of that text within one, are ignored, and all of them are where
+they would leave nothing.  A page that has nothing but what other pages of its host have
+as well is a near copy of them and keeps its text.
+
+The rule is the same for hosts of any size: on a host of one page nothing is repeated, and
+the names alone decide.  Equal rows and exact copies on one host count as one page.
+
+Statistics are counted per (host, place, value), and importance is computed by joins and sums
+over places and their ancestors, so a host with a third of all pages is no hot key and no
+tree is held in one task.  Pages meet only the list of their host's topmost noisy places.
 
 Blocks are separated by white space, inline elements are not; character references are
 decoded, and every run of Unicode white space becomes one space.
 
 Cases: null or empty html gives the empty text; a null url is a host of its own.  Broken
-markup is read as browsers do, roughly: open elements end with their parents, a tag cut
-off by the end of the page is dropped.  Repeated rows give repeated rows, an empty table
+markup is read as browsers do, roughly: open elements end with their parents, ``head`` ends
+where content begins, a tag cut off by the end of the page is dropped.  Deep nesting and
+long pages take memory in proportion.  Repeated rows give repeated rows, an empty table
 an empty one.  Only the id, url and html are read, so no name clashes.
 """
 
@@ -32,49 +39,77 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.llm import shared
 
-LEAST_PAGES = 2
 LEAST_IMPORTANCE = 0.1
 #: Weight that composite importance gives to the children, per child sequence.
 DECAY = 0.9
+#: What the importance of texts in parts that name themselves as no content is multiplied by.
+NAMED_PRIOR = 0.05
+#: Pages that texts within ``article`` or ``main`` are counted as being absent from.
+SMOOTH = 2.0
+MAX_DEPTH = 64
 
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)", re.S)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Fixed sets of element names.
-RAW = frozenset("script style noscript template textarea iframe svg math object select title xmp noembed noframes".split())
+RAW = frozenset("script style noscript template textarea iframe svg object select title xmp noembed noframes annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mspace semantics".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_ENDS = frozenset("li dt dd tr td th option".split())
-NOISE = frozenset("head nav footer aside form menu dialog button".split())
+IN_HEAD = frozenset("base basefont bgsound command link meta title style script noscript template".split())
+NOISE = frozenset("nav footer aside form menu dialog button".split())
 MAIN = frozenset("article main".split())
 #: Fixed words in classes, ids and roles that name what is no content.
 NOISE_WORDS = frozenset("ad ads adbox adsbox adslot adunit adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navmenu topnav sidenav navigation sidebar breadcrumb breadcrumbs footer cookie cookies cookiebar cookiebanner consent gdpr notice popup modal newsletter subscribe share sharing social related recommended comment comments commentlist commentbox disqus respond reply replies toolbar pagination pager complementary contentinfo search".split())
 #: Of these, the words that always count where other text is left, as comments can be most of a page and articles each.
 COMMENT_WORDS = frozenset("comment comments commentlist commentbox disqus respond reply replies".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
-SPLIT = re.compile(r"[^a-z0-9]+")
+#: Words that don't change what a name with one of the words above stands for, and words that do.
+NEUTRAL = frozenset("site main primary secondary global local top bottom left right upper lower sticky fixed floating list box bar area section block container wrap wrapper inner outer holder widget widgets posts post articles links link buttons button icons icon group row column panel strip slot unit zone region module header text title form message msg overlay window policy privacy google user reader thread more latest popular recent mobile desktop large small".split())
+NEGATIONS = frozenset("has no not with without is hide hidden layout template body".split())
+NUMBER, CAMEL, SPLIT = re.compile("[0-9]{3,}"), re.compile(r"([a-z])([A-Z])"), re.compile(r"[^a-z]+")
+
+
+def naming(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names in an attribute's value stands for one of the words as a whole.
+
+    All of a name's parts are such words or neutral ones, or the last part is one and the first is no negation.
+    """
+    for name in value.split():
+        parts = [p for p in SPLIT.split(CAMEL.sub(r"\1-\2", name).lower()) if p]
+        hits = [p in words for p in parts]
+        if any(hits) and parts[0] not in NEGATIONS and (hits[-1] or all(h or p in NEUTRAL for h, p in zip(hits, parts))):
+            return True
+    return False
+
+
+def place_below(place: int, label: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{place}/{label}") >> 1
 
 
 class PageParts:
-    """A page's texts with their places, its branching places, and which texts are content."""
+    """A page's texts with the paths of their places, and its branching places."""
 
     def __init__(self, page: str):
-        self.texts: list[tuple[str, bool, bool, str]] = []  # place, in main, noise, text
+        #: Path of places, whether in main, whether named as no content, text.
+        self.texts: list[tuple[tuple[int, ...], bool, bool, str]] = []
+        self.sequences: list[tuple[tuple[int, ...], str]] = []
         found_in: list[tuple[tuple[int, ...], bool]] = []  # branches named as noise, and noise by element, of each text
         named: list[bool | None] = []  # of each branch named as noise: is it within main, None for comments
-        self.sequences: list[tuple[str, str]] = []
-        # open elements: name, place, noise, main, child names
-        stack: list[tuple[str, str, bool, bool, list[str], tuple[int, ...]]] = [("", "", False, False, [], ())]
+        # open elements: name, path, noise, main, child names, named branches
+        stack: list[tuple[str, tuple[int, ...], bool, bool, list[str], tuple[int, ...]]] = [("", (0,), False, False, [], ())]
+        opened: Counter = Counter()
         piece: list[str] = []
         at, end = 0, len(page)
 
@@ -86,14 +121,17 @@ class PageParts:
                     text = entities.unescape(text)
                 text = " ".join(text.split())
                 if text:
-                    _, place, noise, main, _, branches = stack[-1]
-                    self.texts.append((place, main, noise or bool(branches), text))
+                    if stack[-1][0] == "head":
+                        close()
+                    _, path, noise, main, _, branches = stack[-1]
+                    self.texts.append((path, main, noise or bool(branches), text))
                     found_in.append((branches, noise))
 
         def close() -> None:
-            _, place, _, _, children, _ = stack.pop()
+            name, path, _, _, children, _ = stack.pop()
+            opened[name] -= 1
             if children:
-                self.sequences.append((place, " ".join(children)))
+                self.sequences.append((path, " ".join(children)))
 
         while at < end:
             found = TOKEN.search(page, at)
@@ -111,11 +149,10 @@ class PageParts:
                 if name in INLINE:
                     continue
                 flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        while len(stack) > k:
-                            close()
-                        break
+                if opened[name] > 0:
+                    while stack[-1][0] != name:
+                        close()
+                    close()
                 continue
             if name in RAW:
                 flush()
@@ -128,7 +165,9 @@ class PageParts:
             if name in INLINE:
                 continue
             flush()
-            if name in VOID:
+            if stack[-1][0] == "head" and name not in IN_HEAD:
+                close()
+            if name in VOID or (name in ("html", "head", "body") and opened[name] > 0):
                 continue
             if name in ENDS_P or name in SAME_ENDS:
                 ending = "p" if name in ENDS_P else name
@@ -139,28 +178,34 @@ class PageParts:
                         break
                     if stack[k][0] not in ("p", "li", "dt", "dd", "tr", "td", "th") or (ending != "p" and stack[k][0] in ("table", "ul", "ol", "dl")):
                         break
-            _, place, noise, main, children, branches = stack[-1]
+            _, path, noise, main, children, branches = stack[-1]
             if not children or children[-1] != name:
                 children.append(name)
-            label, words = name, set()
+            label, role, noisy, comments, top = name, False, False, False, False
             if "=" in found[3]:
                 for kind, *values in NAMED.findall(found[3]):
-                    value = next((v for v in values if v), "").lower()
-                    words.update(SPLIT.split(value))
-                    if kind.lower() == "class":
-                        label = f"{name}.{'.'.join(sorted(value.split()))}"
+                    value, kind = next((v for v in values if v), ""), kind.lower()
+                    noisy, comments, top = noisy or naming(value, NOISE_WORDS), comments or naming(value, COMMENT_WORDS), top or naming(value, HEADER_WORDS)
+                    if kind == "class":
+                        label = f"{name}.{'.'.join(sorted(NUMBER.sub('#', value).split()))}"
+                    role = role or (kind == "role" and value.lower() == "main")
             if name not in ("html", "body"):
                 noise = noise or name in NOISE or (not main and name == "header")
-                if (words & NOISE_WORDS and name != "main") or (not main and words & HEADER_WORDS):
+                if (noisy and name != "main") or (not main and top):
                     branches = (*branches, len(named))
-                    named.append(None if words & COMMENT_WORDS else main)
-            main = main or name in MAIN or "main" in words and "role" in found[3].lower()
-            stack.append((name, f"{place}/{label}", noise, main, [], branches))
+                    named.append(None if comments else main)
+            main = main or name in MAIN or role
+            if len(path) <= MAX_DEPTH:
+                path = (*path, place_below(path[-1], label))
+            stack.append((name, path, noise, main, [], branches))
+            opened[name] += 1
         flush()
         while len(stack) > 1:
             close()
         if named:
             self._weigh_names(found_in, named)
+        # texts are leaves; those named as no content or within main are leaves of their own
+        self.texts = [((*path, place_below(path[-1], f"#{main:d}{noise:d}")), main, noise, text) for path, main, noise, text in self.texts]
 
     def _weigh_names(self, found_in: list[tuple[tuple[int, ...], bool]], named: list[bool | None]) -> None:
         """Ignores names of branches with the page's only main text or most of it, and all names that leave nothing."""
@@ -179,110 +224,111 @@ class PageParts:
         noisy = [noise or any(k not in ignored for k in branches) for branches, noise in found_in]
         if all(noisy):
             noisy = [noise for _, noise in found_in]
-        self.texts = [(place, main, n, text) for (place, main, _, text), n in zip(self.texts, noisy)]
+        self.texts = [(path, main, n, text) for (path, main, _, text), n in zip(self.texts, noisy)]
 
-    def text(self, noisy: frozenset[str] = frozenset()) -> str:
-        """The content, without branches whose place is in ``noisy``."""
-        content = [t for t in self.texts if not t[2]]
+    def text(self, noisy: frozenset[int] | None = None) -> str:
+        """The content: texts outside branches whose place is in ``noisy``, within main if any such text is.
+
+        Without such a set the page is judged alone, by its names.
+        """
+        plain = [t for t in self.texts if not t[2]]
+        content = plain if noisy is None else [t for t in self.texts if noisy.isdisjoint(t[0])] or plain
         if any(t[1] for t in content):
             content = [t for t in content if t[1]]
-        if noisy:
-            content = [t for t in content if not any(p in noisy for p in ancestors(t[0]))] or content
         return " ".join(t[3] for t in content)
 
 
-def ancestors(place: str) -> Iterator[str]:
-    """The place and all above it."""
-    while place:
-        yield place
-        place = place.rpartition("/")[0]
-
-
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
 
 
+#: Kinds of statistics: pages with a place, its child sequences, its texts; texts within main and named ones have kinds of their own.
+PLACE, SEQUENCE, TEXT = 0, 1, 2
+
+
 def statistics(pages: DataFrame) -> DataFrame:
-    """(host, place, kind, value, n): pages by place (kind 0), child sequence (1) and text hash (2)."""
-    import xxhash
+    """(host, id, path, prior, kind, value, n): pages by place, child sequence and text hash; prior: 1 in main, 2 named, 3 both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counted: Counter = Counter()
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
                 parts = PageParts(page or "")
-                seen = {(place, 1, xxhash.xxh3_64_intdigest(s) >> 1) for place, s in parts.sequences}
-                seen.update((place, 2, xxhash.xxh3_64_intdigest(text) >> 1) for place, _, _, text in parts.texts)
-                seen.update({(place, 0, 0) for place, _, _ in seen})
+                seen = {(path, 0, SEQUENCE, xxhash.xxh3_64_intdigest(x) >> 1) for path, x in parts.sequences}
+                seen.update((path, main + 2 * named, TEXT, xxhash.xxh3_64_intdigest(text) >> 1) for path, main, named, text in parts.texts)
+                for path, prior, kind, _ in list(seen):
+                    seen.add((path, prior if kind == TEXT else 0, PLACE, 0))
+                    if kind == TEXT:
+                        seen.update((path[:k], 0, PLACE, 0) for k in range(1, len(path)))
                 counted.update((host, *x) for x in seen)
             if counted:
-                keys = list(zip(*counted))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int32()), pa.array(keys[3], pa.int64()), pa.array(list(counted.values()), pa.int64())], ["host", "place", "kind", "value", "n"])
+                host, path, prior, kind, value = zip(*counted)
+                ids = [p[-1] for p in path]
+                types = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                columns = (host, ids, path, prior, kind, value, list(counted.values()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], ["host", "id", "path", "prior", "kind", "value", "n"])
 
-    return shared.map_arrow(pages.select("host", "html").distinct(), run, "host string, place string, kind int, value long, n long").groupBy("host", "place", "kind", "value").agg(F.sum("n").alias("n"))
+    rows = shared.map_arrow(pages.select("host", "html").distinct(), run, "host string, id long, path array<long>, prior int, kind int, value long, n long")
+    return rows.groupBy("host", "id", "kind", "value").agg(F.any_value("path").alias("path"), F.max("prior").alias("prior"), F.sum("n").alias("n"))
 
 
-def trees(counts: DataFrame) -> DataFrame:
-    """One row per host: host, tree (place, pages, n_sequences, presentation, content).
+def importance(counts: DataFrame) -> DataFrame:
+    """host, id, parent, own, composite and highest importance of every place.
 
-    The tree has an entry for each place of the host's pages; texts are only counted.
+    A place's composite importance is (1 - k) own + k sum(w composite) over its children, so every place adds to
+    each place above it, with the product of the k and w between them.
     """
     of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     n = F.col("n").cast("double")
-    places = counts.groupBy("host", "place").agg(
-        of(0, n).alias("pages"), of(1, n).alias("s"), of(1, n * F.log(n)).alias("sl"), of(1, F.lit(1.0)).alias("n_sequences"), of(2, F.log(n)).alias("tl"), of(2, F.lit(1.0)).alias("t")
-    )
-    log_m = F.log("pages")
-    presentation = F.when(F.col("s").isNull(), None).when(F.col("pages") < 2, 1.0).otherwise((F.log("s") - F.col("sl") / F.col("s")) / log_m)
-    content = F.when(F.col("t").isNull(), None).when(F.col("pages") < 2, 1.0).otherwise(1 - F.col("tl") / F.col("t") / log_m)
-    entry = F.struct("place", "pages", F.coalesce("n_sequences", F.lit(0.0)).alias("n_sequences"), presentation.alias("presentation"), content.alias("content"))
-    return places.groupBy("host").agg(F.collect_list(entry).alias("tree"))
-
-
-def noisy_places(tree: list[dict]) -> frozenset[str]:
-    """Places of enough pages whose branch holds nothing important."""
-    nodes = {x["place"]: x for x in tree}
-    children: dict[str, list[str]] = defaultdict(list)
-    for place in nodes:
-        children[place.rpartition("/")[0]].append(place)
-    composite: dict[str, float] = {}
-    highest: dict[str, float] = {}
-    for place in sorted(nodes, key=lambda p: -p.count("/")):
-        x = nodes[place]
-        own = max(v for v in (x["presentation"], x["content"], 0.0) if v is not None)
-        below = [c for c in children[place] if c in composite]
-        total = sum(nodes[c]["pages"] for c in below)
-        if total:
-            keep = DECAY ** x["n_sequences"]
-            inner = sum(nodes[c]["pages"] * composite[c] for c in below) / total
-            composite[place] = (1 - keep) * own + keep * inner
-        else:
-            composite[place] = own
-        highest[place] = max([composite[place], *(highest[c] for c in below)])
-    return frozenset(p for p, h in highest.items() if h <= LEAST_IMPORTANCE and nodes[p]["pages"] >= LEAST_PAGES)
+    nodes = counts.groupBy("host", "id").agg(
+        F.any_value("path").alias("path"), F.max("prior").alias("prior"), of(PLACE, n).alias("pages"),
+        of(SEQUENCE, n).alias("s"), of(SEQUENCE, n * F.log(n)).alias("sl"), F.coalesce(of(SEQUENCE, F.lit(1.0)), F.lit(0.0)).alias("sequences"), of(TEXT, F.log(n)).alias("tl"), of(TEXT, F.lit(1.0)).alias("t"),
+    )
+    pages, leaf = F.col("pages"), F.col("t").isNotNull()
+    seen_in = F.when(F.col("prior") % 2 == 1, pages + SMOOTH).otherwise(pages)
+    content = F.when(pages < 2, 1.0).otherwise(1 - F.col("tl") / F.col("t") / F.log(seen_in)) * F.when(F.col("prior") >= 2, NAMED_PRIOR).otherwise(1.0)
+    presentation = F.when(pages < 2, 1.0).otherwise((F.log("s") - F.col("sl") / F.col("s")) / F.log(pages))
+    own = F.when(leaf, content).otherwise(F.coalesce(presentation, F.lit(0.0)))
+    nodes = nodes.select("host", "id", "path", F.coalesce(F.try_element_at("path", F.lit(-2)), F.lit(-1)).alias("parent"), "pages", own.alias("own"), F.when(leaf, 0.0).otherwise(F.pow(F.lit(DECAY), "sequences")).alias("k"))
+    nodes = shared.cut(nodes, "places")
+
+    siblings = nodes.groupBy("host", "parent").agg(F.sum("pages").alias("beside"))
+    above = nodes.select("host", F.col("id").alias("parent"), F.col("k").alias("k_above"))
+    step = nodes.join(siblings, ["host", "parent"]).join(above, ["host", "parent"], "left")
+    step = step.select("host", F.col("id").alias("a"), F.coalesce(F.log("k_above") + F.log(F.col("pages") / F.col("beside")), F.lit(0.0)).alias("step"))
+    lines = nodes.select("host", "id", F.explode("path").alias("a"))
+    reach = shared.cut(lines.join(step, ["host", "a"]).groupBy("host", "id").agg(F.sum("step").alias("reach")), "reach")
+
+    adds = nodes.join(reach, ["host", "id"]).select("host", "id", ((1 - F.col("k")) * F.col("own")).alias("adds"), "reach")
+    upwards = lines.join(adds, ["host", "id"]).join(reach.select("host", F.col("id").alias("a"), F.col("reach").alias("reach_above")), ["host", "a"])
+    composite = upwards.groupBy("host", "a").agg(F.sum(F.col("adds") * F.exp(F.col("reach") - F.col("reach_above"))).alias("composite"))
+    composite = shared.cut(composite.withColumnRenamed("a", "id"), "composite")
+    highest = lines.join(composite, ["host", "id"]).groupBy("host", "a").agg(F.max("composite").alias("highest")).withColumnRenamed("a", "id")
+    return nodes.select("host", "id", "parent", "own").join(composite, ["host", "id"]).join(highest, ["host", "id"])
+
+
+def noisy_places(counts: DataFrame) -> DataFrame:
+    """host, noisy: the topmost places of each host's branches in which nothing is important."""
+    places = shared.cut(importance(counts).select("host", "id", "parent", (F.col("highest") <= LEAST_IMPORTANCE).alias("noise")), "noise")
+    above = places.where("noise").select("host", F.col("id").alias("parent"))
+    return places.where("noise").join(above, ["host", "parent"], "left_anti").groupBy("host").agg(F.collect_list("id").alias("noisy"))
 
 
 def extract(pages: DataFrame, keep: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page id, url, text and n_chars of every page."""
-    spark = pages.sparkSession
     read = pages.select(F.col(keep).alias("keep"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), host_of(F.col(url)).alias("host"))
-    by_host = shared.cut(trees(statistics(read)), "style-trees")
+    noisy = shared.cut(noisy_places(shared.cut(statistics(read), "style-trees")), "noisy")
     fields = [read.schema["keep"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
         for batch in batches:
             out = []
-            trees = batch["tree"]
-            for i, (host, page) in enumerate(zip(batch["host"].to_pylist(), batch["html"].to_pylist())):
-                if host not in known:
-                    if len(known) >= 1000:
-                        known.clear()
-                    known[host] = noisy_places(trees[i].as_py() or [])
-                out.append(PageParts(page or "").text(known[host]))
+            lists = batch["noisy"]
+            for i, page in enumerate(batch["html"]):
+                out.append(PageParts(page.as_py() or "").text(frozenset(lists[i].as_py() or ())))
             yield pa.RecordBatch.from_arrays([batch["keep"], batch["url"], pa.array(out, pa.string())], ["keep", "url", "text"])
 
-    out = shared.map_arrow(read.join(by_host, "host", "left").select("keep", "url", "host", "html", "tree"), run, T.StructType(fields))
+    out = shared.map_arrow(read.join(noisy, "host", "left").select("keep", "url", "html", "noisy"), run, T.StructType(fields))
     return out.select(F.col("keep").alias(keep), F.col("url").alias(url), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 

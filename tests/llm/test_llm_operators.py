@@ -366,6 +366,109 @@ def test_html_names_dont_remove_the_article():
     assert of('<p>Text</p><ol class="comments"><li><article class="comment"><p>A comment that is longer</p></article></ol>') == "Text"
 
 
+def test_html_loses_no_page_on_everyday_markup(spark):
+    kept = {
+        '<div class="wrap has-sidebar"><article><p>The text</p></article></div>': "The text",
+        '<div class="site no-comments"><main><p>The text</p></main></div>': "The text",
+        '<div id="search-page"><article><p>The text</p></article></div>': "The text",
+        '<article><p>One</p><blockquote class="share-quote">Two</blockquote><p class="notice-of-intent">Three</p><ul><li class="menu-item">Four</ul></article>': "One Two Three Four",
+        "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p></article>": "Let x=1 be",
+        '<p>The text</p><div class="cookieNotice">c</div><div class="site-comments-area">d</div><div id="main-nav">e</div>': "The text",
+    }
+    rows = [(i, f"http://h{i}.test/", f"<html><head><title>T</title><meta charset=x><body>{b}</body>") for i, b in enumerate(kept)]
+    rows += [(100, "http://head.test/", "<html><head><title>T</title><p>no body tag"), (101, "http://bare.test/", "<head><title>T</title>text in the head")]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == dict(enumerate(kept.values())) | {100: "no body tag", 101: "text in the head"}
+
+
+def test_html_deep_and_long_pages(spark):
+    """Memory and time grow with the page, not with its square."""
+    import time
+    import tracemalloc
+
+    deep = "<div class='a b'>" * 50_000 + "<p>the bottom" + "</span></div></i>" * 20_000 + "<p>up again"
+    long = "<article>" + "<p>some words of a long page &amp; more</p>" * 400_000 + "</article>"
+    began = time.time()
+    tracemalloc.start()
+    assert html_extract.PageParts(deep).text() == "the bottom up again"
+    assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+    rows = [(1, "http://d.test/", deep), (2, "http://l.test/", long), (3, "http://l.test/b", "<article><p>short</p></article>")]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "the bottom up again" and got[3] == "short" and got[2] == " ".join(["some words of a long page & more"] * 400_000)
+    assert time.time() - began < 120
+
+
+def brute_importance(pages):
+    """The style tree of one host's pages, by recursion over its places."""
+    parts = [html_extract.PageParts(p) for p in sorted(set(pages))]
+    seen, sequences, texts, named, main = {}, {}, {}, set(), set()
+    for i, page in enumerate(parts):
+        for path, x in page.sequences:
+            sequences.setdefault(path, Counter())[x] += 1 if (i, path, x) not in seen else 0
+            seen[(i, path, x)] = 1
+    on = {}
+    for i, page in enumerate(parts):
+        for path in [p for p, _ in page.sequences] + [t[0][:k] for t in page.texts for k in range(1, len(t[0]) + 1)]:
+            on.setdefault(path, set()).add(i)
+        for path, m, n, text in page.texts:
+            texts.setdefault(path, {}).setdefault(text, set()).add(i)
+            named |= {path} if n else set()
+            main |= {path} if m else set()
+    children = {}
+    for path in on:
+        children.setdefault(path[:-1], []).append(path)
+    sequences = {p: Counter({x: sum((i, p, x) in seen for i in range(len(parts))) for x in c}) for p, c in sequences.items()}
+    out = {}
+
+    def own(path):
+        m = len(on[path])
+        if path in texts:
+            spread = [math.log(len(x)) for x in texts[path].values()]
+            value = 1.0 if m < 2 else 1 - sum(spread) / len(spread) / math.log(m + (html_extract.SMOOTH if path in main else 0))
+            return value * (html_extract.NAMED_PRIOR if path in named else 1)
+        if path not in sequences:
+            return 0.0
+        total = sum(sequences[path].values())
+        return 1.0 if m < 2 else -sum(n / total * math.log(n / total) for n in sequences[path].values()) / math.log(m)
+
+    def visit(path):
+        below = [visit(c) for c in children.get(path, ())]
+        k = 0.0 if path in texts else html_extract.DECAY ** len(sequences.get(path, ()))
+        pages = [len(on[c]) for c in children.get(path, ())]
+        inner = sum(p * c for p, (c, _) in zip(pages, below)) / sum(pages) if pages else 0.0
+        composite = (1 - k) * own(path) + k * inner
+        out[path] = (composite, max([composite, *(h for _, h in below)]))
+        return out[path]
+
+    visit((0,))
+    return out
+
+
+def test_importance_equals_a_brute_force_tree(spark):
+    real = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").limit(25).collect()]
+    made = [f"<body><div><ul><li>Home<li>About{'<li>Extra' if i % 3 else ''}</ul></div><div class=x{i}><p>Text {i}</p>{'<p>Both</p>' if i % 2 else '<table><tr><td>t</table>'}</div><div class='promo'>Buy {i}</div></body>" for i in range(12)]
+    rows = [("r", x) for x in real] + [("m", x) for x in made] + [("one", made[0])] * 2
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", x, h) for i, (h, x) in enumerate(rows)], "page_id long, url string, html string, host string")
+    got = {}
+    for r in html_extract.importance(html_extract.statistics(df)).collect():
+        got.setdefault(r["host"], {})[r["id"]] = (r["composite"], r["highest"])
+    for host in ("r", "m", "one"):
+        want = {path[-1]: v for path, v in brute_importance([x for h, x in rows if h == host]).items()}
+        assert set(got[host]) == set(want)
+        for k, v in want.items():
+            assert got[host][k] == pytest.approx(v, abs=1e-9)
+
+
+def test_the_tree_cleans_templates_that_name_nothing(spark):
+    """Pages without article elements or telling names: what the template repeats goes, the pages' own text stays."""
+    page = "<body><div class=c1><div>Our site</div><ul><li>Start<li>Topics<li>People</ul></div><div class=c2><h1>Title {0}</h1><p>Text {0} one</p><p>Text {0} two</p></div><div class=c3><p>All rights reserved</p><p>Write to us</p></div></body>"
+    for n in (2, 40):
+        rows = [(i, f"http://t{n}.test/{i}", page.format(i)) for i in range(n)]
+        got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert {r["page_id"]: r["text"] for r in got} == {i: f"Title {i} Text {i} one Text {i} two" for i in range(n)}
+
+
 def test_html_on_the_test_pages(spark):
     import html
 
