@@ -278,6 +278,33 @@ def test_nearest_recall_and_edge_cases(spark):
     assert ann.nearest(few, F.col("vec_id") == 0).count() == 2
 
 
+def test_repeated_ids_and_equal_vectors(spark):
+    """Repeats count once, an id with several vectors asks with the first; copies beyond the k + 1 smallest ids change nothing."""
+    rng = np.random.default_rng(4)
+    v = [[float(np.float32(x)) for x in rng.standard_normal(8)] for _ in range(30)]
+    rows = [(i, v[i]) for i in range(30)] + [(0, v[0])] * 3 + [(20, v[3])] + [(100 + i, v[5]) for i in range(200)] + [(5, v[5]), (300, [-0.0] * 7 + [1.0]), (301, [0.0] * 7 + [1.0])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, cell string, part int").repartition(5)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    use = sorted({(i, tuple(x)) for i, x in rows})
+    for q in {i for i, _ in use if i % 20 == 0}:
+        own = min(t for i, t in use if i == q)
+        order = sorted((-round(float((np.array(own) * np.array(y)).sum()), 9), i) for i, y in use if (i, y) != (q, own))
+        assert got[q] == [i for _, i in order[:10]]
+
+
+def test_population_counts_give_the_products():
+    rng = np.random.default_rng(3)
+    q, x = rng.standard_normal((5, 70)), rng.standard_normal((40, 70))
+    codes = np.packbits(x > 0, axis=1)
+    planes = ann.Planes.of(q)
+    want = q @ np.where(x > 0, 1.0, -1.0).T
+    assert np.abs(planes.products(ann.words_of(codes)) - want).max() <= 70 * planes.step.max() / 2
+    spread = np.std(planes.products(ann.words_of(codes)) - want, axis=1)
+    assert (spread <= 2 * np.sqrt(70 / 12) * planes.step).all()
+
+
 def test_estimates_stay_in_their_bounds():
     rng = np.random.default_rng(2)
     x, q, turn = rng.standard_normal((2000, 64)), rng.standard_normal(64), ann.rotation(64)
