@@ -30,6 +30,8 @@ class CrawlConfig:
     retry: int = 0
     target_total: int = 0
     files_per_task: int = 20
+    #: Tasks that ask the summary service at once.
+    summary_tasks: int = 4
     log_every: int = 10
     model: str = "none"
 

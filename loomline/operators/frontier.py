@@ -82,7 +82,8 @@ def enqueue(queue: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def renumber(rows: DataFrame, *order: str) -> DataFrame:
     """(seq, url, visit_key) with seq from 0: ranges are counted in parallel, and only their sizes summed in one place."""
-    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number that is asked for isn't changed at run time
+    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
     ranged = ranged.withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")

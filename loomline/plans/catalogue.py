@@ -571,14 +571,12 @@ def crawl_loop(spark, sf_dir):
     """The crawl over ``pages`` as the site, from all of its URLs until the queue is empty; what was visited."""
     import dataclasses
     import sys
-    import tempfile
 
     from loomline.plans import crawl
     from loomline.sources import fetch, state
 
     corpus = table(spark, sf_dir, "pages")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomline-")
-    root = f"{base.rstrip('/')}/crawl-{uuid.uuid4().hex}"
+    root = f"{state.shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
     seeds = corpus.select(F.col("page_id").alias("seq"), U.clean_url(F.col("url"), CONFIG).alias("url"))
     config = dataclasses.replace(CONFIG, fetch_batch_size=5000)  # fewer, larger batches; all are run
     crawl.run(spark, root, seeds, lambda urls: fetch.from_corpus(urls, corpus, config), config, NOW, PATTERNS, n=sys.maxsize)

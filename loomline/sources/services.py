@@ -59,9 +59,10 @@ class KnowledgeBase:
         if not self.token:
             raise ServiceError("the login gave no token")
 
-    def start(self, paths: list[str]) -> str:
+    def start(self, paths: list[str], bodies: list[bytes] | None = None) -> str:
+        """Starts a task for files; ``bodies`` are their contents, in the same order."""
         numbers = {k: str(getattr(self, k)) for k in ("chunk_size", "chunk_overlap", "batch_size", "tasks_limit", "max_retries")}
-        data = unwrap(self.send("POST", "/kb/document/upload", {"Authorization": f"Bearer {self.token}"}, {"kb_id": self.kb_id, "files": paths, **numbers}))
+        data = unwrap(self.send("POST", "/kb/document/upload", {"Authorization": f"Bearer {self.token}"}, {"kb_id": self.kb_id, "files": paths, "bodies": bodies, **numbers}))
         if not data.get("task_id"):
             raise ServiceError("the upload gave no task id")
         return str(data["task_id"])
@@ -87,21 +88,39 @@ def progress_line(progress: dict) -> str:
     return f"{int(progress.get('file_index') or 0) + 1}/{int(progress.get('file_total') or 0)} {progress.get('stage') or ''} {percent:.1f}%"
 
 
-def summariser(send: Send, model: str, qps: float, limit: int = 65536) -> Callable[[str, str], tuple]:
-    """A summary service for ``summary.summarise`` over a chat endpoint; empty answers are errors."""
-    limiter = Limiter(qps)
+@dataclass
+class Summariser:
+    """A summary service for ``summary.summarise`` over a chat endpoint; empty answers are errors.
+
+    It travels to executors: its limiter is made where it is first called, and ``shared_by`` deals its rate out.
+    """
 
-    def ask(title: str, excerpt: str) -> tuple:
-        limiter.wait()
-        messages = [{"role": "system", "content": "Summarise the page in a few sentences."}, {"role": "user", "content": f"{title}\n\n{excerpt[:limit]}"}]
-        answer = json.loads(send("POST", "/chat/completions", {}, {"model": model, "messages": messages}))
+    send: Send
+    model: str
+    qps: float
+    limit: int = 65536
+
+    def shared_by(self, tasks: int) -> Summariser:
+        return Summariser(self.send, self.model, self.qps / tasks, self.limit)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "limiter"}
+
+    def __call__(self, title: str, excerpt: str) -> tuple:
+        if "limiter" not in self.__dict__:
+            self.limiter = Limiter(self.qps)
+        self.limiter.wait()
+        messages = [{"role": "system", "content": "Summarise the page in a few sentences."}, {"role": "user", "content": f"{title}\n\n{excerpt[: self.limit]}"}]
+        answer = json.loads(self.send("POST", "/chat/completions", {}, {"model": self.model, "messages": messages}))
         text = " ".join((answer["choices"][0]["message"].get("content") or "").split())
         if not text:
             raise ServiceError("an empty summary")
         usage = answer.get("usage") or {}
         return text, *(int(usage.get(k) or 0) for k in ("prompt_tokens", "completion_tokens", "total_tokens"))
 
-    return ask
+
+def summariser(send: Send, model: str, qps: float, limit: int = 65536) -> Summariser:
+    return Summariser(send, model, qps, limit)
 
 
 def notify(send: Send, key: str, title: str, text: str) -> bool:

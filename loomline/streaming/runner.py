@@ -23,7 +23,7 @@ def links(stream: DataFrame, config: CrawlConfig, patterns: list[str]) -> DataFr
 def run_index(spark: SparkSession, folder: str, root: str, config: CrawlConfig, now: str, checkpoint: str) -> StreamingQuery:
     """Upserts the page index under ``root`` with the pages of ``folder`` as they come.
 
-    A generation is written per batch; a batch that is run again gives the same rows.
+    A generation is written per batch, with the batch's rows alone; a batch that is run again gives the same rows.
     """
     stream = spark.readStream.schema("page_id long, url string, html string").parquet(folder)
 
@@ -33,6 +33,7 @@ def run_index(spark: SparkSession, folder: str, root: str, config: CrawlConfig,
         name = X.page_filename(title, F.col("url"))
         rows = batch.select("url", title.alias("title"), X.short_summary(M.anchors_to_markdown(F.col("html")), config).alias("summary"), F.concat(F.lit("pages/"), name).alias("file_path"), name.alias("file_name"), F.lit(now).alias("fetched_at"))
         line = F.lit(0).cast("long").alias("line")
-        store.save({"index": pages.upsert(store.load("index", S.INDEX).select("*", line), rows.select("*", line)).drop("line")})
+        none = spark.createDataFrame([], S.INDEX).select("*", line)
+        store.save({}, {"index": pages.upsert(none, rows.select("*", line)).drop("line")})  # all other tables stay
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
