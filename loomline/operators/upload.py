@@ -48,9 +48,11 @@ def merge_progress(progress: DataFrame, merged: DataFrame) -> DataFrame:
     return progress.join(merged.select("path"), "path", "left_anti").unionByName(merged.select(*columns), allowMissingColumns=True)
 
 
-def totals(candidates: int, merged: DataFrame, n_pending: int) -> DataFrame:
-    """One row of upload totals."""
+def totals(candidates: int, merged: DataFrame, n_pending: int, failed_items: int = 0) -> DataFrame:
+    """One row of upload totals; ``failed_items`` are the failures that the tasks reported, files counted once each."""
+    ok = F.col("status") == "success"
     return merged.agg(
         F.lit(candidates).cast("long").alias("total_candidates"), F.lit(n_pending).cast("long").alias("pending_files"), F.lit(candidates - n_pending).cast("long").alias("skipped_files"),
         F.count_distinct("batch").alias("batches"), F.count_if(F.col("status") == "success").alias("total_success"), F.count_if(F.col("status") == "failed").alias("total_failed"),
+        F.lit(failed_items).cast("long").alias("failed_items"), F.count_distinct(F.when(ok, F.col("path"))).alias("uploaded_files"), F.count_distinct(F.when(~ok, F.col("path"))).alias("failed_files"),
     )

@@ -17,6 +17,7 @@ from loomline.functions import markdown as M
 from loomline.functions import text as X
 from loomline.functions import url as U
 from loomline.operators import frontier, pacing, pages, rules, stats, summary, upload
+from loomline.sources import fetch
 
 CONFIG = CrawlConfig()
 PATTERNS = ["spam-farm", "cheap-pills", "utm_source", "ads?-"]
@@ -249,6 +250,42 @@ def backoff_split(spark, sf_dir):
     return frontier.classify(queue, empty, failures, PATTERNS, F.to_timestamp_ntz(F.lit("2024-01-31 12:00:00"))).select("url", "fate")
 
 
+@query(f"WITH {SQL_FAILURES} SELECT url, CASE WHEN TIMESTAMP '2024-01-30 18:00:00' < next_retry_at THEN 'defer' ELSE 'pick' END AS fate FROM failures")
+def backoff_mixed(spark, sf_dir):
+    """At a time at which some failures wait and some don't."""
+    failures = event_failures(spark, sf_dir)
+    queue = frontier.with_keys(failures.select("url")).withColumn("seq", F.xxhash64("url"))
+    empty = queue.where("false").select("url", "visit_key")
+    return frontier.classify(queue, empty, failures, PATTERNS, F.to_timestamp_ntz(F.lit("2024-01-30 18:00:00"))).select("url", "fate")
+
+
+@query(
+    """SELECT event_id, CASE event_type WHEN 'view' THEN 'ok' WHEN 'click' THEN 'empty_content' ELSE 'fetch_failed' END AS status,
+CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN 'api_success_false' WHEN 'error' THEN coalesce(nullif(props, ''), 'unknown_error') ELSE 'unknown_error' END AS error FROM events"""
+)
+def fetch_status(spark, sf_dir):
+    """Views as pages, clicks as pages without text, errors as failed fetches, all else as URLs of which nothing came back."""
+    kind = F.col("event_type")
+    success = F.when(kind == "view", True).when(kind.isin("click", "error"), False)
+    rows = table(spark, sf_dir, "events").select("event_id", success.alias("success"), F.when(kind == "click", "empty content").when(kind == "error", F.col("props")).alias("fetch_error"))
+    got = fetch.with_status(rows)
+    return got.select("event_id", "status", F.when(F.col("success").isNull(), "unknown_error").otherwise(F.col("error")).alias("error"))
+
+
+SQL_MARKED = """(CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN url || '?action=edit' WHEN 2 THEN regexp_replace(url, '/([^/]*)$', '/File:\\1')
+WHEN 3 THEN regexp_replace(url, '/([^/]*)$', '/load.php') WHEN 4 THEN url || '?redlink=1' ELSE regexp_replace(url, '/([^/]*)$', '/Wiki%3A\\1') END)"""
+
+
+@query(f"WITH u AS (SELECT page_id, {sql_clean(SQL_MARKED)} AS cleaned FROM pages) SELECT page_id, cleaned, {sql_candidate('cleaned')} AS candidate FROM u")
+def candidate_mix(spark, sf_dir):
+    """The pages' URLs, five in six of them made such that a rule takes them out."""
+    last = lambda name: F.regexp_replace("url", "/([^/]*)$", name)
+    k = F.col("page_id") % 6
+    marked = F.when(k == 0, F.col("url")).when(k == 1, F.concat("url", F.lit("?action=edit"))).when(k == 2, last("/File:$1")).when(k == 3, last("/load.php")).when(k == 4, F.concat("url", F.lit("?redlink=1"))).otherwise(last("/Wiki%3A$1"))
+    rows = table(spark, sf_dir, "pages").select("page_id", U.clean_url(marked, CONFIG).alias("cleaned"))
+    return rows.withColumn("candidate", U.is_candidate(F.col("cleaned"), CONFIG))
+
+
 @query(f"WITH {SQL_FAILURES} SELECT url, \"count\", strftime(next_retry_at, '%Y-%m-%dT%H:%M:%S') AS next_retry_raw FROM failures ORDER BY \"count\" DESC, next_retry_raw, url LIMIT 20")
 def retry_priority(spark, sf_dir):
     failures = event_failures(spark, sf_dir)
@@ -380,6 +417,16 @@ def ext_filter(spark, sf_dir):
     return upload.of_extensions(table(spark, sf_dir, "pages").select("page_id", "url"), [" HTML ", ".html", ""], "url")
 
 
+@query(
+    f"""WITH {SQL_MERGED} SELECT CAST(count(DISTINCT batch) AS BIGINT) AS batches, CAST(count(*) FILTER (status = 'success') AS BIGINT) AS total_success, CAST(count(*) FILTER (status = 'failed') AS BIGINT) AS total_failed,
+(SELECT CAST(count(*) AS BIGINT) FROM rep) AS failed_items, CAST(count(DISTINCT path) FILTER (status = 'success') AS BIGINT) AS uploaded_files, CAST(count(DISTINCT path) FILTER (status = 'failed') AS BIGINT) AS failed_files FROM m"""
+)
+def upload_totals_full(spark, sf_dir):
+    sent = upload.batches(waiting(spark, sf_dir), CONFIG.files_per_task)
+    items = sent.join(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"), "doc_id").count()
+    return upload.totals(0, merged(spark, sf_dir), 0, items).select("batches", "total_success", "total_failed", "failed_items", "uploaded_files", "failed_files")
+
+
 # -- pacing ------------------------------------------------------------------------
 
 
@@ -573,7 +620,7 @@ def crawl_loop(spark, sf_dir):
     import sys
 
     from loomline.plans import crawl
-    from loomline.sources import fetch, state
+    from loomline.sources import state
 
     corpus = table(spark, sf_dir, "pages")
     root = f"{state.shared_folder(spark)}/crawl-{uuid.uuid4().hex}"

@@ -68,14 +68,15 @@ def test_summaries_and_messages():
     assert services.notify(send, "", "t", "x") is False and services.notify(send, "k", "t", "x") is True
 
 
-def _write(name, body):
-    with open(f"/tmp/loomline-test-{name}", "w") as f:
-        f.write(body)
+def test_write_pages(spark, tmp_path):
+    folder = str(tmp_path)
 
+    def write(name, body):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(body)
 
-def test_write_pages(spark):
-    uploads.write_pages(spark.createDataFrame([("a.md", "x")], "file_name string, body string"), _write)
-    assert open("/tmp/loomline-test-a.md").read() == "x"
+    uploads.write_pages(spark.createDataFrame([("a.md", "x")], "file_name string, body string"), write)
+    assert (tmp_path / "a.md").read_text() == "x"
 
 
 def test_full_run(spark):
