@@ -1,0 +1,156 @@
+"""Every registered query on its whole test table, against brute force."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+
+from loomline.llm import quality, registry, sp_unigram, token_counts
+from tests.llm.test_llm_operators import LOW, SF, base_counts, base_spans, brute_components, words
+
+SMALL = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return {r["doc_id"]: r for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()}
+
+
+def rows_of(spark, name, sf=SF):
+    return registry.QUERIES[name](spark, sf).collect()
+
+
+def by_id(rows):
+    out = {r["doc_id"]: r for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def brute_kept(text):
+    """The quality rules, restated on whole texts."""
+    w = words(text)
+    n_words, word_chars, n_symbols, n_dup, n_repeat = base_counts(text)
+    if n_words < 10 or 100 * n_repeat > 20 * n_words:
+        return False
+    lines = [x for x in text.split("\n") if words(x)]
+    data = text.encode()
+    capitals, letters = len(re.findall(rb"[A-Z]", data)), len(re.findall(rb"[A-Za-z]", data))
+    inked = len(re.findall(rb"[^\x20\x09-\x0D]", data))
+    rejected = (
+        10 * n_symbols > n_words, 10 * n_dup > 3 * len(lines), not 2 <= word_chars / n_words <= 15,
+        10 * sum(a == b for a, b in zip(w, w[1:])) > 3 * n_words, 2 * capitals > letters, 2 * (letters + sum(b >= 128 for b in data)) < inked,
+    )
+    assert len(rejected) == len(quality.RULES)
+    return not any(rejected)
+
+
+def test_op1(spark, documents):
+    got = rows_of(spark, "op1_sentencepiece")
+    assert sorted(r["doc_id"] for r in got) == sorted(documents)
+    back = {r["doc_id"]: r["decoded"] for r in sp_unigram.decode(registry.QUERIES["op1_sentencepiece"](spark, SF)).collect()}
+    assert all(r["round_trip"] for r in got) and all(back[i] == (r["text"] or "") for i, r in documents.items())
+
+
+def test_op3(spark, documents):
+    got = by_id(rows_of(spark, "op3_language_id"))
+    held = {i for i in documents if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert set(got) == set(documents) and {i for i, r in got.items() if r["held_out"]} == held
+    assert np.mean([got[i]["lang_pred"] == documents[i]["lang"] for i in held]) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_op4(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in pq.read_table(f"{SF}/embeddings.parquet").to_pylist()]
+    got = {}
+    for r in sorted(rows_of(spark, "op4_ann"), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r)
+    vectors = {i: np.array(v, float) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
+    recall = []
+    for q, x in vectors.items():
+        if q % 20 == 0:
+            want = sorted((-round(float(x @ y), 10), i) for i, y in vectors.items() if i != q)[:20]
+            recall.append(len({i for _, i in want} & {r["vec_id"] for r in got[q]}) / 20)
+            assert [r["rank"] for r in got[q]] == list(range(1, 21))
+            assert all(r["score"] == pytest.approx(float(x @ vectors[r["vec_id"]]), abs=1e-12) for r in got[q])
+    assert np.mean(recall) >= 0.9 and len(got) == len(recall)
+
+
+def test_op5(spark):
+    text = {r["doc_id"]: r["text"] for r in pq.read_table(f"{SMALL}/documents.parquet").to_pylist()}
+    got = by_id(rows_of(spark, "op5_quality", SMALL))
+    kept = {i: brute_kept(t) for i, t in text.items()}
+    assert {i: r["kept"] for i, r in got.items()} == kept and 0 < sum(kept.values()) < len(kept)
+    for i, r in got.items():
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == base_counts(text[i])
+
+
+def test_op6(spark):
+    import html
+
+    pages = {r["page_id"]: r for r in pq.read_table(f"{SMALL}/pages.parquet").to_pylist()}
+    got = rows_of(spark, "op6_html", SMALL)
+    assert len(got) == len(pages)
+    for r in got:
+        article = re.search(r"<article>(.*?)</article>", pages[r["page_id"]]["html"], re.S)[1]
+        text = " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", article))).split())
+        assert (r["url"], r["text"], r["n_chars"]) == (pages[r["page_id"]]["url"], text, len(text))
+
+
+def test_op7(spark, documents):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_counts.MODEL))
+    got = by_id(rows_of(spark, "op7_token_counts"))
+    for i, r in documents.items():
+        n = len(library.encode(r["text"] or ""))
+        assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (len((r["text"] or "").encode()), n, n > 4096)
+
+
+def test_op8(spark):
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SMALL}/documents.parquet").to_pylist()]
+    got = by_id(rows_of(spark, "op8_near_dedup", SMALL))
+    want = brute_components(rows)
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+    assert all(r["kept"] == (i == want[i][1]) for i, r in got.items()) and any(i != c for i, (_, c) in want.items())
+
+
+def test_op9(spark, documents):
+    got = by_id(rows_of(spark, "op9_lm_scoring"))
+    learn = {i for i in documents if zlib.crc32(str(i).encode()) % 10 != 0}
+    tokens = {i: [*words((r["text"] or "").translate(LOW)), "\0end"] for i, r in documents.items()}
+    counts = Counter(w for i in learn for w in tokens[i])
+    total, v = sum(counts.values()), len(counts)
+    for i, r in got.items():
+        base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (v + 1))) for w in tokens[i])
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i not in learn, len(tokens[i]), sum(counts[w] > 0 for w in tokens[i]), total)
+        assert r["base_score"] == pytest.approx(base) and r["score"] < 0
+    assert len(got) == len(documents)
+
+
+def test_op9_gains_from_more_text(spark):
+    """Held-out bits per byte fall from 200 to 1,000 documents, below those of the word counts."""
+    bits = {}
+    for sf in (SF, SMALL):
+        size = {r["doc_id"]: len((r["text"] or "").encode()) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()}
+        out = [r for r in rows_of(spark, "op9_lm_scoring", sf) if r["held_out"]]
+        total = sum(size[r["doc_id"]] for r in out)
+        bits[sf] = [-sum(r[c] for r in out) / math.log10(2) / total for c in ("score", "base_score")]
+    assert bits[SMALL][0] < bits[SF][0] and bits[SMALL][0] < bits[SMALL][1]
+
+
+def test_op10(spark, documents):
+    got = by_id(rows_of(spark, "op10_pii"))
+    assert set(got) == set(documents)
+    for i, r in got.items():
+        text = documents[i]["text"] or ""
+        spans = base_spans(text)
+        base = ",".join(f"{k}:{a}:{b}" for k in spans for a, b in spans[k])
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == tuple(len(spans[k]) for k in ("email", "ip", "card", "phone"))
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and r["spans"].startswith(base)
+        for m in re.finditer(r'token = "([0-9a-f]{40})"', text):
+            assert f"secret:{m.start(1)}:{m.end(1)}" in r["spans"]
