@@ -6,6 +6,7 @@ count, next_retry_at, next_retry_raw, last_error).  The order of the queue is ``
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,7 @@ from loomline.config import CrawlConfig
 from loomline.functions import text as X
 from loomline.functions import url as U
 from loomline.operators import rules
+from loomline.sources.state import shared_folder
 
 
 def with_keys(urls: DataFrame) -> DataFrame:
@@ -73,18 +75,26 @@ def new_links(pages: DataFrame, visited: DataFrame, queue: DataFrame, patterns:
     return fresh.select("position", "place", "url", "visit_key"), links.where("denied")
 
 
-def enqueue(queue: DataFrame, fresh: DataFrame) -> DataFrame:
+def enqueue(queue: DataFrame, fresh: DataFrame, work: str | None = None) -> DataFrame:
     """The queue with new links at its end, numbered anew from 0."""
     parts = queue.select(F.lit(0).alias("part"), F.col("seq").alias("a"), F.lit(0).alias("b"), "url", "visit_key")
     more = fresh.select(F.lit(1).alias("part"), F.col("position").cast("long").alias("a"), F.col("place").alias("b"), "url", "visit_key")
-    return renumber(parts.unionByName(more), "part", "a", "b")
+    return renumber(parts.unionByName(more), "part", "a", "b", work=work)
 
 
-def renumber(rows: DataFrame, *order: str) -> DataFrame:
-    """(seq, url, visit_key) with seq from 0: ranges are counted in parallel, and only their sizes summed in one place."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number that is asked for isn't changed at run time
-    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+def renumber(rows: DataFrame, *order: str, work: str | None = None) -> DataFrame:
+    """(seq, url, visit_key) with seq from 0: ranges are counted in parallel, and only their sizes summed in one place.
+
+    The ranged rows are written first (to the folder ``work``, or a new one in the shared folder), as ranges come from
+    samples and so may differ whenever they are dealt out anew.
+    """
+    spark = rows.sparkSession
+    work = work or f"{shared_folder(spark)}/ranged-{uuid.uuid4().hex}"
+    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = ranged.select("url", "visit_key", F.spark_partition_id().alias("__part"), at.alias("__at"))
+    ranged.write.parquet(work)
+    ranged = spark.read.schema(ranged.schema).parquet(work)
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     return ranged.join(starts, "__part").select((F.col("__start") + F.col("__at")).alias("seq"), "url", "visit_key")

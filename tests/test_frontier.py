@@ -228,6 +228,12 @@ def test_stream(spark, tmp_path):
     assert {r["url"] for r in spark.table("links").collect()} == {"https://wiki.test/b"}
 
 
+def test_numbers_stay_whole_on_more_rows_than_a_range_sample(spark):
+    rows = spark.range(0, 60_000, 1, 6).select(F.xxhash64("id").alias("a"), F.col("id").cast("string").alias("url"), F.lit("k").alias("visit_key"))
+    got = frontier.renumber(rows, "a").join(rows.select("a", "url"), "url").orderBy("a").select("seq").toArrow()["seq"].to_pylist()
+    assert got == list(range(60_000))
+
+
 def test_visit_key_is_null_for_null(spark):
     assert spark.range(1).select(U.visit_key(F.lit(None).cast("string"))).first()[0] is None
 
