@@ -173,6 +173,21 @@ def test_pacing(spark):
     assert [r["start"] for r in pacing.schedule(df, None, ["i"], "at", 10).orderBy("i").collect()] == want
 
 
+def test_pacing_of_one_limiter_over_many_ranges(spark):
+    rng = __import__("random").Random(1)
+    arrivals, t = [], 0
+    for _ in range(30_000):
+        t += rng.choice((0, 1, 30)) if rng.random() < 0.9 else rng.choice((0, 200))
+        arrivals.append(t)
+    want, last = [], None
+    for a in arrivals:
+        last = a if last is None else max(a, last + 10)
+        want.append(last)
+    df = spark.createDataFrame(list(enumerate(arrivals)), "i long, at long").repartition(5)
+    assert [r["start"] for r in pacing.schedule(df, None, ["i"], "at", 10).orderBy("i").collect()] == want
+    assert pacing.schedule(df.limit(0), None, ["i"], "at", 10).count() == 0
+
+
 SITE = {f"p{i}": [f"/p{j}" for j in ((i * 2 + 1) % 30, (i * 3 + 2) % 30)] for i in range(25)}
 
 
