@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import ann, ctw, html_extract, lang_id, mixing, neardup, pii, quality, sp_unigram, token_counts
+from loomline.llm import alignment, ann, ctw, html_extract, lang_id, mixing, neardup, parity_join, pii, point_in_time, quality, sp_unigram, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sp_unigram.op1_sentencepiece,
@@ -19,7 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_lm_scoring": ctw.op9_lm_scoring,
     "op10_pii": pii.op10_pii,
+    "op11_alignment": alignment.op11_alignment,
+    "op12_point_in_time": point_in_time.op12_point_in_time,
+    "op13_ngram_join": parity_join.op13_ngram_join,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
+    "op12_point_in_time": point_in_time.ORACLE,
 }
