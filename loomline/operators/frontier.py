@@ -61,6 +61,39 @@ def select_batch(classified: DataFrame, n: int) -> Selection:
     return Selection(picked.select("seq", "url", "visit_key"), rest, counts["d"], counts["x"])
 
 
+@dataclass
+class Head:
+    """What a batch takes from the queue's head."""
+
+    batch: list  # rows (seq, url, visit_key), at most as many as were asked for
+    late: DataFrame | None  # deferred rows (seq, url, visit_key), which go to the tail
+    head: int  # the least seq that is left
+    deferred: int
+    filtered: int
+
+
+def select_head(rows_before, first: int, end: int, fates, keep, n: int) -> Head:
+    """Picks the first ``n`` rows of a queue by looking at no more of it than it takes.
+
+    ``rows_before(upto)`` gives the rows up to a seq, ``fates(rows)`` classifies them, ``keep(rows, k)`` writes them
+    down.  A window at the head is classified once and written; it grows fourfold while it holds
+    too few rows to pick, so that all windows together are little more than the last one.
+    """
+    span, turn = 4 * max(n, 1), 0
+    while True:
+        upto = min(first + span, end)
+        seen = keep(fates(rows_before(upto)), turn)
+        batch = seen.where("fate = 'pick'").orderBy("seq").limit(max(n, 0)).select("seq", "url", "visit_key").collect()
+        if len(batch) == n or upto >= end:
+            break
+        span, turn = 4 * span, turn + 1
+    head = batch[-1]["seq"] + 1 if batch and len(batch) == n else end
+    looked = seen.where(F.col("seq") < head)
+    counts = looked.agg(F.count_if(F.col("fate") == "defer").alias("d"), F.count_if(F.col("fate") == "deny").alias("x")).first()
+    late = looked.where("fate = 'defer'").select("seq", "url", "visit_key") if counts["d"] else None
+    return Head(batch, late, head, counts["d"], counts["x"])
+
+
 def new_links(pages: DataFrame, visited: DataFrame, queue: DataFrame, patterns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Links of fetched pages that join the queue, and all denied (page, link) rows.
 
@@ -100,6 +133,22 @@ def renumber(rows: DataFrame, *order: str, work: str | None = None) -> DataFrame
     return ranged.join(starts, "__part").select((F.col("__start") + F.col("__at")).alias("seq"), "url", "visit_key")
 
 
+def tail_of(late: DataFrame | None, fresh: DataFrame, start: int, work: str | None = None) -> DataFrame:
+    """Rows that join the queue, numbered from ``start``: deferred ones first, then new links in their order."""
+    rows = fresh.select(F.lit(1).alias("part"), F.col("position").cast("long").alias("a"), F.col("place").alias("b"), "url", "visit_key")
+    if late is not None:
+        rows = late.select(F.lit(0).alias("part"), F.col("seq").alias("a"), F.lit(0).alias("b"), "url", "visit_key").unionByName(rows)
+    return renumber(rows, "part", "a", "b", work=work).withColumn("seq", F.col("seq") + F.lit(start))
+
+
+def failure_changes(failures: DataFrame, results: DataFrame, now: Column, config: CrawlConfig) -> DataFrame:
+    """What a batch's results change: failure records with a higher count, and ``__gone`` ones of URLs that succeeded."""
+    own = failures.join(results.select("url").distinct(), "url", "left_semi")
+    merged = merge_failures(own, results, now, config).withColumn("__gone", F.lit(False))
+    gone = own.join(results.where("ok").select("url"), "url", "left_semi").withColumn("__gone", F.lit(True))
+    return merged.unionByName(gone)
+
+
 def merge_failures(failures: DataFrame, results: DataFrame, now: Column, config: CrawlConfig) -> DataFrame:
     """Failure records after a batch (url, ok, error): counts go up by one, successes drop theirs."""
     bad = results.where("NOT ok").select("url", F.col("error").alias("new_error"))
