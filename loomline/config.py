@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 
@@ -49,7 +50,7 @@ class CrawlConfig:
         return (
             r"\*\s*欢迎加入\[本站QQ群\][^\n]*",
             r"\*\s*若发现内容有误[^\n]*",
-            r"\*\s*想要为" + self.site_name + r"做出更多贡献[^\n]*",
+            r"\*\s*想要为" + re.escape(self.site_name) + r"做出更多贡献[^\n]*",
             r"\[跳转到导航\][^\n]*",
         )
 

@@ -518,11 +518,14 @@ def percent_decoding(spark, sf_dir):
     return rows.groupBy("href", U.percent_decode(coded).alias("decoded")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT doc_id, source AS title FROM documents")
+@query(r"""WITH h AS (SELECT page_id, trim(ltrim(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '#')) AS h1 FROM pages)
+SELECT page_id, CASE WHEN page_id % 3 < 2 AND h1 <> '' THEN h1 ELSE 'none' END AS title FROM h""")
 def markdown_titles(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    body = F.concat(F.lit("\n#\n ## "), F.col("source"), F.lit(" \n# other\n"), F.col("text"))
-    return docs.select("doc_id", X.title_of_markdown(body, F.lit("none")).alias("title"))
+    """Pages' headings as lines of the first and the third level, and in every third page within a line of text, after an empty heading."""
+    head = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
+    marks = F.when(F.col("page_id") % 3 == 0, "#  ").when(F.col("page_id") % 3 == 1, " ###").otherwise("text # ")
+    body = F.concat(F.lit("#\ntext # no\n"), marks, head, F.lit(" \nmore\n"))
+    return table(spark, sf_dir, "pages").select("page_id", X.title_of_markdown(body, F.lit("none")).alias("title"))
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at, epoch_us(ts) // 1000000 AS seconds FROM events")
@@ -604,9 +607,12 @@ def upload_progress_merge(spark, sf_dir):
     return upload.merge_progress(progress, merged(spark, sf_dir).select("path", "status"))
 
 
-@query("SELECT unnest(['.htm', '.html', '.md']) AS extension")
+@query("""SELECT item_id, array_to_string(list_sort(list_distinct(['.' || lower(trim(kind)), '.' || lower(trim(brand))])), ' ') AS extensions
+FROM items WHERE trim(kind) <> '' AND trim(brand) <> ''""")
 def extension_list(spark, sf_dir):
-    return spark.range(1).select(F.explode(X.normalize_extensions(F.array(*map(F.lit, [" HTML ", "md", ".md", "", "Htm"])))).alias("extension"))
+    items = table(spark, sf_dir, "items").where("trim(kind) <> '' AND trim(brand) <> ''")
+    listed = X.normalize_extensions(F.array("kind", F.concat(F.lit("."), "kind"), F.upper("brand"), F.lit(" ")))
+    return items.select("item_id", F.array_join(listed, " ").alias("extensions"))
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size FROM documents")

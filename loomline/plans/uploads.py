@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +84,3 @@ def merged_journal(spark: SparkSession, store: S.Store, progress_file: str, jour
 def exit_status(totals: dict) -> int:
     return 2 if totals["total_failed"] else 0
 
-
-def write_pages(pages: DataFrame, write: Callable[[str, str], None]) -> None:
-    """Hands each (file_name, body) to ``write`` on the executors; a file that is written again is the same."""
-
-    def part(rows) -> None:
-        for r in rows:
-            write(r["file_name"], r["body"])
-
-    pages.select("file_name", "body").foreachPartition(part)

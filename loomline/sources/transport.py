@@ -13,12 +13,13 @@ from dataclasses import dataclass, field
 from loomline.config import CrawlConfig
 from loomline.functions import markdown as M
 
-HEADERS = {"User-Agent": "loomline/1", "Accept": "text/html,application/json;q=0.9,*/*;q=0.5"}
+#: Accept-Language is a fixed value.
+HEADERS = {"User-Agent": "loomline/1", "Accept": "text/html,application/json;q=0.9,*/*;q=0.5", "Accept-Language": "zh-CN,zh;q=0.9,en;q=0.6"}
 
 
 @dataclass
 class Http:
-    """Requests with the same timeout and headers; a timeout of 0 or less is none.
+    """Requests with the same timeout and headers; a timeout of 0 or less is none.  Proxies of the environment are not asked.
 
     As ``send(method, path, headers, body)`` it serves the clients of ``services``: a body with ``bodies`` is
     sent as a form with files, other bodies as JSON, or as a form if the headers say so.
@@ -34,7 +35,8 @@ class Http:
     def request(self, method: str, url: str, headers: dict, data: bytes | None) -> str:
         asked = urllib.request.Request(url, data=data, headers=self.headers | headers, method=method)
         more = {"timeout": self.timeout} if self.timeout > 0 else {}
-        with urllib.request.urlopen(asked, **more) as answer:
+        direct = urllib.request.build_opener(urllib.request.ProxyHandler({}))
+        with direct.open(asked, **more) as answer:
             return answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
 
     def __call__(self, method: str, path: str, headers: dict, body: object) -> str:
@@ -78,17 +80,15 @@ class PageFetcher:
 
 @dataclass
 class ApiFetcher:
-    """The fallback: the page from the site's parse API."""
+    """The fallback: asks the site's parse API for a page; ``fetch.fetch_pages`` reads its answer."""
 
     http: Http
     origin: str
 
     def __call__(self, url: str) -> dict:
-        slug = urllib.parse.unquote(urllib.parse.urlsplit(url).path.rstrip("/").rpartition("/")[2]) or "page"
-        asked = urllib.parse.urlencode({"action": "parse", "page": slug, "prop": "text|displaytitle", "format": "json", "formatversion": "2"})
-        page = json.loads(self.http.get(f"{self.origin}/api.php?{asked}")).get("parse") or {}
-        title = str(page.get("displaytitle") or "").strip() or slug
-        return {"title": title, "content": M.to_markdown(str(page.get("text") or "").strip(), title)}
+        last = urllib.parse.urlsplit(url).path.rstrip("/").split("/")[-1]
+        fields = {"action": "parse", "format": "json", "formatversion": 2, "prop": "text|displaytitle", "page": urllib.parse.unquote(last) or "page"}
+        return {"answer": self.http.get(f"{self.origin}/api.php?{urllib.parse.urlencode(fields)}")}
 
 
 def fetchers(config: CrawlConfig) -> tuple[PageFetcher, ApiFetcher]:

@@ -98,6 +98,18 @@ def test_generations_add_compact_and_prune(spark, tmp_path, monkeypatch):
     assert len([x for x in store.store.names() if x.startswith("gen-")]) <= len(used) + 6
 
 
+def test_a_job_that_fails_names_no_page(spark, tmp_path):
+    store = state.Store(spark, str(tmp_path))
+    rows = spark.createDataFrame([(0, "a.md", "A", "u", "s", "one\n\n"), (1, "b c%.md", "B", "u", None, "two"), (2, "a.md", "A", "u", "s", "three")], "position long, file_name string, title string, url string, summary string, content string")
+    fails = F.udf(lambda x: 1 / 0 if x == "two" else x, "string")
+    with pytest.raises(Exception):
+        crawl.pages_written(rows.withColumn("content", fails("content")), store, "work", NOW)
+    assert store.names("pages") == []
+    assert crawl.pages_written(rows, store, "work", NOW) == 2
+    assert [x for x in store.names("pages") if not x.startswith(".")] == ["a.md", "b c%.md"]
+    assert (tmp_path / "pages" / "a.md").read_text().endswith("## Content\n\nthree\n") and (tmp_path / "pages" / "b c%.md").read_text().startswith("---\ntitle: B\n")
+
+
 def test_the_pointer_is_replaced_in_one_step(spark, tmp_path):
     store = state.Store(spark, str(tmp_path))
     for text in ("one", "two"):
@@ -213,12 +225,17 @@ def server():
     made.shutdown()
 
 
-def test_pages_come_over_http_with_a_fallback(server):
+def test_pages_come_over_http_with_a_fallback(spark, server, monkeypatch):
+    monkeypatch.setenv("http_proxy", "http://127.0.0.1:1")  # is not asked
     base, log = server
     page, fallback = transport.PageFetcher(transport.Http(timeout=5)), transport.ApiFetcher(transport.Http(timeout=5), base)
     got = page(f"{base}/A")
-    assert got["title"] == "A & B" and "Grüße" in got["content"] and log[-1][1]["User-Agent"].startswith("loomline")
-    assert fallback(f"{base}/zh/A%20B")["title"] == "Shown" and "page=A+B" in log[-1][0]
+    assert got["title"] == "A & B" and "Grüße" in got["content"] and log[-1][1]["User-Agent"].startswith("loomline") and log[-1][1]["Accept-Language"].startswith("zh-CN")
+    assert '"displaytitle": "Shown"' in fallback(f"{base}/zh/A%20B")["answer"] and "page=A+B" in log[-1][0]
+    urls = spark.createDataFrame([(f"{base}/broken",), (f"{base}/A",)], "url string")
+    rows = {r["url"][-2:]: r for r in fetch.fetch_pages(urls, page, dataclasses.replace(C, fetch_attempts=1), fallback).collect()}
+    assert [(r["success"], r["title"], r["fetch_error"]) for r in (rows["en"], rows["/A"])] == [(True, "Shown", None), (True, "A & B", None)]
+    assert rows["en"]["content"] == "# Shown\n\nFrom the API"
     with pytest.raises(OSError):
         page(f"{base}/broken")
     assert pickle.loads(pickle.dumps(page)).http.timeout == 5

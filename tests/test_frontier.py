@@ -268,3 +268,30 @@ def test_crawl_loop_visits_the_whole_site(spark, tmp_path):
             todo += links[i]
     got = [r["url"] for r in catalogue.crawl_loop(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(map(url, seen)) and len(got) == 120
+
+
+def test_required_literals():
+    cases = {
+        "spam-farm": "spam-farm", "ads?-": "ad", r"a\.b+cd": "a.", "^https://x/(y|z)": "https://x/", "abc|def": "", "(?:ab|c)def": "def", "^https://x/(yz)?/q": "https://x/", "[abc]def": "def", r"[\]x]tail": "tail", "[a[b]]c": "", r"\x41bc": "", r"\p{L}abc": "",
+        r"\dabc\b": "abc", "(?i)abc": "", "ab{2}cdef": "cdef", "ab*": "a", "": "", ".*": "", "x{3": "", "[]a]bcd": "bcd",
+    }
+    assert {k: rules.required_literal(k) for k in cases} == cases
+
+
+def test_large_rule_tables_equal_the_first_match(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(2, 7)))
+    urls = [f"https://wiki.test/{word()}/{word()}{rng.choice(['', '.md', '?q=1'])}" for _ in range(300)] + [None, "", "ab"]
+    shapes = ["{}", "/{}$", r"{}\.md", "{}[ab]+{}", "({}|{})", "{}.?{}", r"\w{}\?", "(?i){}"]
+    patterns = [rng.choice(shapes).format(word(), word()) for _ in range(3000)] + ["ab?", "("]
+    table = rules.from_patterns(spark, patterns[-400:]).unionByName(spark.createDataFrame([(1000 + i, p, True) for i, p in enumerate(patterns[:-400])], rules.RULES))
+    order = patterns[-400:-1] + patterns[:-400]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls + urls[:20])], "i int, url string")
+    found = rules.first_match_join(rows, table)
+    got = {r["i"]: r["pattern"] for r in found.collect()}
+    compiled = [(p, re.compile(p)) for p in order]
+    assert got == {i: next((p for p, c in compiled if u is not None and c.search(u)), None) for i, u in enumerate(urls + urls[:20])}
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()

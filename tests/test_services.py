@@ -68,17 +68,6 @@ def test_summaries_and_messages():
     assert services.notify(send, "", "t", "x") is False and services.notify(send, "k", "t", "x") is True
 
 
-def test_write_pages(spark, tmp_path):
-    folder = str(tmp_path)
-
-    def write(name, body):
-        with open(f"{folder}/{name}", "w") as f:
-            f.write(body)
-
-    uploads.write_pages(spark.createDataFrame([("a.md", "x")], "file_name string, body string"), write)
-    assert (tmp_path / "a.md").read_text() == "x"
-
-
 def test_full_run(spark):
     from loomline.plans import full_run
     from loomline.plans.crawl import RunStats
