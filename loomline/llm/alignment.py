@@ -5,12 +5,12 @@ a sequence of segments (a space and what follows), and tokens, groups and links
 those of its segments in order.  The relational work is done once for each distinct segment
 of the corpus:
 
-1. texts become runs of segment numbers, in units of 8 MB of text with a table of the unit's distinct
+1. texts become runs of segment numbers, in units of 32 MB of text with a table of the unit's distinct
    segments and how often each occurs;
 2. each distinct segment is encoded by both libraries (Arrow), and then stays relational:
    tokens are exploded with their positions, their ends are windowed running sums of their
-   byte lengths, an equi-join on (segment, end) gives the links and with them the cuts, and
-   the running count of cuts before a token is its group;
+   byte lengths, an equi-join of both sides on (segment, end) gives the links and with them
+   the cuts, and the running count of cuts before a token is its group;
 3. an id pair's count sums its links times the segments' occurrences; joins bring each
    link its pair's count and the highest one of its B id, summed by segment;
 4. a unit's segments come back to it by an equi-join, and its texts are put together in
@@ -19,7 +19,7 @@ of the corpus:
 A vocabulary of another kind, or one that joins tokens over such spaces, gets whole texts as segments.
 
 What grows is shuffled as rows of segments: a segment that a third of the words are comes once
-for each unit.  A unit holds the segments of 8 MB of text (or of one longer text) and is one task's group.
+for each unit.  A unit holds the segments of 32 MB of text (or of one longer text) and is one task's group.
 
 Cases: a text that is null, empty, or whose tokens' bytes don't join to a space and the text (it
 holds the format's own space mark, say) has no tokens: all counts are 0, groups is empty and it adds
@@ -31,6 +31,7 @@ and count as often; an empty table gives an empty one.  Of the other columns onl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 from loomline.llm import shared, sp_model
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 32 << 20
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -95,7 +96,7 @@ def in_units(df: DataFrame, text: str, keep: str, split: bool, unit_bytes: int =
         keep_type = pa.null()
         for batch in batches:
             keep_type = batch["keep"].type
-            for part in shared.by_bytes(batch, "text"):
+            for part in shared.by_bytes(batch, "text", shared.SLICE_BYTES // 4):
                 segments, counts = cut_segments(part["text"], split)
                 coded = segments.dictionary_encode()
                 own = np.array([known.setdefault(w, len(known)) for w in coded.dictionary.to_pylist()], dtype=np.int32)
@@ -116,8 +117,8 @@ def in_units(df: DataFrame, text: str, keep: str, split: bool, unit_bytes: int =
 
 
 def encoded(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """word, good, and a and b: the (id, bytes) of the tokens of a space and the word, in order; none if not good."""
-    token = "array<struct<id:int,size:int>>"
+    """word, times, good, and the ids (a, b) and sizes in bytes (a_sizes, b_sizes) of the tokens of a space and the word, in order; none if not good."""
+    out = ["word", "times", "good", "a", "a_sizes", "b", "b_sizes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -133,48 +134,69 @@ def encoded(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
         a_bytes = {i: bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode() for entry, i in first.get_vocab().items()}
         b_bytes = [bytes([int(p[3:5], 16)]) if k == sp_model.BYTE else p.replace(sp_model.MARK, " ").encode() for p, k in zip(known.pieces, known.kinds)]
 
-        def column(ids: list[list[int]], sizes) -> pa.Array:
-            flat = pa.array([i for x in ids for i in x], pa.int32())
-            of = pa.StructArray.from_arrays([flat, pa.array([sizes(i) for x in ids for i in x], pa.int32())], ["id", "size"])
-            return pa.ListArray.from_arrays(pa.array(shared.runs(np.array([len(x) for x in ids], dtype=np.int64)), pa.int32()), of)
+        def columns(ids: list[list[int]], spelled) -> tuple[pa.Array, pa.Array]:
+            flat = [i for x in ids for i in x]
+            starts = pa.array(shared.runs(np.array([len(x) for x in ids], dtype=np.int64)), pa.int32())
+            return pa.ListArray.from_arrays(starts, pa.array(flat, pa.int32())), pa.ListArray.from_arrays(starts, pa.array([len(spelled[i]) for i in flat], pa.int16()))
 
         for batch in batches:
-            for part in shared.by_bytes(batch, "word", shared.SLICE_BYTES // 8):
+            for part in shared.by_bytes(batch, "word", shared.SLICE_BYTES // 64):
                 texts = part["word"].to_pylist()
                 a = [x.ids for x in first.encode_batch([" " + t for t in texts], add_special_tokens=False)]
                 b = second.encode(texts, num_threads=1)
-                good = [b"".join(a_bytes[i] for i in x) == b"".join(b_bytes[i] for i in y) == b" " + t.encode() for t, x, y in zip(texts, a, b)]
+                good = [b"".join([a_bytes[i] for i in x]) == b"".join([b_bytes[i] for i in y]) == b" " + t.encode() for t, x, y in zip(texts, a, b)]
                 a, b = ([x if ok else [] for x, ok in zip(side, good)] for side in (a, b))
-                yield pa.RecordBatch.from_arrays([part["word"], pa.array(good), column(a, lambda i: len(a_bytes[i])), column(b, lambda i: len(b_bytes[i]))], ["word", "good", "a", "b"])
+                yield pa.RecordBatch.from_arrays([part["word"], part["times"], pa.array(good), *columns(a, a_bytes), *columns(b, b_bytes)], out)
 
-    return shared.map_arrow(words, run, f"word string, good boolean, a {token}, b {token}")
+    return shared.map_arrow(words, run, "word string, times long, good boolean, a array<int>, a_sizes array<short>, b array<int>, b_sizes array<short>")
+
+
+@contextmanager
+def joined_where_they_are(spark: SparkSession) -> Iterator[None]:
+    """Within this context, tables dealt out by one of a join's keys are joined without being dealt out again by all of them."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def tokens(segments: DataFrame, side: str) -> DataFrame:
-    """sid, pos, id and end (a running sum of bytes) of the tokens of one side."""
-    exploded = segments.select("sid", F.posexplode(side).alias("pos", "token"))
+    """sid, end (a running sum of bytes) and id (named as the side) of the tokens of one side."""
+    exploded = segments.select("sid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_sizes").alias("size"))).alias("pos", "token"))
     end = F.sum("token.size").over(Window.partitionBy("sid").orderBy("pos"))
-    return exploded.select("sid", "pos", F.col("token.id").alias("id"), end.alias("end"))
+    return exploded.select("sid", end.alias("end"), F.col("token.id").alias(side))
+
+
+def grouped(segments: DataFrame, side: str, other: str) -> DataFrame:
+    """sid, group, the side's ids (``a1,a2``), their number, and on side a the links, of every group of one side's tokens.
 
+    A token's group is the number of cuts, ends that the other side has as well, before its own end.
+    """
+    ends = tokens(segments, side).join(tokens(segments, other), ["sid", "end"], "left")
+    cut = F.col(other).isNotNull()
+    before = Window.partitionBy("sid").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ends.withColumn("group", F.coalesce(F.count_if(cut).over(before), F.lit(0)))
+    links = [F.collect_list(F.when(cut, F.struct("a", "b"))).alias("links")] if side == "a" else []
+    of = placed.groupBy("sid", "group").agg(F.collect_list(F.struct("end", side)).alias("ids"), *links)
+    ids = F.array_join(F.transform(F.array_sort("ids"), lambda x: x[side].cast("string")), ",")
+    return of.select("sid", "group", F.size("ids").alias(f"k_{side}"), ids.alias(f"ids_{side}"), *(["links"] if links else []))
 
-def token_links(segments: DataFrame) -> DataFrame:
-    """sid, end, a and b: the ids of tokens that end together."""
-    ends = lambda side: tokens(segments, side).select("sid", "end", F.col("id").alias(side))
-    return ends("a").join(ends("b"), ["sid", "end"])
 
+def aligned(segments: DataFrame) -> DataFrame:
+    """word, times, sid, n_a, n_b, n_groups, groups (``a1,a2|b1;…``) and links (the ids of tokens that end together) of every segment.
 
-def groups_of(segments: DataFrame, links: DataFrame) -> DataFrame:
-    """sid, n_a, n_b, n_groups and groups (``a1,a2|b1;…``) of every segment."""
-    cuts = links.select("sid", "end").distinct().withColumn("cut", F.lit(1))
-    both = [tokens(segments, side).withColumn("side", F.lit(side)) for side in ("a", "b")]
-    before = Window.partitionBy("sid", "side").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = both[0].unionByName(both[1]).join(cuts, ["sid", "end"], "left").withColumn("group", F.coalesce(F.sum("cut").over(before), F.lit(0)))
-    of = lambda side: F.collect_list(F.when(F.col("side") == side, F.struct("pos", "id")))
-    ids = lambda column: F.array_join(F.transform(F.array_sort(column), lambda x: x["id"].cast("string")), ",")
-    grouped = placed.groupBy("sid", "group").agg(of("a").alias("a"), of("b").alias("b"))
-    grouped = grouped.select("sid", "group", F.size("a").alias("k_a"), F.size("b").alias("k_b"), F.concat(ids("a"), F.lit("|"), ids("b")).alias("text"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("group", "text"))), lambda x: x["text"]), ";")
-    return grouped.groupBy("sid").agg(F.sum("k_a").alias("n_a"), F.sum("k_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), joined.alias("groups"))
+    Segments are dealt out by ``sid`` once; windows, joins and groups stay where they are.
+    """
+    dealt = segments.repartition("sid")
+    both = grouped(dealt, "a", "b").join(grouped(dealt, "b", "a"), ["sid", "group"])
+    text = F.concat("ids_a", F.lit("|"), "ids_b").alias("text")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("group", text))), lambda x: x["text"]), ";")
+    counts = [F.sum("k_a").alias("n_a"), F.sum("k_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups")]
+    out = both.groupBy("sid").agg(*counts, joined.alias("groups"), F.flatten(F.collect_list("links")).alias("links"))
+    return dealt.select("sid", "word", "times").join(out, "sid")
 
 
 def _uncounted(texts: DataFrame, words: DataFrame, segments: DataFrame) -> DataFrame:
@@ -195,37 +217,37 @@ def _uncounted(texts: DataFrame, words: DataFrame, segments: DataFrame) -> DataF
 
 def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T.DataType) -> DataFrame:
     """keep, counts and groups of every text, put together from its unit's segments."""
-    parts = words.join(scored, "word").select("unit", "i", "good", *COUNTS, "groups", F.lit(None).cast(keep_type).alias("keep"), F.lit(None).cast("binary").alias("parts"))
+    parts = words.join(scored, "word", "left").select("unit", "i", F.col("n_a").isNotNull().alias("good"), *COUNTS, "groups", F.lit(None).cast(keep_type).alias("keep"), F.lit(None).cast("binary").alias("parts"))
     rows = parts.unionByName(texts.select("unit", F.lit(None).cast("int").alias("i"), F.lit(None).cast("boolean").alias("good"), *[F.lit(None).cast("long").alias(c) for c in COUNTS], F.lit(None).cast("string").alias("groups"), "keep", "parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, good, numbers, written = None, [], [], []
+        unit, held, whole = None, [], None
         for batch in batches:
-            for part in shared.by_bytes(batch, "parts", shared.SLICE_BYTES // 8):
-                ids, nth = part["unit"].to_pylist(), np.asarray(part["i"].fill_null(-1))
-                is_text = nth < 0
-                rows = []
-                flags, strings, parts = part["good"].to_pylist(), part["groups"].to_pylist(), part["parts"].to_pylist()
-                values = np.stack([np.asarray(part[c].fill_null(0)) for c in COUNTS], axis=1)
-                for k in range(part.num_rows):
-                    if ids[k] != unit:
-                        unit, good, numbers, written = ids[k], [], [], []
-                    if not is_text[k]:
-                        good.append(flags[k])
-                        numbers.append(values[k])
-                        written.append(strings[k])
-                        continue
-                    if isinstance(good, list):  # the unit's segments are all there
-                        good, numbers = np.array(good, bool), np.array(numbers, dtype=np.int64).reshape(-1, len(COUNTS))
-                    own = np.frombuffer(parts[k], np.int32)
-                    if len(own) and good[own].all():
-                        rows.append((numbers[own].sum(axis=0), ";".join([written[i] for i in own.tolist()])))
-                    else:
-                        rows.append((np.zeros(len(COUNTS), np.int64), ""))
-                if rows:
-                    sums = np.stack([r[0] for r in rows])
-                    kept = part["keep"].filter(pa.array(is_text))
-                    yield pa.RecordBatch.from_arrays([kept, *[pa.array(sums[:, j]) for j in range(len(COUNTS))], pa.array([r[1] for r in rows], pa.string())], ["keep", *COUNTS, "groups"])
+            ids = np.asarray(batch["unit"])
+            is_text = np.asarray(batch["i"].is_null())
+            ends = [*(np.flatnonzero((np.diff(ids) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), batch.num_rows]
+            start = 0
+            for end in ends:
+                part, texts_here = batch.slice(start, end - start), is_text[start]
+                if ids[start] != unit:
+                    unit, held, whole = ids[start], [], None
+                start = end
+                if not texts_here:
+                    held.append(part.select(["good", *COUNTS, "groups"]))
+                    continue
+                if whole is None:  # the unit's segments are all there
+                    table = pa.Table.from_batches(held).combine_chunks() if held else None
+                    whole = (np.asarray(table["good"]), np.stack([table[c].fill_null(0).to_numpy() for c in COUNTS], axis=1), table["groups"].combine_chunks()) if held else ()
+                    held = []
+                for some in shared.by_bytes(part, "parts", shared.SLICE_BYTES // 8):
+                    sums, strings = np.zeros((some.num_rows, len(COUNTS)), np.int64), []
+                    for k, parts in enumerate(some["parts"].to_pylist()):
+                        own = np.frombuffer(parts, np.int32)
+                        clean = len(own) > 0 and whole[0][own].all()
+                        if clean:
+                            sums[k] = whole[1][own].sum(axis=0)
+                        strings.append(";".join(whole[2].take(pa.array(own)).to_pylist()) if clean else "")
+                    yield pa.RecordBatch.from_arrays([some["keep"], *[pa.array(sums[:, j]) for j in range(len(COUNTS))], pa.array(strings, pa.string())], ["keep", *COUNTS, "groups"])
 
     schema = T.StructType([T.StructField("keep", keep_type), *[T.StructField(c, T.LongType()) for c in COUNTS], T.StructField("groups", T.StringType())])
     return shared.map_arrow(rows.repartition("unit").sortWithinPartitions("unit", F.col("i").asc_nulls_last()), run, schema)
@@ -246,22 +268,23 @@ def align(df: DataFrame, text: str = "text", keep: str = "doc_id", a_path: str |
 
     units = shared.cut(in_units(df, text, keep, split, unit_bytes), "align-units", compression="zstd")
     words, texts = units.where("i IS NOT NULL").select("unit", "i", "word", "times"), units.where("i IS NULL").select("unit", "keep", "parts")
-    coded = encoded(words.select("word").distinct(), a_path, b_path).withColumn("sid", F.monotonically_increasing_id())
+    distinct = words.groupBy("word").agg(F.sum("times").alias("times"))
+    coded = encoded(distinct, a_path, b_path).withColumn("sid", F.monotonically_increasing_id())
     segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"))
-    good = segments.where("good")
-    links = shared.cut(token_links(good), "align-links")
+    with joined_where_they_are(df.sparkSession):
+        done = shared.cut(aligned(segments.where("good")), "align-done")
 
-    times = words.select("word", "times")
+    links = done.select("sid", "word", "times", F.explode("links").alias("link")).select("sid", "word", "times", "link.*")
     if seen["bad"]:
-        times = times.unionByName(_uncounted(texts, words, segments))
-    often = times.groupBy("word").agg(F.sum("times").alias("times")).join(good.select("word", "sid"), "word").where("times > 0").select("sid", "times")
-    pairs = shared.cut(links.join(often, "sid").groupBy("a", "b").agg(F.sum("times").alias("count")).where("count > 0"), "align-pairs")
+        less = _uncounted(texts, words, segments).groupBy("word").agg(F.sum("times").alias("less"))
+        links = links.join(less, "word", "left").withColumn("times", F.col("times") + F.coalesce("less", F.lit(0)))
+    pairs = shared.cut(links.groupBy("a", "b").agg(F.sum("times").alias("count")).where("count > 0"), "align-pairs")
     best = pairs.groupBy("b").agg(F.max("count").alias("best"))
-    linked = links.join(pairs, ["a", "b"]).join(best, "b").groupBy("sid")
-    linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if(F.col("count") == F.col("best")).alias("n_best"), F.sum("count").alias("count_sum"))
-    scored = segments.select("word", "good", "sid").join(groups_of(good, links), "sid", "left").join(linked, "sid", "left").drop("sid")
-    scored = shared.cut(scored, "align-scored")
-    shared.discard(segments, links)
+    ranked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
+    linked = done.select("sid", F.explode("links").alias("link")).select("sid", "link.*").join(ranked, ["a", "b"]).groupBy("sid")
+    linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_best").alias("n_best"), F.sum("count").alias("count_sum"))
+    scored = shared.cut(done.select("sid", "word", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").drop("sid"), "align-scored")
+    shared.discard(segments, done)
     out = together(words, texts, scored, keep_type)
     return out.select(F.col("keep").alias(keep), *COUNTS, "groups"), pairs
 
