@@ -10,8 +10,11 @@ the words before it, and what it stands between.
 Expectation maximisation estimates, for each kind on its own, how common personal data
 is among the candidates and each labeler's rates, from the counts of vote patterns of
 all documents and without labels.  The rates start from ``START``, which also counts as
-``STRENGTH`` candidates and as many as there are, so that few or one-sided candidates
-don't turn a labeler round and a corpus of any size is judged alike.
+``STRENGTH`` candidates, a constant: in a large corpus the data decide, and a labeler that
+is mostly wrong gets rates that say so.  What personal data is is fixed by two anchors: the
+words before keep their rates, and the prior's odds stay within ``PRIOR_RANGE`` of their
+start.  So a flood of candidates without words for or against can't turn the classes round;
+one that other labelers reject does make their yes weigh more.
 
 The posteriors are the soft labels of the final span classifier, a naive Bayes model of
 each kind: its votes weigh as EM found, and features that no labeler votes with (length,
@@ -46,6 +49,10 @@ MORE_KINDS = ("phone_local", "national_id", "long_number", "email_spelled", "sec
 KINDS = BASE_KINDS + MORE_KINDS
 EM_ROUNDS = 25
 STRENGTH, SHARE, SMOOTH = 50.0, 0.5, 20.0
+#: The labeler (words before) whose rates stay those of ``START``, so that the others can't swap the two classes' names.
+ANCHOR = 2
+#: A kind's prior odds stay within this factor of those of ``START``.
+PRIOR_RANGE = 9.0
 
 #: Fixed patterns of the base kinds.
 PATTERNS = {
@@ -216,7 +223,7 @@ def reliabilities(profile: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
     patterns = profile.groupBy("kind", votes.alias("v")).agg(F.sum("n").cast("double").alias("n"))
     rows = patterns.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("p"), F.sum("n").alias("total"))
     start = F.element_at(F.create_map(*[c for k in MORE_KINDS for c in (F.lit(k), F.array(*map(F.lit, START[k])))]), F.col("kind"))
-    rows = rows.withColumn("start", start).withColumn("w", F.col("total") + F.lit(STRENGTH))
+    rows = rows.withColumn("start", start).withColumn("w", F.lit(STRENGTH))
 
     def ratio(l: int) -> str:
         yes, no = f"th[{1 + 2 * l}]", f"th[{2 + 2 * l}]"
@@ -225,9 +232,13 @@ def reliabilities(profile: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
     odds = " + ".join(["ln(th[0] / (1 - th[0]))", *map(ratio, range(4))])
     posterior = f"transform(p, x -> named_struct('v', x.v, 'n', x.n, 'q', 1 / (1 + exp(-({odds})))))"
     total = lambda value, where="true": f"aggregate(filter(po, y -> {where}), 0D, (a, y) -> a + {value})"
-    new = [f"({total('y.n * y.q')} + w * start[0]) / (total + w)"]
+    bound = lambda factor: f"({factor} * start[0] / (1 - start[0] + {factor} * start[0]))"
+    new = [f"least(greatest(({total('y.n * y.q')} + w * start[0]) / (total + w), {bound(1 / PRIOR_RANGE)}), {bound(PRIOR_RANGE)})"]
     for l in range(4):
         for q, k in (("y.q", 1 + 2 * l), ("(1 - y.q)", 2 + 2 * l)):
+            if l == ANCHOR:
+                new.append(f"start[{k}]")
+                continue
             voted = f"y.v[{l}] <> '-'"
             new.append(f"({total(f'y.n * {q}', f"y.v[{l}] = 'y'")} + w * start[{k}]) / ({total(f'y.n * {q}', voted)} + w)")
     fitted = f"aggregate(sequence(1, {rounds}), start, (th, i) -> element_at(transform(array({posterior}), po -> array({', '.join(new)})), 1))"

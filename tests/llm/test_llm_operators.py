@@ -858,7 +858,8 @@ def test_the_classifier_tells_contexts_apart_at_any_size(spark, sf):
 def brute_em(patterns, start):
     """EM of one kind, from its definition; patterns: votes -> n."""
     total, th = sum(patterns.values()), list(start)
-    w = total + pii.STRENGTH
+    w, odds = pii.STRENGTH, start[0] / (1 - start[0])
+    least, most = (f * odds / (1 + f * odds) for f in (1 / pii.PRIOR_RANGE, pii.PRIOR_RANGE))
     for _ in range(pii.EM_ROUNDS):
         q = {}
         for votes in patterns:
@@ -868,11 +869,12 @@ def brute_em(patterns, start):
                     yes = th[1 + 2 * l + side]
                     p[side] *= 1.0 if v == "-" else yes if v == "y" else 1 - yes
             q[votes] = p[0] / sum(p)
-        new = [(sum(n * q[v] for v, n in patterns.items()) + w * start[0]) / (total + w)]
+        new = [min(max((sum(n * q[v] for v, n in patterns.items()) + w * start[0]) / (total + w), least), most)]
         for l in range(4):
             for side in (0, 1):
                 mine = {v: n * (q[v] if side == 0 else 1 - q[v]) for v, n in patterns.items() if v[l] != "-"}
-                new.append((sum(n for v, n in mine.items() if v[l] == "y") + w * start[1 + 2 * l + side]) / (sum(mine.values()) + w))
+                rate = (sum(n for v, n in mine.items() if v[l] == "y") + w * start[1 + 2 * l + side]) / (sum(mine.values()) + w)
+                new.append(start[1 + 2 * l + side] if l == pii.ANCHOR else rate)
         th = new
     return th
 
@@ -925,6 +927,26 @@ def test_em_finds_the_reliable_labeler(spark):
     assert th[0] > pii.START["secret"][0] and th[3] > pii.START["secret"][3]  # commoner, and the gazetteer better than thought
 
 
+@pytest.mark.parametrize("n", [2_000, 100_000_000])
+def test_em_finds_an_inverted_labeler(spark, n):
+    """The form votes no on what all others take for personal data, and yes on the rest."""
+    rows = [("phone_local", [f"v{l}={x}" for l, x in enumerate(v)], n) for v in ("nyyy", "ynnn")]
+    th = pii.reliabilities(spark.createDataFrame(rows, "kind string, features array<string>, n long")).first()["th"]
+    assert th == pytest.approx(brute_em({"nyyy": n, "ynnn": n}, pii.START["phone_local"]))
+    assert th[1] < 0.1 and th[2] > 0.9 and th[3] > 0.9 and th[4] < 0.1
+
+
+def test_a_flood_of_like_candidates_turns_nothing_round(spark, documents, votes="yy-y"):
+    """A million candidates of each kind, all without words before them: words for and against still decide."""
+    _, found = judged(spark, documents)
+    flood = [(k, [*[f"v{l}={x}" for l, x in enumerate(votes)], "after=-", "left=space", "right=space", "marks=2", "length=3"], 10**6) for k in pii.MORE_KINDS]
+    profile = pii.profile_of(found)
+    weights = pii.train(profile.unionByName(spark.createDataFrame(flood, "kind string, features array<string>, n long").select(*profile.columns)))
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(found, weights).where("doc_id >= 2000000").collect()}
+    for i in (0, 1, 4, 5):  # order and call, ssn and serial
+        assert got[2 * 10**6 + i] == JUDGED[i][1], (votes, JUDGED[i])
+
+
 def test_redaction(spark):
     df = docs(spark, [(1, "é 😀 a@b.co, 1.1.1.1 and +49 30 1234567!", None, None), (2, None, None, None), (3, "clean", None, None), (4, "call 555-123-4567!", None, None)])
     out = pii.redact(df)
