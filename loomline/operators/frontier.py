@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomline.config import CrawlConfig
 from loomline.functions import text as X
 from loomline.functions import url as U
-from loomline.operators import rules
+from loomline.operators import membership, rules
 from loomline.sources.state import shared_folder
 
 
@@ -23,9 +23,12 @@ def with_keys(urls: DataFrame) -> DataFrame:
     return urls.withColumn("visit_key", U.visit_key(F.col("url")))
 
 
-def classify(queue: DataFrame, visited: DataFrame, failures: DataFrame, patterns: list[str], now: Column, forced: DataFrame | None = None) -> DataFrame:
-    """Adds ``fate``: dup, visited, deny, defer or pick, the first that holds for a row in ``seq`` order."""
-    seen = visited.select(F.col("visit_key").alias("k")).distinct().withColumn("seen", F.lit(True))
+def classify(queue: DataFrame, visited: DataFrame, failures: DataFrame, patterns: list[str], now: Column, forced: DataFrame | None = None, filters: dict[int, DataFrame] | None = None) -> DataFrame:
+    """Adds ``fate``: dup, visited, deny, defer or pick, the first that holds for a row in ``seq`` order.
+
+    ``filters``: of the visited keys, by level (``membership``); they change the work, not the result.
+    """
+    seen = membership.held_keys(queue, visited, "visit_key", filters).select(F.col("visit_key").alias("k"), F.lit(True).alias("seen"))
     out = queue.join(seen, F.col("visit_key") == F.col("k"), "left").drop("k")
     out = out.join(failures.select(F.col("url").alias("failed_url"), "next_retry_at"), F.col("url") == F.col("failed_url"), "left").drop("failed_url")
     if forced is not None:
@@ -94,17 +97,21 @@ def select_head(rows_before, first: int, end: int, fates, keep, n: int) -> Head:
     return Head(batch, late, head, counts["d"], counts["x"])
 
 
-def new_links(pages: DataFrame, visited: DataFrame, queue: DataFrame, patterns: list[str]) -> tuple[DataFrame, DataFrame]:
+def new_links(pages: DataFrame, visited: DataFrame, queue: DataFrame, patterns: list[str], filters: dict[int, DataFrame] | None = None, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Links of fetched pages that join the queue, and all denied (page, link) rows.
 
     ``pages``: position, links (sorted, distinct).  Of the links with one visit key the first
-    by (position, place in the list) stays; keys that are visited or queued are left out.
+    by (position, place in the list) stays; keys that are visited or queued are left out.  ``filters``: of the keys of
+    ``visited``, by level; ``more``: further visited rows, which the filters don't cover.
     """
     links = with_keys(pages.select("position", F.posexplode("links").alias("place", "url")))
     links = links.withColumn("denied", rules.denied(F.col("url"), patterns))
     first = F.row_number().over(Window.partitionBy("visit_key").orderBy("position", "place"))
     fresh = links.where("NOT denied").withColumn("nth", first).where("nth = 1").drop("nth", "denied")
-    fresh = fresh.join(visited.select("visit_key").distinct(), "visit_key", "left_anti").join(queue.select("visit_key").distinct(), "visit_key", "left_anti")
+    fresh = fresh.join(membership.held_keys(fresh, visited, "visit_key", filters), "visit_key", "left_anti")
+    if more is not None:
+        fresh = fresh.join(more.select("visit_key").distinct(), "visit_key", "left_anti")
+    fresh = fresh.join(queue.select("visit_key").distinct(), "visit_key", "left_anti")
     return fresh.select("position", "place", "url", "visit_key"), links.where("denied")
 
 
@@ -164,6 +171,13 @@ def merge_failures(failures: DataFrame, results: DataFrame, now: Column, config:
     )
 
 
+def newly_visited(visited: DataFrame, results: DataFrame, filters: dict[int, DataFrame] | None = None) -> DataFrame:
+    """(url, visit_key) of the successes of a batch that ``visited`` doesn't hold."""
+    fresh = with_keys(results.where("ok").select("url").distinct())
+    like = membership.held_keys(fresh, visited, "visit_key", filters)  # equal URLs have equal keys
+    return fresh.join(visited.join(like, "visit_key", "left_semi").select("url"), "url", "left_anti")
+
+
 def merge_visited(visited: DataFrame, results: DataFrame) -> DataFrame:
     return visited.unionByName(with_keys(results.where("ok").select("url"))).dropDuplicates(["url"])
 
