@@ -76,8 +76,34 @@ def cut_segments(texts: pa.Array, split: bool = True) -> tuple[pa.Array, np.ndar
     return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(starts), pa.py_buffer(data[~cut])]), counts
 
 
+def packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in seven bits a byte, least first (the high bit says that more follow), and where each of them begins.
+
+    A unit numbers its segments as they first come, so that frequent ones tend to take one byte.
+    """
+    numbers = numbers.astype(np.int64)
+    sizes = 1 + sum((numbers >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    starts = shared.runs(sizes)
+    out = np.zeros(starts[-1], np.uint8)
+    for k in range(5):
+        has = sizes > k
+        out[starts[:-1][has] + k] = (numbers[has] >> 7 * k & 127) | ((sizes[has] > k + 1) << 7)
+    return out, starts
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The numbers that ``packed`` wrote."""
+    held = np.frombuffer(data, np.uint8)
+    if not len(held):
+        return np.zeros(0, np.int64)
+    ends = np.flatnonzero(held < 128) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    place = np.arange(len(held)) - np.repeat(starts, ends - starts)
+    return np.add.reduceat((held & 127).astype(np.int64) << 7 * place, starts)
+
+
 def in_units(df: DataFrame, text: str, keep: str, split: bool, unit_bytes: int = UNIT_BYTES) -> DataFrame:
-    """Rows of words (unit, i, word, times) and of texts (unit, keep, parts: the numbers i of its segments, 32 bits each)."""
+    """Rows of words (unit, i, word, times) and of texts (unit, keep, parts: the ``packed`` numbers i of its segments)."""
     read = df.select(F.col(keep).alias("keep"), F.col(text).cast("string").alias("text"))
     out = ["unit", "i", "word", "times", "keep", "parts"]
     fields = [("unit", T.LongType()), ("i", T.IntegerType()), ("word", T.StringType()), ("times", T.LongType()), ("keep", read.schema["keep"].dataType), ("parts", T.BinaryType())]
@@ -102,8 +128,9 @@ def in_units(df: DataFrame, text: str, keep: str, split: bool, unit_bytes: int =
                 own = np.array([known.setdefault(w, len(known)) for w in coded.dictionary.to_pylist()], dtype=np.int32)
                 numbers = own[np.asarray(coded.indices)] if len(segments) else np.zeros(0, np.int32)
                 times = np.concatenate([times, np.zeros(len(known) - len(times), np.int64)]) + np.bincount(numbers, minlength=len(known))
-                ends = (4 * shared.runs(counts)).astype(np.int32)
-                parts = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(numbers))])
+                coded, starts = packed(numbers)
+                ends = starts[shared.runs(counts)].astype(np.int32)
+                parts = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(coded)])
                 k = len(counts)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, unit)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.string()), pa.nulls(k, pa.int64()), part["keep"], parts], out)
                 held += int(pa.compute.sum(pa.compute.binary_length(part["text"])).as_py() or 0)
@@ -206,19 +233,30 @@ def _uncounted(texts: DataFrame, words: DataFrame, segments: DataFrame) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, parts, bad in zip(*(batch[c].to_pylist() for c in ("unit", "parts", "bad"))):
-                own = np.frombuffer(parts, np.int32)
+                own = unpacked(parts)
                 if np.isin(own, bad).any():
                     i, n = np.unique(own, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), unit)), pa.array(i), pa.array(-n.astype(np.int64))], ["unit", "i", "times"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), unit)), pa.array(i.astype(np.int32)), pa.array(-n.astype(np.int64))], ["unit", "i", "times"])
 
     less = shared.map_arrow(texts.join(bad, "unit").select("unit", "parts", "bad"), run, "unit long, i int, times long")
     return less.groupBy("unit", "i").agg(F.sum("times").alias("times")).join(words.select("unit", "i", "word"), ["unit", "i"]).select("word", "times")
 
 
 def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T.DataType) -> DataFrame:
-    """keep, counts and groups of every text, put together from its unit's segments."""
-    parts = words.join(scored, "word", "left").select("unit", "i", F.col("n_a").isNotNull().alias("good"), *COUNTS, "groups", F.lit(None).cast(keep_type).alias("keep"), F.lit(None).cast("binary").alias("parts"))
-    rows = parts.unionByName(texts.select("unit", F.lit(None).cast("int").alias("i"), F.lit(None).cast("boolean").alias("good"), *[F.lit(None).cast("long").alias(c) for c in COUNTS], F.lit(None).cast("string").alias("groups"), "keep", "parts"))
+    """keep, counts and groups of every text, put together from its unit's segments.
+
+    ``scored`` (word, told) tells groups and counts as one text, as most are of a digit or two: in columns of their own they are most of the shuffle.
+    """
+    null = lambda kind: F.lit(None).cast(kind)
+    parts = words.join(scored, "word", "left").select("unit", "i", "told", null(keep_type).alias("keep"), null("binary").alias("parts"))
+    rows = parts.unionByName(texts.select("unit", null("int").alias("i"), null("string").alias("told"), "keep", "parts"))
+    fields = 1 + len(COUNTS)
+
+    def heard(told: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        flat = pa.compute.split_pattern(told.fill_null("\t".join(["", *["0"] * len(COUNTS)])), "\t").flatten()
+        place = np.arange(len(told)) * fields
+        counts = [np.asarray(flat.take(pa.array(place + 1 + j)).cast(pa.int64())) for j in range(len(COUNTS))]
+        return np.asarray(told.is_valid()), np.stack(counts, axis=1), flat.take(pa.array(place))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, held, whole = None, [], None
@@ -233,16 +271,16 @@ def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T
                     unit, held, whole = ids[start], [], None
                 start = end
                 if not texts_here:
-                    held.append(part.select(["good", *COUNTS, "groups"]))
+                    held.append(heard(part["told"]))
                     continue
                 if whole is None:  # the unit's segments are all there
-                    table = pa.Table.from_batches(held).combine_chunks() if held else None
-                    whole = (np.asarray(table["good"]), np.stack([table[c].fill_null(0).to_numpy() for c in COUNTS], axis=1), table["groups"].combine_chunks()) if held else ()
+                    good, counts, groups = zip(*held) if held else ((), (), ())
+                    whole = (np.concatenate(good), np.concatenate(counts), pa.concat_arrays(groups)) if held else ()
                     held = []
-                for some in shared.by_bytes(part, "parts", shared.SLICE_BYTES // 8):
+                for some in shared.by_bytes(part, "parts", shared.SLICE_BYTES // 32):
                     sums, strings = np.zeros((some.num_rows, len(COUNTS)), np.int64), []
                     for k, parts in enumerate(some["parts"].to_pylist()):
-                        own = np.frombuffer(parts, np.int32)
+                        own = unpacked(parts)
                         clean = len(own) > 0 and whole[0][own].all()
                         if clean:
                             sums[k] = whole[1][own].sum(axis=0)
@@ -270,9 +308,9 @@ def align(df: DataFrame, text: str = "text", keep: str = "doc_id", a_path: str |
     words, texts = units.where("i IS NOT NULL").select("unit", "i", "word", "times"), units.where("i IS NULL").select("unit", "keep", "parts")
     distinct = words.groupBy("word").agg(F.sum("times").alias("times"))
     coded = encoded(distinct, a_path, b_path).withColumn("sid", F.monotonically_increasing_id())
-    segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"))
+    segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"), compression="zstd")
     with joined_where_they_are(df.sparkSession):
-        done = shared.cut(aligned(segments.where("good")), "align-done")
+        done = shared.cut(aligned(segments.where("good")), "align-done", compression="zstd")
 
     links = done.select("sid", "word", "times", F.explode("links").alias("link")).select("sid", "word", "times", "link.*")
     if seen["bad"]:
@@ -283,7 +321,8 @@ def align(df: DataFrame, text: str = "text", keep: str = "doc_id", a_path: str |
     ranked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
     linked = done.select("sid", F.explode("links").alias("link")).select("sid", "link.*").join(ranked, ["a", "b"]).groupBy("sid")
     linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_best").alias("n_best"), F.sum("count").alias("count_sum"))
-    scored = shared.cut(done.select("sid", "word", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").drop("sid"), "align-scored")
+    told = F.concat_ws("\t", "groups", *[F.coalesce(c, F.lit(0)).cast("string") for c in COUNTS]).alias("told")
+    scored = shared.cut(done.select("sid", "word", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").select("word", told), "align-scored", compression="zstd")
     shared.discard(segments, done)
     out = together(words, texts, scored, keep_type)
     return out.select(F.col("keep").alias(keep), *COUNTS, "groups"), pairs

@@ -78,10 +78,10 @@ def bucketed(df: DataFrame, name: str, part: str, bucket: str, buckets: int) ->
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def observed_cut(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+def observed_cut(df: DataFrame, name: str, *metrics: Column, **options: str) -> tuple[DataFrame, dict]:
     """``cut``, and aggregates of the rows, taken while they are written."""
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    out = cut(df.observe(seen, *metrics), name)
+    out = cut(df.observe(seen, *metrics), name, **options)
     return out, seen.get
 
 
