@@ -408,6 +408,53 @@ def test_html_loses_no_page_on_everyday_markup(spark):
     assert got == dict(enumerate(kept.values())) | {100: "no body tag", 101: "text in the head"}
 
 
+def test_html_keeps_what_articles_share(spark):
+    """Headings and sentences that all articles of a host have stay, on hosts of any size, and without ``article`` those beside the page's own text."""
+    marked = "<body><div><span>Our site</span></div><article><h1>Dish {0}</h1><section><h2>Ingredients</h2><p>own {0}</p></section><p>more {0}</p><p>Serves four people.</p></article><div><span>All rights</span></div></body>"
+    plain = "<body><div class=top><div>Our site</div><ul><li>Start<li>People</ul></div><div class=text><h1>Dish {0}</h1><h2>Ingredients</h2><p>own {0}</p><table><tr><th>Serves</th><td>{0}</td></tr></table></div><div class=foot><p>All rights</p></div></body>"
+    rows, want = [], {}
+    for n in (1, 2, 4, 8, 12, 40, 1000):
+        for i in range(n):
+            rows.append((len(rows), f"http://a{n}.test/{i}", marked.format(i)))
+            want[rows[-1][0]] = f"Dish {i} Ingredients own {i} more {i} Serves four people."
+    for n in (2, 8, 100):
+        for i in range(n):
+            rows.append((len(rows), f"http://p{n}.test/{i}", plain.format(i)))
+            want[rows[-1][0]] = f"Dish {i} Ingredients own {i} Serves {i}"
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_html_keeps_a_text_of_few_pages_in_a_place_that_repeats(spark):
+    page = "<body><div class=words>" + "".join(f"<span>word {k}</span><br>" for k in range(30)) + "{}</div><div class=text><p>Own {}</p></div></body>"
+    rows = [(i, f"http://h.test/{i}", page.format("<br>Only here" if i == 7 else "", i)) for i in range(50)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "Only here Own 7" if i == 7 else f"Own {i}" for i in range(50)}
+
+
+def test_html_lists_of_noisy_places_dont_grow_with_pages(spark):
+    """A class of its own for each page's comments adds nothing to the host's list."""
+    page = '<body><div>Our site</div><article><p>Text {0}</p></article><div class="comment user-{1}"><p>Well said</p></div><div class="promo"><p>Buy</p></div></body>'
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    sizes = {}
+    for n in (20, 100):
+        df = spark.createDataFrame([(i, f"http://h.test/{i}", page.format(i, name(i))) for i in range(n)], "page_id long, url string, html string")
+        counts = html_extract.statistics(df.withColumn("host", html_extract.host_of(df["url"])))
+        sizes[n] = sum(len(r["noisy"]) for r in html_extract.noisy_places(counts).collect())
+        assert {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()} == {i: f"Text {i}" for i in range(n)}
+    assert sizes[20] == sizes[100] == 1
+
+
+def test_html_only_blocks_end_words():
+    of = lambda body: html_extract.PageParts(f"<body>{body}</body>").text()
+    assert of("foo<img src=x>bar") == of("foo<script>1</script>bar") == of("foo<x-y>bar</x-y>") == of("foo<wbr>bar<!-- c -->") == "foobar"
+    assert of("<ruby>han<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>ji") == "han(kan)ji"
+    assert of("foo<br>bar") == of("foo<p>bar") == of("<div>foo</div>bar") == of("foo<hr>bar") == "foo bar"
+    assert of("foo<!-->bar<!--->baz<!-- c -->") == "foobarbaz"
+    assert of('text<app-side class="sidebar">s<app-side>t</app-side>u</app-side> more') == "text more"
+    assert of("text<video>v") == "textv"
+
+
 def test_html_deep_and_long_pages(spark):
     """Memory and time grow with the page, not with its square."""
     import time
@@ -419,6 +466,10 @@ def test_html_deep_and_long_pages(spark):
     tracemalloc.start()
     assert html_extract.PageParts(deep).text() == "the bottom up again"
     assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.reset_peak()
+    menus = "<div class='nav'>" * 50_000 + "<p>a menu" + "</div>" * 50_000 + "<p>the text"
+    assert html_extract.PageParts(menus).text() == "the text"
+    assert tracemalloc.get_traced_memory()[1] < 120e6
     tracemalloc.stop()
     rows = [(1, "http://d.test/", deep), (2, "http://l.test/", long), (3, "http://l.test/b", "<article><p>short</p></article>")]
     got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
@@ -429,7 +480,7 @@ def test_html_deep_and_long_pages(spark):
 def brute_importance(pages):
     """The style tree of one host's pages, by recursion over its places."""
     parts = [html_extract.PageParts(p) for p in sorted(set(pages))]
-    seen, sequences, texts, named, main = {}, {}, {}, set(), set()
+    seen, sequences, texts, named, main, flow = {}, {}, {}, set(), set(), set()
     for i, page in enumerate(parts):
         for path, x in page.sequences:
             sequences.setdefault(path, Counter())[x] += 1 if (i, path, x) not in seen else 0
@@ -438,22 +489,27 @@ def brute_importance(pages):
     for i, page in enumerate(parts):
         for path in [p for p, _ in page.sequences] + [t[0][:k] for t in page.texts for k in range(1, len(t[0]) + 1)]:
             on.setdefault(path, set()).add(i)
-        for path, m, n, text in page.texts:
+        for (path, m, n, text), f in zip(page.texts, page.flows):
             texts.setdefault(path, {}).setdefault(text, set()).add(i)
             named |= {path} if n else set()
             main |= {path} if m else set()
+            flow |= {path} if f and not n else set()
     children = {}
     for path in on:
         children.setdefault(path[:-1], []).append(path)
     sequences = {p: Counter({x: sum((i, p, x) in seen for i in range(len(parts))) for x in c}) for p, c in sequences.items()}
     out = {}
 
+    def of_leaf(path):
+        m = len(on[path])
+        spread = [math.log(len(x)) for x in texts[path].values()]
+        value = 1.0 if m < 2 else 1 - sum(spread) / len(spread) / math.log(m)
+        return value * html_extract.NAMED_PRIOR if path in named else 1.0 if path in main else value
+
     def own(path):
         m = len(on[path])
         if path in texts:
-            spread = [math.log(len(x)) for x in texts[path].values()]
-            value = 1.0 if m < 2 else 1 - sum(spread) / len(spread) / math.log(m + (html_extract.SMOOTH if path in main else 0))
-            return value * (html_extract.NAMED_PRIOR if path in named else 1)
+            return max([of_leaf(path), *(of_leaf(p) for p in flow if path in flow and p[:-2] == path[:-2])])
         if path not in sequences:
             return 0.0
         total = sum(sequences[path].values())
@@ -474,7 +530,7 @@ def brute_importance(pages):
 
 def test_importance_equals_a_brute_force_tree(spark):
     real = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").limit(25).collect()]
-    made = [f"<body><div><ul><li>Home<li>About{'<li>Extra' if i % 3 else ''}</ul></div><div class=x{i}><p>Text {i}</p>{'<p>Both</p>' if i % 2 else '<table><tr><td>t</table>'}</div><div class='promo'>Buy {i}</div></body>" for i in range(12)]
+    made = [f"<body><div><ul><li>Home<li>About{'<li>Extra' if i % 3 else ''}</ul></div><div class=x{i}><h3>Same</h3><p>Text {i}</p>{'<p>Both</p>' if i % 2 else '<table><tr><td>t</table>'}</div><div class='promo'>Buy {i}</div></body>" for i in range(12)]
     rows = [("r", x) for x in real] + [("m", x) for x in made] + [("one", made[0])] * 2
     df = spark.createDataFrame([(i, f"http://{h}/{i}", x, h) for i, (h, x) in enumerate(rows)], "page_id long, url string, html string, host string")
     got = {}
