@@ -12,10 +12,12 @@ The tree is a table: all distinct (six bytes of context, byte) of all texts with
 counts, dealt out by cell, which is the three nearest bytes of the context.  A unit of text
 lists what it has of each cell; the lists are merged into one row for each cell.  A pass over
 those rows weighs the subtrees below three bytes; what they come to is mixed on the driver for
-contexts of up to three bytes; then the rows meet the units' lists again, the paths are followed
-down, and each unit gets the log probabilities it asked for, from which its texts are scored.
+contexts of up to three bytes; then the paths are followed down once in each row, the rows meet the
+units' lists again, and each unit gets the log probabilities it asked for, from which its texts are scored.
 Words are counted in the same way, dealt out by the first bits of their hashes.  Lists of one cell
-are dealt into salts of ``SALT_UNITS`` units, so no cell gathers the whole corpus in one task.
+are merged in salts of ``SALT_UNITS`` units, so no cell gathers the whole corpus in one task.  For the answers
+only cells whose lists take more than ``SALT_BYTES`` and more than their row go to several tasks, each with a copy of the row:
+so copies of a row add up to no more than the row and its lists, at any corpus size.
 The units' texts are written bucketed by unit, so only lists and answers are shuffled.
 
 The sequence of a text is its lower-cased bytes and one end byte 0xFF, which no UTF-8
@@ -51,8 +53,8 @@ WORD_CELL_BITS = 12
 EDGE = 0xFF
 #: Text of a unit, places that are worked on and that are sorted at once, and keys of whole cells that are worked on at once.
 UNIT_BYTES, BLOCK, KEYS, CELL_KEYS = 32 << 20, 1 << 20, 1 << 24, 1 << 20
-#: Units whose lists of a cell go to one task.
-SALT_UNITS = 512
+#: Units whose lists of a cell are merged in one task, and bytes of lists that a copy of a cell's row answers at least, if there are as many.
+SALT_UNITS, SALT_BYTES = 512, 64 << 20
 #: Kinds of rows: a unit's words and contexts by cell, learnt documents, texts.
 WORDS, CONTEXTS, LEARNT, TEXTS = range(4)
 #: Places that walk down the tree at once.
@@ -541,33 +543,60 @@ def upper_paths(whole: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, paths
 
 
-def answers(lists: DataFrame, whole: DataFrame, salts: int, upper, depth: int) -> DataFrame:
+def followed(whole: DataFrame, upper, depth: int) -> DataFrame:
+    """kind, cell, tails, values of every cell: counts of words, log10 probabilities of contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, paths = upper.value
+        for batch in batches:
+            for kind in (WORDS, CONTEXTS):
+                for part in shared.by_bytes(batch.filter(pa.compute.equal(batch["kind"], kind)), "tails", 2 * CELL_KEYS):
+                    values = part["times"]
+                    if kind == CONTEXTS:
+                        part = part.take(pa.array(np.argsort(part["cell"].to_numpy())))
+                        keys, sizes = keys_of(kind, part["cell"].to_numpy(), part["tails"], depth)
+                        layers = Layers(keys, unpacked_ints(part["times"])[0], depth, CELL)
+                        at = np.searchsorted(top, layers.keys[CELL])
+                        logs = np.zeros(len(keys))
+                        for level in range(8):
+                            layers.mix(level)
+                            one = layers.follow(*paths[level][:, at])[2]
+                            logs += np.log10(np.where(layers.bit[depth] == 1, one, 1 - one))
+                        values = packed(logs.astype(np.float32), shared.runs(sizes))
+                    yield pa.RecordBatch.from_arrays([part["kind"], part["cell"], part["tails"], values], ["kind", "cell", "tails", "values"])
+
+    return shared.map_arrow(whole.select("kind", "cell", "tails", "times"), run, "kind int, cell int, tails binary, values binary")
+
+
+def hot_cells(lists: DataFrame, whole: DataFrame) -> DataFrame:
+    """kind, cell, copies of the cells whose lists are dealt out to more than one task: a task gets as many bytes of lists as of the cell's row, at least."""
+    asked = lists.groupBy("kind", "cell").agg(F.sum(F.length("tails")).alias("asked")).where(F.col("asked") > SALT_BYTES)
+    held = whole.select("kind", "cell", F.length("tails").alias("held"))
+    copies = 1 + F.floor(F.col("asked") / F.greatest(F.lit(SALT_BYTES), "held"))
+    return asked.join(held, ["kind", "cell"]).select("kind", "cell", copies.cast("int").alias("copies")).where("copies > 1")
+
+
+def answers(lists: DataFrame, whole: DataFrame, upper, depth: int) -> DataFrame:
     """(unit, kind, cell, values) for each row of ``lists``, in the order of its tails: counts of words, log10 probabilities of contexts."""
-    asked = lists.select("kind", "cell", "salt", "unit", "tails", F.lit(None).cast("binary").alias("times"))
-    known = whole.select("kind", "cell", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(-1).cast("long").alias("unit"), "tails", "times")
+    hot = shared.cut(hot_cells(lists, whole), "lm-hot")
+    copies, null = F.coalesce("copies", F.lit(1)), F.lit(None).cast("binary")
+    salt = F.pmod(F.xxhash64("unit"), copies).cast("int").alias("salt")
+    asked = lists.join(hot, ["kind", "cell"], "left").select("kind", "cell", salt, "unit", "tails", null.alias("values"))
+    known = followed(whole, upper, depth).join(hot, ["kind", "cell"], "left")
+    known = known.select("kind", "cell", F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"), F.lit(-1).cast("long").alias("unit"), "tails", "values")
     rows = asked.unionByName(known).repartition("kind", "cell", "salt").sortWithinPartitions("kind", "cell", "salt", "unit")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, paths = upper.value
         for kind, part in by_cell(batches, 2 * CELL_KEYS):
             unit = part["unit"].to_numpy()
             given, asks = (part.filter(pa.array(x)) for x in (unit < 0, unit >= 0))
             keys = keys_of(kind, given["cell"].to_numpy(), given["tails"], depth)[0]
-            n = unpacked_ints(given["times"])[0]
-            if kind == CONTEXTS:
-                layers = Layers(keys, n, depth, CELL)
-                at = np.searchsorted(top, layers.keys[CELL])
-                logs = np.zeros(len(keys))
-                for level in range(8):
-                    layers.mix(level)
-                    one = layers.follow(*paths[level][:, at])[2]
-                    logs += np.log10(np.where(layers.bit[depth] == 1, one, 1 - one))
-                logs = logs.astype(np.float32)
+            values = unpacked(given["values"], np.float32)[0] if kind == CONTEXTS else unpacked_ints(given["values"])[0]
             for ask in shared.by_bytes(asks, "tails", CELL_KEYS):
                 own, sizes = keys_of(kind, ask["cell"].to_numpy(), ask["tails"], depth)
                 place, starts = np.searchsorted(keys, own), shared.runs(sizes)
-                values = packed(logs[place], starts) if kind == CONTEXTS else packed_ints(n[place], starts)
-                yield pa.RecordBatch.from_arrays([ask["unit"], ask["kind"], ask["cell"], values], ["unit", "kind", "cell", "values"])
+                told = (packed if kind == CONTEXTS else packed_ints)(values[place], starts)
+                yield pa.RecordBatch.from_arrays([ask["unit"], ask["kind"], ask["cell"], told], ["unit", "kind", "cell", "values"])
 
     return shared.map_arrow(rows, run, "unit long, kind int, cell int, values binary")
 
@@ -636,7 +665,7 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, unit_bytes: int =
 
         schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
         held = units.where(F.col("kind") != LEARNT).select("unit", "kind", "cell", "tails", "doc_id", "held_out", "text")
-        rows = held.groupBy("unit").cogroup(answers(lists, whole, salts, upper, depth).groupBy("unit")).applyInArrow(run, schema)
+        rows = held.groupBy("unit").cogroup(answers(lists, whole, upper, depth).groupBy("unit")).applyInArrow(run, schema)
         scored = shared.cut(rows, "lm-scored")
         upper.destroy()
         shared.discard(whole)

@@ -812,9 +812,26 @@ def test_grams_don_t_depend_on_the_blocks(monkeypatch):
     assert list(zip(*at_once)) == want
 
 
-@pytest.mark.parametrize(("unit_bytes", "salt_units"), [(ctw.UNIT_BYTES, ctw.SALT_UNITS), (9000, 2)])
-def test_rare_contexts_are_nodes_at_any_corpus_size(spark, monkeypatch, unit_bytes, salt_units):
+@pytest.mark.parametrize("salt_bytes", [1, 50, 1000])
+def test_copies_of_cells_never_outgrow_their_lists(spark, monkeypatch, salt_bytes):
+    """Only cells with long lists are copied, and the copies of a cell take no more than it and its lists, however many units there are."""
+    monkeypatch.setattr(ctw, "SALT_BYTES", salt_bytes)
+    sizes = {(k, c): ([length] * n, held) for k in (ctw.WORDS, ctw.CONTEXTS) for c, (n, length, held) in enumerate([(1, 3, 3), (40, 5, 9), (600, 20, 100), (600, 20, 5000), (2000, 1, 1)])}
+    lists = spark.createDataFrame([(k, c, b"x" * n) for (k, c), (ns, _) in sizes.items() for n in ns], "kind int, cell int, tails binary")
+    whole = spark.createDataFrame([(k, c, b"x" * held) for (k, c), (_, held) in sizes.items()], "kind int, cell int, tails binary")
+    got = {(r["kind"], r["cell"]): r["copies"] for r in ctw.hot_cells(lists, whole).collect()}
+    for key, (asked, held) in sizes.items():
+        copies = got.get(key, 1)
+        assert copies == 1 or copies == 1 + sum(asked) // max(salt_bytes, held)
+        assert copies * held <= held + sum(asked)
+        assert sum(asked) / copies <= max(salt_bytes, held) or sum(asked) <= salt_bytes
+    assert any(n > 1 for n in got.values())
+
+
+@pytest.mark.parametrize(("unit_bytes", "salt_units", "salt_bytes"), [(ctw.UNIT_BYTES, ctw.SALT_UNITS, ctw.SALT_BYTES), (9000, 2, 60)])
+def test_rare_contexts_are_nodes_at_any_corpus_size(spark, monkeypatch, unit_bytes, salt_units, salt_bytes):
     monkeypatch.setattr(ctw, "SALT_UNITS", salt_units)
+    monkeypatch.setattr(ctw, "SALT_BYTES", salt_bytes)
 
     def whole(learnt, depth=ctw.DEPTH):
         """The tree of all contexts that occur twice, held in one place."""
