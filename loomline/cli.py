@@ -94,7 +94,10 @@ def main(argv: list[str] | None = None) -> int:
         found = state.files(spark, args.path, args.recursive)
         found = upload.of_extensions(found, args.ext) if args.ext else found
         todo = upload.pending(found, state.read_progress(spark, args.progress_file))
-        upload.batches(todo, args.files_per_task).orderBy("path").show(1000, truncate=False)
+        planned = upload.batches(todo, args.files_per_task).orderBy("path")
+        print("\t".join(planned.columns))
+        for row in planned.toLocalIterator():
+            print("\t".join("" if v is None else str(v) for v in row))
         return 0
     html = "\n".join(r["value"] for r in spark.read.text(args.path).toLocalIterator())
     text = M.to_markdown(html, "")

@@ -83,3 +83,13 @@ def test_full_run(spark):
     with pytest.raises(ZeroDivisionError):
         full_run.run(spark, lambda: 1 / 0, None, say, "m", "now")
     assert len(sent) == 2
+
+
+def test_plan_upload_lists_every_file(spark, tmp_path, capsys):
+    from loomline import cli
+
+    for i in range(1100):
+        (tmp_path / f"p{i:04d}.md").write_text(str(i))
+    assert cli.main(["plan-upload", "--path", str(tmp_path), "--progress-file", str(tmp_path / "progress.json")]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert "path" in out[0].split("\t") and sum(".md" in line for line in out[1:]) == 1100
