@@ -3,6 +3,7 @@
 import re
 import urllib.parse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,14 @@ def test_progress_extensions(spark):
 )
 def test_html_to_markdown(html, want):
     assert re.sub(r"[ \t]+\n", "\n", M.to_markdown(html, "T")) == want
+
+
+def test_conversion_takes_pages_by_bytes(spark):
+    rows = spark.range(0, 4000, 1, 1).select("id", F.concat(F.lit("<title>t</title><p>"), F.repeat(F.lit("word "), 1000), F.col("id").cast("string"), F.lit("</p>")).alias("html"))
+    rows = rows.withColumn("html", F.when(F.col("id") % 7 != 0, F.col("html")))
+    got = M.with_markdown(rows, F.col("html"), F.lit("t"), "md", ["id"])
+    assert {r["id"]: r["md"] for r in got.collect()} == {r["id"]: M.to_markdown(r["html"], "t") for r in rows.collect()}
+    sizes = M.with_markdown(rows, F.col("html"), F.lit("t"), "md").mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b["html"].nbytes])], ["n"]) for b in batches), "n long")
+    assert max(r["n"] for r in sizes.collect()) <= 6 * M.SLICE_BYTES  # of 17 MB in one task
+    page = pa.array([None, "x" * M.SLICE_BYTES, "y", "z" * 3 * M.SLICE_BYTES, "w"], pa.string())
+    assert [b.num_rows for b in M._slices(pa.RecordBatch.from_arrays([page], ["__html"]))] == [2, 2, 1]
