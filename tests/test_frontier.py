@@ -295,3 +295,11 @@ def test_large_rule_tables_equal_the_first_match(spark):
     compiled = [(p, re.compile(p)) for p in order]
     assert got == {i: next((p for p, c in compiled if u is not None and c.search(u)), None) for i, u in enumerate(urls + urls[:20])}
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_rules_go_to_the_urls(spark):
+    rows = spark.range(0, 3000, 1, 2).select("id", F.concat(F.lit("https://wiki.test/page/"), F.when(F.col("id") % 3 == 0, "spam-farm/").otherwise("x/"), F.col("id").cast("string")).alias("url"))
+    found = rules.first_match_join(rows, rules.from_patterns(spark, ["spam-farm", "no-such"]))
+    assert found.where("pattern = 'spam-farm'").count() == 1000 and found.where("pattern IS NULL").count() == 2000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "SortMergeJoin" in line and "gram" in line]  # all URLs' trigrams would be shuffled and sorted
