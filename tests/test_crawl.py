@@ -4,6 +4,7 @@ import dataclasses
 import hashlib
 import json
 import pickle
+import re
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -292,3 +293,28 @@ def test_anchors_with_much_in_their_labels(spark):
     page = F.concat(F.lit("<style>p</style><a href='/A'>"), label, F.lit("</a> <a href='/B'><img>b</a> <a href='/C'>open <a href='/D'>d</A><script>'<a href=\"/E\">e</a>'"))
     got = spark.range(1).select(M.anchors_to_markdown(page).alias("m")).select(F.regexp_replace("m", "x+", "x")).first()[0]
     assert got == "[x](/A) <a href='/B'><img>b</a> <a href='/C'>open [d](/D)"
+
+
+def test_a_site_laid_out_once_gives_the_same_pages_from_few_chunks(spark, tmp_path):
+    url = "https://wiki.test/P{}".format
+    rows = [(i, url(i), f"<title>P{i}</title><a href='/P{i + 1}'>x</a>") for i in range(400)] + [(900, url(3) + "/", "<title>other</title>"), (901, None, "no url"), (902, url(902), None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/in")
+    corpus = spark.read.parquet(f"{tmp_path}/in")
+    site = fetch.Site(corpus, f"{tmp_path}/site", "page_id", C, chunk_rows=20)
+    asked = spark.createDataFrame([(url(i),) for i in [*range(40, 60), 3, 902, 5000]] + [(None,)], "url string")
+    plain = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert plain(site(asked)) == plain(fetch.from_corpus(asked, corpus, C))
+    few = site(asked.where("url LIKE '%/P4_' OR url LIKE '%/P5_'"))
+    assert few.where("success").count() == 20
+    few.collect()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert len(site.pages.inputFiles()) >= 15 and 0 < len(re.search(r"chunk#\d+ (?:IN \(([^)]*)\)|= (\d+))", plan)[0].split(",")) <= 4
+
+
+def test_page_files_need_no_rename_by_the_driver(spark, tmp_path, monkeypatch):
+    store = state.Store(spark, str(tmp_path))
+    monkeypatch.setattr(state.Store, "rename", lambda *a: 1 / 0)
+    rows = spark.range(30).select(F.col("id").alias("position"), F.concat(F.lit("f"), F.col("id") % 20, F.lit(".md")).alias("file_name"), F.lit("T").alias("title"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("summary"), F.concat(F.lit("c"), "id").alias("content"))
+    assert [crawl.pages_written(rows, store, "work", NOW) for _ in range(2)] == [20, 20]
+    assert sorted(x.name for x in (tmp_path / "pages").iterdir()) == sorted(f"f{i}.md" for i in range(20))
+    assert (tmp_path / "pages" / "f3.md").read_text().endswith("\nc23\n") and spark.read.text(f"{tmp_path}/pages/f3.md").count() > 5
