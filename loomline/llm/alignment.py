@@ -91,8 +91,8 @@ def packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    """The numbers that ``packed`` wrote."""
+def unpacked(data: bytes | np.ndarray) -> np.ndarray:
+    """The numbers that ``packed`` wrote, of one text or of several one after the other."""
     held = np.frombuffer(data, np.uint8)
     if not len(held):
         return np.zeros(0, np.int64)
@@ -252,11 +252,22 @@ def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T
     rows = parts.unionByName(texts.select("unit", null("int").alias("i"), null("string").alias("told"), "keep", "parts"))
     fields = 1 + len(COUNTS)
 
-    def heard(told: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    def heard(told: pa.Array) -> tuple:
+        """If there is one, the counts (narrow, as a unit holds many: only sums of counts need 64 bits) and the groups of each segment."""
         flat = pa.compute.split_pattern(told.fill_null("\t".join(["", *["0"] * len(COUNTS)])), "\t").flatten()
         place = np.arange(len(told)) * fields
-        counts = [np.asarray(flat.take(pa.array(place + 1 + j)).cast(pa.int64())) for j in range(len(COUNTS))]
-        return np.asarray(told.is_valid()), np.stack(counts, axis=1), flat.take(pa.array(place))
+        counts = [np.asarray(flat.take(pa.array(place + 1 + j)).cast(pa.int64() if c == "count_sum" else pa.int32())) for j, c in enumerate(COUNTS)]
+        return np.asarray(told.is_valid()), *counts, flat.take(pa.array(place))
+
+    def whole_of(held: list) -> tuple[np.ndarray, list[np.ndarray], pa.Array]:
+        """The unit's segments in their order; what was held is freed column by column."""
+        columns = [list(c) for c in zip(*held)] if held else [[np.zeros(0, bool)], *[[np.zeros(0, np.int64)] for _ in COUNTS], [pa.array([], pa.string())]]
+        held.clear()
+        out = []
+        while columns:
+            some = columns.pop(0)
+            out.append(np.concatenate(some) if isinstance(some[0], np.ndarray) else pa.concat_arrays(some))
+        return out[0], out[1:-1], out[-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, held, whole = None, [], None
@@ -274,18 +285,16 @@ def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T
                     held.append(heard(part["told"]))
                     continue
                 if whole is None:  # the unit's segments are all there
-                    good, counts, groups = zip(*held) if held else ((), (), ())
-                    whole = (np.concatenate(good), np.concatenate(counts), pa.concat_arrays(groups)) if held else ()
-                    held = []
+                    whole = whole_of(held)
+                good, counts, groups = whole
                 for some in shared.by_bytes(part, "parts", shared.SLICE_BYTES // 32):
-                    sums, strings = np.zeros((some.num_rows, len(COUNTS)), np.int64), []
-                    for k, parts in enumerate(some["parts"].to_pylist()):
-                        own = unpacked(parts)
-                        clean = len(own) > 0 and whole[0][own].all()
-                        if clean:
-                            sums[k] = whole[1][own].sum(axis=0)
-                        strings.append(";".join(whole[2].take(pa.array(own)).to_pylist()) if clean else "")
-                    yield pa.RecordBatch.from_arrays([some["keep"], *[pa.array(sums[:, j]) for j in range(len(COUNTS))], pa.array(strings, pa.string())], ["keep", *COUNTS, "groups"])
+                    data, offsets = shared.raw_bytes(some["parts"])
+                    own, starts = unpacked(data), shared.runs(data < 128)[offsets]  # a number ends with a byte below 128
+                    sizes = np.diff(starts)
+                    clean = (sizes > 0) & (shared.run_sums(~good[own], starts) == 0)
+                    sums = [np.where(clean, shared.run_sums(c[own].astype(np.int64), starts), 0) for c in counts]
+                    lists = pa.ListArray.from_arrays(pa.array(shared.runs(sizes * clean), pa.int32()), groups.take(pa.array(own[np.repeat(clean, sizes)])))
+                    yield pa.RecordBatch.from_arrays([some["keep"], *map(pa.array, sums), pa.compute.binary_join(lists, ";")], ["keep", *COUNTS, "groups"])
 
     schema = T.StructType([T.StructField("keep", keep_type), *[T.StructField(c, T.LongType()) for c in COUNTS], T.StructField("groups", T.StringType())])
     return shared.map_arrow(rows.repartition("unit").sortWithinPartitions("unit", F.col("i").asc_nulls_last()), run, schema)
