@@ -6,14 +6,15 @@ those of its segments in order.  The relational work is done once for each disti
 of the corpus:
 
 1. texts become runs of segment numbers, in units of 32 MB of text with a table of the unit's distinct
-   segments and how often each occurs;
+   segments and how often each occurs; a grouping gives each distinct segment its places (unit, number);
 2. each distinct segment is encoded by both libraries (Arrow), and then stays relational:
-   tokens are exploded with their positions, their ends are windowed running sums of their
-   byte lengths, an equi-join of both sides on (segment, end) gives the links and with them
-   the cuts, and the running count of cuts before a token is its group;
+   tokens of both sides are exploded with their positions, their ends are windowed running sums
+   of their byte lengths, tokens of both sides with equal ends are neighbours in a window by end,
+   which gives the links and with them the cuts, and the running count of cuts before a token is
+   its group;
 3. an id pair's count sums its links times the segments' occurrences; joins bring each
    link its pair's count and the highest one of its B id, summed by segment;
-4. a unit's segments come back to it by an equi-join, and its texts are put together in
+4. what a segment tells goes to its places, one row for each, and a unit's texts are put together in
    their order.
 
 A vocabulary of another kind, or one that joins tokens over such spaces, gets whole texts as segments.
@@ -30,8 +31,9 @@ and count as often; an empty table gives an empty one.  Of the other columns onl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -42,9 +44,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.llm import shared, sp_model
+from loomline.llm.sp_unigram import gather_runs
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 UNIT_BYTES = 32 << 20
+#: So many segments are encoded as one text.
+TOGETHER = 64
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -55,16 +60,21 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def cuttable(data: np.ndarray) -> np.ndarray:
+    """The spaces before which any text ends tokens of both vocabularies: those after something that is no white space."""
+    last, second, third = (np.concatenate([np.zeros(k, np.uint8), data[:-k]]) for k in (1, 2, 3))
+    # of more bytes than one: not where the character may be white space or the space mark
+    odd = (second == 0xC2) | (third == 0xE2) | ((third == 0xE3) & (second == 0x80)) | ((third == 0xE1) & (second == 0x9A))
+    return (data == 32) & (((last > 32) & (last < 127)) | ((last >= 128) & ~odd))
+
+
 def cut_segments(texts: pa.Array, split: bool = True) -> tuple[pa.Array, np.ndarray]:
     """The segments of all texts in order, without the space before each, and each text's number of them."""
     data, offsets = shared.raw_bytes(texts)
     n = len(data)
     cut = np.zeros(n, dtype=bool)
     if split and n > 2:
-        last, second, third = (np.concatenate([np.zeros(k, np.uint8), data[:-k]]) for k in (1, 2, 3))
-        # of more bytes than one: not where the character may be white space or the space mark
-        odd = (second == 0xC2) | (third == 0xE2) | ((third == 0xE3) & (second == 0x80)) | ((third == 0xE1) & (second == 0x9A))
-        cut = (data == 32) & (((last > 32) & (last < 127)) | ((last >= 128) & ~odd))
+        cut = cuttable(data)
         edge = np.concatenate([offsets[:-1], offsets[1:] - 1])
         cut[edge[(edge >= 0) & (edge < n)]] = False
     filled = np.diff(offsets) > 0
@@ -143,9 +153,53 @@ def in_units(df: DataFrame, text: str, keep: str, split: bool, unit_bytes: int =
     return shared.map_arrow(read, run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def encoded(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """word, times, good, and the ids (a, b) and sizes in bytes (a_sizes, b_sizes) of the tokens of a space and the word, in order; none if not good."""
-    out = ["word", "times", "good", "a", "a_sizes", "b", "b_sizes"]
+class Side:
+    """One vocabulary: the ids of texts' tokens, and the bytes that each id stands for."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: list[bytes]):
+        self.encode, self.sizes = encode, np.array([len(x) for x in entries], dtype=np.int64)
+        self.starts, self.spelled = shared.runs(self.sizes), np.frombuffer(b"".join(entries), np.uint8)
+
+    def __call__(self, texts: list[str], data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the texts' tokens in order, where in ``data`` they end, and which texts they spell; only those have tokens."""
+        ids = self.encode(texts)
+        counts = np.array([len(x) for x in ids], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
+        text_of, starts, total = np.repeat(np.arange(len(texts)), counts), shared.runs(counts), shared.runs(self.sizes[flat])
+        ends = total[1:] + (bounds[:-1] - total[starts[:-1]])[text_of]
+        fits = np.diff(total[starts]) == np.diff(bounds)
+        byte_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        here = fits[byte_of]
+        said, _ = gather_runs(self.spelled, self.starts, flat[fits[text_of]])
+        fits[byte_of[here][said != data[here]]] = False
+        kept = fits[text_of]
+        return flat[kept], ends[kept], fits
+
+
+def spelled(sides: list[Side], data: np.ndarray, bounds: np.ndarray, together: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Which words are made of whole tokens of both sides, and each side's ids and numbers of these words' tokens; so many words are encoded as one text."""
+    n = len(bounds) - 1
+    if not n:
+        return np.zeros(0, bool), [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(sides)
+    edges = np.append(bounds[:-1:together], bounds[-1])
+    raw = data.tobytes()
+    texts = [raw[i:j].decode() for i, j in zip(edges.tolist(), edges[1:].tolist())]
+    ok, found = np.ones(n, bool), []
+    for side in sides:
+        flat, ends, fits = side(texts, data, edges)
+        stops = np.zeros(len(data) + 1, bool)
+        stops[ends] = stops[edges] = True
+        ok &= np.repeat(fits, together)[:n] & stops[bounds[:-1]] & stops[bounds[1:]]
+        found.append((flat, np.searchsorted(bounds, ends) - 1))
+    return ok, [(flat[ok[word_of]], np.bincount(word_of[ok[word_of]], minlength=n)) for flat, word_of in found]
+
+
+def encoded(words: DataFrame, a_path: str, b_path: str, split: bool = True) -> DataFrame:
+    """times, places, good, n_a, and the ids and sizes in bytes of the tokens of a space and the word, those of a and then those of b; none if not good.
+
+    Words after which any text may be cut are encoded many at once, as one text; those whose tokens don't come apart again, and all others, one by one.
+    """
+    out = ["times", "places", "good", "n_a", "ids", "sizes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -160,75 +214,97 @@ def encoded(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
         byte_of, known = byte_level(), sp_model.read(b_path)
         a_bytes = {i: bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode() for entry, i in first.get_vocab().items()}
         b_bytes = [bytes([int(p[3:5], 16)]) if k == sp_model.BYTE else p.replace(sp_model.MARK, " ").encode() for p, k in zip(known.pieces, known.kinds)]
-
-        def columns(ids: list[list[int]], spelled) -> tuple[pa.Array, pa.Array]:
-            flat = [i for x in ids for i in x]
-            starts = pa.array(shared.runs(np.array([len(x) for x in ids], dtype=np.int64)), pa.int32())
-            return pa.ListArray.from_arrays(starts, pa.array(flat, pa.int32())), pa.ListArray.from_arrays(starts, pa.array([len(spelled[i]) for i in flat], pa.int16()))
+        sides = [
+            Side(lambda texts: [x.ids for x in first.encode_batch_fast(texts, add_special_tokens=False)], [a_bytes.get(i, b"") for i in range(max(a_bytes, default=-1) + 1)]),
+            Side(lambda texts: second.encode([t[1:] for t in texts], num_threads=1), b_bytes),
+        ]
+        del a_bytes, b_bytes, known
 
         for batch in batches:
             for part in shared.by_bytes(batch, "word", shared.SLICE_BYTES // 64):
-                texts = part["word"].to_pylist()
-                a = [x.ids for x in first.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-                b = second.encode(texts, num_threads=1)
-                good = [b"".join([a_bytes[i] for i in x]) == b"".join([b_bytes[i] for i in y]) == b" " + t.encode() for t, x, y in zip(texts, a, b)]
-                a, b = ([x if ok else [] for x, ok in zip(side, good)] for side in (a, b))
-                yield pa.RecordBatch.from_arrays([part["word"], part["times"], pa.array(good), *columns(a, a_bytes), *columns(b, b_bytes)], out)
-
-    return shared.map_arrow(words, run, "word string, times long, good boolean, a array<int>, a_sizes array<short>, b array<int>, b_sizes array<short>")
+                n = part.num_rows
+                plain, offsets = shared.raw_bytes(part["word"])
+                bounds = offsets + np.arange(n + 1)  # each with a space before it
+                data = np.full(bounds[-1], 32, np.uint8)
+                data[np.arange(len(plain)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))] = plain
+                ends = cuttable(np.append(data, np.uint8(32)))[bounds[1:]] & split
+                many = np.flatnonzero(ends)
+                ok, held = spelled(sides, *gather_runs(data, bounds, many), TOGETHER)
+                good = np.zeros(n, bool)
+                good[many[ok]] = True
+                single = np.flatnonzero(~good)
+                fine, alone = spelled(sides, *gather_runs(data, bounds, single), 1)
+                good[single[fine]] = True
+                where = np.empty(n, np.int64)
+                where[np.concatenate([many[ok], single])] = np.arange(n)
+                flat = np.concatenate([x for (ids, _), (more, _) in zip(held, alone) for x in (ids, more)])
+                sizes = np.concatenate([np.concatenate([side.sizes[ids], side.sizes[more]]) for side, (ids, _), (more, _) in zip(sides, held, alone)])
+                counts = np.concatenate([x for (_, k), (_, more) in zip(held, alone) for x in (k[ok], more)])
+                starts, both = shared.runs(counts), np.stack([where, n + where], axis=1).ravel()
+                ids, at = gather_runs(flat, starts, both)
+                lengths, _ = gather_runs(sizes, starts, both)
+                at = pa.array(at[::2], pa.int32())
+                lists = [pa.ListArray.from_arrays(at, pa.array(x, kind)) for x, kind in ((ids, pa.int32()), (lengths, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([part["times"], part["places"], pa.array(good), pa.array(counts[where], pa.int32()), *lists], out)
+
+    return shared.map_arrow(words, run, "times long, places array<struct<unit: long, i: int>>, good boolean, n_a int, ids array<int>, sizes array<int>")
 
 
 @contextmanager
-def joined_where_they_are(spark: SparkSession) -> Iterator[None]:
-    """Within this context, tables dealt out by one of a join's keys are joined without being dealt out again by all of them."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
+def grouped_as_sorted(spark: SparkSession) -> Iterator[None]:
+    """Within this context, rows that are sorted by a grouping's key are grouped as they come, neither hashed nor sorted again."""
+    name = "spark.sql.execution.replaceHashWithSortAgg"
     before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    spark.conf.set(name, "true")
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
-def tokens(segments: DataFrame, side: str) -> DataFrame:
-    """sid, end (a running sum of bytes) and id (named as the side) of the tokens of one side."""
-    exploded = segments.select("sid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_sizes").alias("size"))).alias("pos", "token"))
-    end = F.sum("token.size").over(Window.partitionBy("sid").orderBy("pos"))
-    return exploded.select("sid", end.alias("end"), F.col("token.id").alias(side))
+def distinct_words(words: DataFrame) -> DataFrame:
+    """word, times, and the places (unit, i) of every distinct word, one in each unit that has it."""
+    dealt = words.repartition("word").sortWithinPartitions("word")
+    return dealt.groupBy("word").agg(F.sum("times").alias("times"), F.collect_list(F.struct("unit", "i")).alias("places"))
 
 
-def grouped(segments: DataFrame, side: str, other: str) -> DataFrame:
-    """sid, group, the side's ids (``a1,a2``), their number, and on side a the links, of every group of one side's tokens.
-
-    A token's group is the number of cuts, ends that the other side has as well, before its own end.
-    """
-    ends = tokens(segments, side).join(tokens(segments, other), ["sid", "end"], "left")
-    cut = F.col(other).isNotNull()
-    before = Window.partitionBy("sid").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ends.withColumn("group", F.coalesce(F.count_if(cut).over(before), F.lit(0)))
-    links = [F.collect_list(F.when(cut, F.struct("a", "b"))).alias("links")] if side == "a" else []
-    of = placed.groupBy("sid", "group").agg(F.collect_list(F.struct("end", side)).alias("ids"), *links)
-    ids = F.array_join(F.transform(F.array_sort("ids"), lambda x: x[side].cast("string")), ",")
-    return of.select("sid", "group", F.size("ids").alias(f"k_{side}"), ids.alias(f"ids_{side}"), *(["links"] if links else []))
+def tokens(segments: DataFrame) -> DataFrame:
+    """sid, times, is_b, end (a running sum of bytes of the side) and id of both sides' tokens."""
+    exploded = segments.select("sid", "times", "n_a", F.posexplode(F.arrays_zip("ids", "sizes")).alias("pos", "token"))
+    placed = exploded.select("sid", "times", (F.col("pos") >= F.col("n_a")).alias("is_b"), "pos", F.col("token.ids").alias("id"), F.col("token.sizes").alias("size"))
+    return placed.select("sid", "times", "is_b", F.sum("size").over(Window.partitionBy("sid", "is_b").orderBy("pos")).alias("end"), "id")
 
 
 def aligned(segments: DataFrame) -> DataFrame:
-    """word, times, sid, n_a, n_b, n_groups, groups (``a1,a2|b1;…``) and links (the ids of tokens that end together) of every segment.
+    """sid, times, n_a, n_b, n_groups, groups (``a1,a2|b1;…``) and links (the ids of tokens that end together) of every segment.
 
-    Segments are dealt out by ``sid`` once; windows, joins and groups stay where they are.
+    Segments are dealt out by ``sid`` once; windows and the grouping stay where they are.  By end, and a before b, tokens
+    that end together are neighbours, as every token has bytes.  A token's group is the number of cuts, ends that
+    both sides have, before its own end.
     """
-    dealt = segments.repartition("sid")
-    both = grouped(dealt, "a", "b").join(grouped(dealt, "b", "a"), ["sid", "group"])
-    text = F.concat("ids_a", F.lit("|"), "ids_b").alias("text")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("group", text))), lambda x: x["text"]), ";")
-    counts = [F.sum("k_a").alias("n_a"), F.sum("k_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups")]
-    out = both.groupBy("sid").agg(*counts, joined.alias("groups"), F.flatten(F.collect_list("links")).alias("links"))
-    return dealt.select("sid", "word", "times").join(out, "sid")
-
-
-def _uncounted(texts: DataFrame, words: DataFrame, segments: DataFrame) -> DataFrame:
-    """word, times: what texts with a segment that is not good have added to the occurrences, negated."""
-    bad = words.join(segments.where("NOT good").select("word"), "word").groupBy("unit").agg(F.collect_set("i").alias("bad"))
+    dealt = segments.select("sid", "times", "n_a", "ids", "sizes").repartition("sid")
+    by_end = Window.partitionBy("sid").orderBy("end", "is_b")
+    near = tokens(dealt).select("*", F.lag("end").over(by_end).alias("end_before"), F.lag("id").over(by_end).alias("id_before"), F.lead("end").over(by_end).alias("end_after"))
+    cut = F.coalesce(F.when(F.col("is_b"), F.col("end_before")).otherwise(F.col("end_after")) == F.col("end"), F.lit(False))
+    met = near.select("sid", "times", "is_b", "end", "id", "id_before", cut.alias("cut")).withColumn("link", F.col("is_b") & F.col("cut"))
+    group = F.count_if("link").over(by_end.rowsBetween(Window.unboundedPreceding, -1))
+    order = F.struct(F.coalesce(group, F.lit(0)).alias("group"), "is_b", "end")
+    mark = F.when(~F.col("cut"), ",").when(F.col("is_b"), ";").otherwise("|")
+    said = met.select("sid", "times", "is_b", "link", F.struct(order.alias("at"), F.concat(F.col("id").cast("string"), mark).alias("text")).alias("said"), F.when(F.col("link"), F.struct(F.col("id_before").alias("a"), F.col("id").alias("b"))).alias("pair"))
+    counts = [F.count_if(~F.col("is_b")).alias("n_a"), F.count_if("is_b").alias("n_b"), F.count_if("link").alias("n_groups")]
+    out = said.groupBy("sid").agg(F.first("times").alias("times"), *counts, F.collect_list("said").alias("said"), F.collect_list("pair").alias("links"))
+    text = F.array_join(F.transform(F.array_sort("said"), lambda x: x["text"]), "")
+    return out.withColumn("text", text).select("sid", "times", "n_a", "n_b", "n_groups", F.expr("left(text, length(text) - 1)").alias("groups"), "links")
+
+
+def places_of(segments: DataFrame) -> DataFrame:
+    """sid, unit, i of every segment in every unit that has it."""
+    return segments.select("sid", F.explode("places").alias("place")).select("sid", "place.*")
+
+
+def _uncounted(texts: DataFrame, segments: DataFrame) -> DataFrame:
+    """sid, less: what texts with a segment that is not good have added to the occurrences, negated."""
+    bad = places_of(segments.where("NOT good")).groupBy("unit").agg(F.collect_set("i").alias("bad"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,16 +315,17 @@ def _uncounted(texts: DataFrame, words: DataFrame, segments: DataFrame) -> DataF
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), unit)), pa.array(i.astype(np.int32)), pa.array(-n.astype(np.int64))], ["unit", "i", "times"])
 
     less = shared.map_arrow(texts.join(bad, "unit").select("unit", "parts", "bad"), run, "unit long, i int, times long")
-    return less.groupBy("unit", "i").agg(F.sum("times").alias("times")).join(words.select("unit", "i", "word"), ["unit", "i"]).select("word", "times")
+    summed = less.groupBy("unit", "i").agg(F.sum("times").alias("times"))
+    return summed.join(places_of(segments), ["unit", "i"]).groupBy("sid").agg(F.sum("times").alias("less"))
 
 
-def together(words: DataFrame, texts: DataFrame, scored: DataFrame, keep_type: T.DataType) -> DataFrame:
+def together(texts: DataFrame, scored: DataFrame, keep_type: T.DataType) -> DataFrame:
     """keep, counts and groups of every text, put together from its unit's segments.
 
-    ``scored`` (word, told) tells groups and counts as one text, as most are of a digit or two: in columns of their own they are most of the shuffle.
+    ``scored`` (places, told) tells groups and counts as one text, as most are of a digit or two: in columns of their own they are most of the shuffle.
     """
     null = lambda kind: F.lit(None).cast(kind)
-    parts = words.join(scored, "word", "left").select("unit", "i", "told", null(keep_type).alias("keep"), null("binary").alias("parts"))
+    parts = scored.select("told", F.explode("places").alias("place")).select("place.unit", "place.i", "told", null(keep_type).alias("keep"), null("binary").alias("parts"))
     rows = parts.unionByName(texts.select("unit", null("int").alias("i"), null("string").alias("told"), "keep", "parts"))
     fields = 1 + len(COUNTS)
 
@@ -315,25 +392,24 @@ def align(df: DataFrame, text: str = "text", keep: str = "doc_id", a_path: str |
 
     units = shared.cut(in_units(df, text, keep, split, unit_bytes), "align-units", compression="zstd")
     words, texts = units.where("i IS NOT NULL").select("unit", "i", "word", "times"), units.where("i IS NULL").select("unit", "keep", "parts")
-    distinct = words.groupBy("word").agg(F.sum("times").alias("times"))
-    coded = encoded(distinct, a_path, b_path).withColumn("sid", F.monotonically_increasing_id())
-    segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"), compression="zstd")
-    with joined_where_they_are(df.sparkSession):
+    with grouped_as_sorted(df.sparkSession):
+        coded = encoded(distinct_words(words), a_path, b_path, split).withColumn("sid", F.monotonically_increasing_id())
+        segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"), compression="zstd")
         done = shared.cut(aligned(segments.where("good")), "align-done", compression="zstd")
 
-    links = done.select("sid", "word", "times", F.explode("links").alias("link")).select("sid", "word", "times", "link.*")
+    links = done.select("sid", "times", F.explode("links").alias("link")).select("sid", "times", "link.*")
     if seen["bad"]:
-        less = _uncounted(texts, words, segments).groupBy("word").agg(F.sum("times").alias("less"))
-        links = links.join(less, "word", "left").withColumn("times", F.col("times") + F.coalesce("less", F.lit(0)))
+        links = links.join(_uncounted(texts, segments), "sid", "left").withColumn("times", F.col("times") + F.coalesce("less", F.lit(0)))
     pairs = shared.cut(links.groupBy("a", "b").agg(F.sum("times").alias("count")).where("count > 0"), "align-pairs")
     best = pairs.groupBy("b").agg(F.max("count").alias("best"))
     ranked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
     linked = done.select("sid", F.explode("links").alias("link")).select("sid", "link.*").join(ranked, ["a", "b"]).groupBy("sid")
     linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_best").alias("n_best"), F.sum("count").alias("count_sum"))
     told = F.concat_ws("\t", "groups", *[F.coalesce(c, F.lit(0)).cast("string") for c in COUNTS]).alias("told")
-    scored = shared.cut(done.select("sid", "word", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").select("word", told), "align-scored", compression="zstd")
+    counted = done.select("sid", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").select("sid", told)
+    scored = shared.cut(segments.select("sid", "places").join(counted, "sid", "left").select("places", "told"), "align-scored", compression="zstd")
     shared.discard(segments, done)
-    out = together(words, texts, scored, keep_type)
+    out = together(texts, scored, keep_type)
     return out.select(F.col("keep").alias(keep), *COUNTS, "groups"), pairs
 
 
