@@ -251,15 +251,20 @@ def encoded(words: DataFrame, a_path: str, b_path: str, split: bool = True) -> D
 
 
 @contextmanager
-def grouped_as_sorted(spark: SparkSession) -> Iterator[None]:
-    """Within this context, rows that are sorted by a grouping's key are grouped as they come, neither hashed nor sorted again."""
-    name = "spark.sql.execution.replaceHashWithSortAgg"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+def step_by_step(spark: SparkSession) -> Iterator[None]:
+    """Within this context, rows sorted by a grouping's key are grouped as they come, neither hashed nor sorted again, and a query's shuffle files go when it ends.
+
+    Each query here is a table that is written whole, so nothing reads its shuffle again; otherwise all steps' files stay till the driver collects its garbage.
+    """
+    wanted = {"spark.sql.execution.replaceHashWithSortAgg": "true", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def distinct_words(words: DataFrame) -> DataFrame:
@@ -392,22 +397,22 @@ def align(df: DataFrame, text: str = "text", keep: str = "doc_id", a_path: str |
 
     units = shared.cut(in_units(df, text, keep, split, unit_bytes), "align-units", compression="zstd")
     words, texts = units.where("i IS NOT NULL").select("unit", "i", "word", "times"), units.where("i IS NULL").select("unit", "keep", "parts")
-    with grouped_as_sorted(df.sparkSession):
+    with step_by_step(df.sparkSession):
         coded = encoded(distinct_words(words), a_path, b_path, split).withColumn("sid", F.monotonically_increasing_id())
         segments, seen = shared.observed_cut(coded, "align-segments", F.count_if(~F.col("good")).alias("bad"), compression="zstd")
         done = shared.cut(aligned(segments.where("good")), "align-done", compression="zstd")
 
-    links = done.select("sid", "times", F.explode("links").alias("link")).select("sid", "times", "link.*")
-    if seen["bad"]:
-        links = links.join(_uncounted(texts, segments), "sid", "left").withColumn("times", F.col("times") + F.coalesce("less", F.lit(0)))
-    pairs = shared.cut(links.groupBy("a", "b").agg(F.sum("times").alias("count")).where("count > 0"), "align-pairs")
-    best = pairs.groupBy("b").agg(F.max("count").alias("best"))
-    ranked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
-    linked = done.select("sid", F.explode("links").alias("link")).select("sid", "link.*").join(ranked, ["a", "b"]).groupBy("sid")
-    linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_best").alias("n_best"), F.sum("count").alias("count_sum"))
-    told = F.concat_ws("\t", "groups", *[F.coalesce(c, F.lit(0)).cast("string") for c in COUNTS]).alias("told")
-    counted = done.select("sid", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").select("sid", told)
-    scored = shared.cut(segments.select("sid", "places").join(counted, "sid", "left").select("places", "told"), "align-scored", compression="zstd")
+        links = done.select("sid", "times", F.explode("links").alias("link")).select("sid", "times", "link.*")
+        if seen["bad"]:
+            links = links.join(_uncounted(texts, segments), "sid", "left").withColumn("times", F.col("times") + F.coalesce("less", F.lit(0)))
+        pairs = shared.cut(links.groupBy("a", "b").agg(F.sum("times").alias("count")).where("count > 0"), "align-pairs")
+        best = pairs.groupBy("b").agg(F.max("count").alias("best"))
+        ranked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
+        linked = done.select("sid", F.explode("links").alias("link")).select("sid", "link.*").join(ranked, ["a", "b"]).groupBy("sid")
+        linked = linked.agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_best").alias("n_best"), F.sum("count").alias("count_sum"))
+        told = F.concat_ws("\t", "groups", *[F.coalesce(c, F.lit(0)).cast("string") for c in COUNTS]).alias("told")
+        counted = done.select("sid", "n_a", "n_b", "n_groups", "groups").join(linked, "sid", "left").select("sid", told)
+        scored = shared.cut(segments.select("sid", "places").join(counted, "sid", "left").select("places", "told"), "align-scored", compression="zstd")
     shared.discard(segments, done)
     out = together(texts, scored, keep_type)
     return out.select(F.col("keep").alias(keep), *COUNTS, "groups"), pairs

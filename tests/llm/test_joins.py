@@ -3,6 +3,8 @@
 import bisect
 import hashlib
 import random
+import re
+import time
 from collections import Counter
 
 import duckdb
@@ -112,6 +114,44 @@ def test_alignment_of_nothing(spark):
     assert rows.count() == 0 and pairs.count() == 0
 
 
+def test_words_encoded_together_equal_those_encoded_alone(spark, libraries):
+    """Whatever lies beside a word: white space at its end, the space mark, strings of special tokens."""
+    first, second = libraries
+    some = ["a", "the", "don't", "x▁y", "end\n", "tab\t", " led", "wide　", "nb\u00a0", "<|endoftext|>", "</s>", "中文", "😀", "é", "☃", "1,000", "▁"] + [f"w{i}'s" for i in range(200)]
+    random.Random(7).shuffle(some)
+    table = spark.createDataFrame([(w, n, [(0, n)]) for n, w in enumerate(some)], "word string, times long, places array<struct<unit: long, i: int>>").coalesce(1)
+    paths = [public_tokenizers.path(x) for x in (alignment.VOCABULARY_A, alignment.VOCABULARY_B)]
+    for split in (True, False):
+        got = {r["times"]: r for r in alignment.encoded(table, *paths, split).collect()}
+        assert len(got) == len(some)
+        for n, word in enumerate(some):
+            a, b = first.encode(" " + word, add_special_tokens=False).ids, second.encode(word)
+            assert got[n]["good"] == ("▁" not in word) and got[n]["places"] == [(0, n)]
+            assert (got[n]["n_a"], got[n]["ids"]) == ((len(a), a + b) if got[n]["good"] else (0, [])) and len(got[n]["sizes"]) == len(got[n]["ids"])
+            assert sum(got[n]["sizes"]) == (2 * len((" " + word).encode()) if got[n]["good"] else 0)
+
+
+def test_segments_are_dealt_and_exploded_once(spark):
+    table = spark.createDataFrame([(k, 1, 2, [5, 6, 7], [2, 1, 3]) for k in range(50)], "sid long, times long, n_a int, ids array<int>, sizes array<int>")
+    with alignment.step_by_step(spark):
+        done = alignment.aligned(table)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert {(r["n_a"], r["n_b"], r["n_groups"], r["groups"], tuple(map(tuple, r["links"]))) for r in done.collect()} == {(2, 1, 1, "5,6|7", ((6, 7),))}
+    assert (plan.count("Exchange"), plan.count("Generate "), plan.count(" Sort ["), plan.count("Join")) == (1, 1, 2, 0)
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    """Each step's table is written when the next begins, so its shuffle is not needed any more."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+", disk.getAllBlocks().mkString(" ")))
+    before = held()
+    rows, _ = alignment.align(docs(spark, [(i, f"some words {i} ▁" if i % 9 == 0 else f"other words {i}", "en", "a") for i in range(60)]))
+    deadline = time.time() + 20
+    while held() - before and time.time() < deadline:  # files go in the background
+        time.sleep(0.2)
+    assert not held() - before and rows.count() == 60
+
+
 def test_op11(spark, libraries):
     documents = table_of(SMALL, "documents")
     want, _ = brute_alignment(libraries, [r["text"] for r in documents])
