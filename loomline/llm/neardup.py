@@ -66,7 +66,7 @@ def shingle_sets(texts: pa.Array, percent_words: int = SHINGLE) -> tuple[np.ndar
     h = np.zeros(total, dtype=np.uint64)
     short = np.zeros(n, dtype=np.uint64)
     for k in range(width):
-        ahead = total - k
+        ahead = max(total - k, 0)  # a slice may hold fewer words in all than a shingle has
         h[:ahead] = shared.mix64(h[:ahead] * np.uint64(0x9E3779B97F4A7C15) + hashed[k:])
         if k + 1 < width:  # texts of k + 1 words are one shingle
             whole = counts == k + 1

@@ -631,6 +631,23 @@ def test_near_duplicates_of_nothing_and_of_repeats(spark, edge):
     assert neardup.near_duplicates(edge).count() == edge.count()
 
 
+def test_slices_of_fewer_words_than_a_shingle(spark):
+    """A batch, or a group of short texts, may hold two or three words in all."""
+    together = pa.array(["a", "b c", "d e f", "g h i j", "k l m n o"])
+    flat, starts = neardup.shingle_sets(together)
+    want = [flat[a:b].tolist() for a, b in zip(starts, starts[1:])]
+    assert len({x for own in want for x in own}) == 5
+    for texts in (["a"], ["b c"], ["d e f"], ["", "b c", None], ["a", "b c"], ["a", "a"], ["g h i j"], ["k l m n o"]):
+        flat, starts = neardup.shingle_sets(pa.array(texts))
+        assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [want[together.to_pylist().index(t)] if t else [] for t in texts]
+    for texts in (["ab cd"], ["ab", "cd"], ["ab", "cd ef"], ["ab cd ef"]):
+        df = docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]).coalesce(1)
+        assert sorted(r["component_id"] for r in neardup.near_duplicates(df).collect()) == list(range(len(texts)))
+        assert neardup.keep_first(df).count() == len(texts)
+    links = neardup.group_links(pa.table({"cid": [1, 2], "label": [1, 2], "text": ["ab", "cd ef"]}))
+    assert links.num_rows == 0
+
+
 def test_one_row_of_each_group_stays_whatever_the_ids(spark):
     text = " ".join(f"w{i}" for i in range(60))
     near = text.replace("w59", "z")
