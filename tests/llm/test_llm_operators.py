@@ -294,6 +294,29 @@ def test_repeated_ids_and_equal_vectors(spark):
         assert got[q] == [i for _, i in order[:10]]
 
 
+def test_the_sample_stays_out_of_the_driver(spark, monkeypatch):
+    """Whatever the sample's size, the driver gets centroids and a bounded number of rows; tasks find the same means and probes as one place."""
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((3000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>").repartition(6)
+    held, matrix = [], ann.matrix
+    monkeypatch.setattr(ann, "SOME", 200, raising=False)
+    monkeypatch.setattr(ann, "matrix", lambda column, size: held.append(len(column)) or matrix(column, size))  # tasks have their own
+    assert ann.nearest(df, F.col("vec_id") % 20 == 0).count() == 150 * 20
+    assert held and max(held) <= 256
+    x = vectors.astype(np.float64)
+    cells = ann.Cells(x[:50].copy(), 1, x[:0])
+    nearest = np.array([((x[:50] - v) ** 2).sum(axis=1).argmin() for v in x])
+    at, mean = ann.means(df, cells, 8, 40)
+    assert sorted(at.tolist()) == sorted(set(nearest.tolist()))
+    assert all(np.allclose(m, x[nearest == c].mean(axis=0), atol=1e-9) for c, m in zip(at, mean))
+    trials, products = x[100:160], x[100:160] @ x.T
+    best = np.argsort(-products, axis=1)[:, :21]
+    order = np.argsort(np.argsort(-(trials @ x[:50].T), axis=1), axis=1)
+    needed = np.sort(np.take_along_axis(order, nearest[best], axis=1).ravel())
+    assert ann.probes_for(df, cells, trials, 8, 21) == needed[int(ann.TARGET * len(needed))] + 1
+
+
 def test_population_counts_give_the_products():
     rng = np.random.default_rng(3)
     q, x = rng.standard_normal((5, 70)), rng.standard_normal((40, 70))
