@@ -11,6 +11,7 @@ from loomline.config import CrawlConfig
 from loomline.functions import markdown as M
 from loomline.functions import text as X
 from loomline.functions import url as U
+from loomline.operators import summary
 
 C = CrawlConfig()
 
@@ -129,3 +130,14 @@ def test_conversion_takes_pages_by_bytes(spark):
     assert max(r["n"] for r in sizes.collect()) <= 6 * M.SLICE_BYTES  # of 17 MB in one task
     page = pa.array([None, "x" * M.SLICE_BYTES, "y", "z" * 3 * M.SLICE_BYTES, "w"], pa.string())
     assert [b.num_rows for b in M._slices(pa.RecordBatch.from_arrays([page], ["__html"]))] == [2, 2, 1]
+
+
+def test_routing_makes_a_running_text_once(spark):
+    """The excerpt's length and the local summary are read off one running text, with the results of before."""
+    texts = ["---\na: b\n---\n# Title *x*\n\n* 欢迎加入[本站QQ群](x) y\nwords  and\tmore " + "z" * 300, "short", "", None, "w " * 40_000]
+    df = spark.createDataFrame([(i, "t", v) for i, v in enumerate(texts)], "i int, title string, content string")
+    cache = spark.createDataFrame([], "cache_key string, summary string")
+    routed = summary.route(df, cache, C, False).select("i", "excerpt_chars", "mode", "summary")
+    assert routed._jdf.queryExecution().optimizedPlan().toString().count("本站QQ群") == 1
+    want = df.select("i", F.length(X.compact_excerpt(F.col("content"), C.excerpt_chars, C)).alias("n"), X.short_summary(F.col("content"), C).alias("s"))
+    assert [tuple(r) for r in routed.orderBy("i").collect()] == [(r["i"], r["n"], "fallback", r["s"]) for r in want.orderBy("i").collect()]
